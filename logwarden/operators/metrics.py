@@ -119,7 +119,7 @@ def flag_metrics(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def alerts_by_day(scored: DataFrame, time: str = "ts", analysts: int = ANALYST_HOURS,
                   max_alerts: int = MAX_ALERTS_PER_DAY) -> DataFrame:
     """Alerts per calendar day against the daily limit."""
-    day = F.window(F.col(time).cast("timestamp"), "1 day").getField("start")
+    day = F.window(time, "1 day").getField("start")
     return (
         scored.groupBy(day.alias("day"))
         .agg(F.count(F.lit(1)).alias("events"),
