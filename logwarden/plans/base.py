@@ -38,9 +38,9 @@ def scored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cut_sql(column: str, source: str, p: str = "0.9") -> str:
     """A linearly interpolated quantile that gives tied values back unchanged."""
-    return f"""(SELECT CASE WHEN lo = hi THEN lo ELSE lo + (hi - lo) * (at - floor(at)) END FROM (
-    SELECT at, l[CAST(floor(at) AS BIGINT) + 1] AS lo, l[CAST(ceil(at) AS BIGINT) + 1] AS hi FROM (
-    SELECT list_sort(list({column}) FILTER ({column} IS NOT NULL)) AS l, {p}::DOUBLE * (count({column}) - 1) AS at
+    return f"""(SELECT CASE WHEN lo = hi THEN lo ELSE lo + (hi - lo) * (spot - floor(spot)) END FROM (
+    SELECT spot, l[CAST(floor(spot) AS BIGINT) + 1] AS lo, l[CAST(ceil(spot) AS BIGINT) + 1] AS hi FROM (
+    SELECT list_sort(list({column}) FILTER ({column} IS NOT NULL)) AS l, {p}::DOUBLE * (count({column}) - 1) AS spot
     FROM {source}) l1) l2)"""
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_PARTS = ("evaluation",)
+_PARTS = ("evaluation", "profiles",)
 
 
 def _merged(name: str) -> dict:
