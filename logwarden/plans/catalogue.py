@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_PARTS = ("evaluation", "profiles",)
+_PARTS = ("privacy", "evaluation")
 
 
 def _merged(name: str) -> dict:

@@ -40,8 +40,9 @@ def method_flags(spark, sf_dir) -> DataFrame:
     wide = rows.select("row_id", "label", *FEATURES)
     for name, features in (("value", ["value"]), ("deviation", FEATURES), ("gap", ["gap"])):
         model = make_detector("deviation", features=features).fit(rows)
-        wide = model.score(wide, "_score", name).drop("_score")
-    return wide.select("row_id", "label", *METHODS).unpivot(["row_id", "label"], METHODS, "method", "pred")
+        wide = model.score(wide, "_score", f"_{name}").drop("_score")
+    flags = [F.col(f"_{m}").alias(m) for m in METHODS]
+    return wide.select("row_id", "label", *flags).unpivot(["row_id", "label"], METHODS, "method", "pred")
 
 
 def method_comparison(spark, sf_dir):
