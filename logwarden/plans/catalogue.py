@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_PARTS = ("privacy", "evaluation")
+_PARTS = ("evaluation", "profiles", "privacy", "detection", "streams", "storage")
 
 
 def _merged(name: str) -> dict:
