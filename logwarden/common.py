@@ -106,6 +106,15 @@ def kept(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.DISK_ONLY)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal a scan of fewer pieces than cores out to all cores, for work that is heavy per row.
+
+    A scan that already has a piece per core, as any large table has, is left as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def assert_unique(df: DataFrame, key: str) -> None:
     if df.groupBy(key).count().where("count > 1").limit(1).count():
         raise ValueError(f"{key} has duplicate values")

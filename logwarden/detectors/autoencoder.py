@@ -212,8 +212,6 @@ class AutoencoderModel(Model):
 
 
 class AutoencoderDetector(Detector):
-    keeps_scores = True
-
     def __init__(self, features: Sequence[str] | None = None, contamination: float = 0.1,
                  row_id: str = "row_id", seed: int = 42, on_null: str = "error",
                  hidden_dims: Sequence[int] = HIDDEN, epochs: int = EPOCHS, batch_size: int = BATCH,

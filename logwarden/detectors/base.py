@@ -65,9 +65,6 @@ class Model(ABC):
 class Detector(ABC):
     """Settings of a method; ``fit`` gives a model."""
 
-    #: scoring leaves the JVM, so training scores are kept for the passes of the cut-off search
-    keeps_scores = False
-
     def __init__(self, features: Sequence[str] | None = None, contamination: float = 0.1,
                  row_id: str = "row_id", seed: int = 42, on_null: str = "error"):
         check_contamination(contamination)
@@ -95,12 +92,14 @@ class Detector(ABC):
         return df.select(*keys, *[clean_feature(c, self.on_null).alias(c) for c in names])
 
     def set_cut(self, model: Model, table: DataFrame) -> Model:
-        """Put the cut-off at the contamination quantile of the training scores."""
-        scores = model.with_raw(table).select(RAW)
-        held = kept(scores) if self.keeps_scores else scores
+        """Put the cut-off at the contamination quantile of the training scores.
+
+        The search takes several passes, so the one score column is kept on disk: whatever made
+        the features (a window, a join, a Python worker) runs once for all of them.
+        """
+        scores = kept(model.with_raw(table).select(RAW))
         try:
-            model.cut = contamination_cut(held, RAW, self.contamination)
+            model.cut = contamination_cut(scores, RAW, self.contamination)
         finally:
-            if self.keeps_scores:
-                held.unpersist()
+            scores.unpersist()
         return model

@@ -106,8 +106,6 @@ class ForestModel(Model):
 
 
 class ForestDetector(Detector):
-    keeps_scores = True
-
     def __init__(self, features: Sequence[str] | None = None, contamination: float = 0.1,
                  row_id: str = "row_id", seed: int = 42, on_null: str = "error",
                  n_trees: int = 100, max_samples: int = 256):

@@ -36,8 +36,11 @@ def choose_exactly(df: DataFrame, share: float, row_id: str, seed: int) -> Colum
         return F.lit(False)
     cut = int(found[wanted - 1])
     own = portable_hash(row_id, seed=seed)
-    tied = wanted - hashed.where(F.col("h") < cut).count()
-    last = hashed.where(F.col("h") == cut).orderBy("id").limit(tied).agg(F.max("id")).first()[0]
+    near = hashed.agg(F.count_if(F.col("h") < cut).alias("below"), F.count_if(F.col("h") == cut).alias("equal"),
+                      F.max(F.when(F.col("h") == cut, F.col("id"))).alias("last")).first()
+    tied, last = wanted - near["below"], near["last"]
+    if tied < near["equal"]:
+        last = hashed.where(F.col("h") == cut).orderBy("id").limit(tied).agg(F.max("id")).first()[0]
     return (own < F.lit(cut)) | ((own == F.lit(cut)) & (F.col(row_id) <= F.lit(last)))
 
 

@@ -49,12 +49,11 @@ class _Search:
             test = test & (value < F.lit(self.high))
         return test
 
-    def probes(self) -> Column:
+    def probes(self) -> list[float]:
+        """Shares of the bracket at which to look: around the wanted rank."""
         at = (self.rank - self.below + 0.5) / self.inside
         slack = 2.0 / SKETCH_ACCURACY
-        wanted = [min(max(at + s, 0.0), 1.0) for s in (-slack, 0.0, slack)]
-        inner = F.when(self.between(), F.col(self.column))
-        return F.percentile_approx(inner, wanted, SKETCH_ACCURACY)
+        return [min(max(at + s, 0.0), 1.0) for s in (-slack, 0.0, slack)]
 
     def narrow(self, points: Sequence[float], tallies: Sequence[tuple[int, int]]) -> None:
         """Use exact (rows < p, rows <= p) inside the bracket for each probe p."""
@@ -72,6 +71,43 @@ class _Search:
         self.inside = end - self.below
 
 
+def _sketched_points(values: DataFrame, wide: Sequence[_Search]) -> list[list[float]]:
+    """Candidate values per search; searches in the same bracket share one sketch."""
+    shared: dict[tuple, list[int]] = {}
+    for i, s in enumerate(wide):
+        shared.setdefault((s.column, s.low, s.high), []).append(i)
+    sketches = []
+    for n, members in enumerate(shared.values()):
+        inner = F.when(wide[members[0]].between(), F.col(wide[members[0]].column))
+        probes = [p for i in members for p in wide[i].probes()]
+        sketches.append(F.percentile_approx(inner, probes, SKETCH_ACCURACY).alias(f"p{n}"))
+    row = values.agg(*sketches).first()
+    points: list[list[float]] = [[] for _ in wide]
+    for n, members in enumerate(shared.values()):
+        for place, i in enumerate(members):
+            points[i] = sorted(set(row[f"p{n}"][3 * place:3 * place + 3]))
+    return points
+
+
+def _gather(values: DataFrame, left: Sequence[_Search], gather_rows: int) -> None:
+    """Settle the remaining searches from the few values inside their brackets, in one job."""
+    if not left:
+        return
+    if any(s.inside > gather_rows for s in left):
+        raise RuntimeError("the rank search did not converge")
+    shared: dict[tuple, list[_Search]] = {}
+    for s in left:
+        shared.setdefault((s.column, s.low, s.high), []).append(s)
+    cells = [F.when(members[0].between(), F.struct(F.lit(n).alias("n"), F.col(members[0].column).alias("v")))
+             for n, members in enumerate(shared.values())]
+    rows = values.select(F.inline(F.array_compact(F.array(*cells)))).toArrow()
+    owner, value = rows.column("n").to_numpy(), rows.column("v").to_numpy()
+    for n, members in enumerate(shared.values()):
+        inside = np.sort(value[owner == n])
+        for s in members:
+            s.found = float(inside[s.rank - s.below])
+
+
 def _select_ranks(values: DataFrame, wanted: Mapping[str, Sequence[int]],
                   counts: Mapping[str, int], gather_rows: int) -> dict[tuple[str, int], float]:
     searches = [_Search(c, r, counts[c]) for c, ranks in wanted.items() for r in sorted(set(ranks))]
@@ -79,8 +115,7 @@ def _select_ranks(values: DataFrame, wanted: Mapping[str, Sequence[int]],
         wide = [s for s in searches if s.found is None and s.inside > gather_rows]
         if not wide:
             break
-        row = values.agg(*[s.probes().alias(f"p{i}") for i, s in enumerate(wide)]).first()
-        points = [sorted(set(row[f"p{i}"])) for i in range(len(wide))]
+        points = _sketched_points(values, wide)
         tallies = []
         for i, (s, ps) in enumerate(zip(wide, points, strict=True)):
             value, inner = F.col(s.column), s.between()
@@ -90,12 +125,7 @@ def _select_ranks(values: DataFrame, wanted: Mapping[str, Sequence[int]],
         seen = values.agg(*tallies).first()
         for i, (s, ps) in enumerate(zip(wide, points, strict=True)):
             s.narrow(ps, [(seen[f"l{i}_{j}"], seen[f"u{i}_{j}"]) for j in range(len(ps))])
-    for s in searches:
-        if s.found is None:
-            if s.inside > gather_rows:
-                raise RuntimeError(f"rank search on {s.column} did not converge")
-            rows = values.where(s.between()).select(s.column).toArrow()
-            s.found = float(np.sort(rows.column(0).to_numpy())[s.rank - s.below])
+    _gather(values, [s for s in searches if s.found is None], gather_rows)
     return {(s.column, s.rank): s.found for s in searches}
 
 

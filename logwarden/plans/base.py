@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logwarden.common import spread
 from logwarden.functions.features import above
 from logwarden.operators.neighbours import previous_gap_seconds
 from logwarden.operators.quantiles import contamination_cut
@@ -18,14 +19,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def heavy_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows take long to process, on all cores."""
+    return spread(table(spark, sf_dir, name))
+
+
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every double, without negative zeros, so that engines can be compared."""
-    return df.select(*[(F.round(c, digits) + F.lit(0.0)).alias(c) if kind == "double" else F.col(c)
+    """Round every double, so that engines can be compared.
+
+    A nudge far below the last digit makes every engine break ties the same way; adding zero
+    removes the sign of a negative zero.
+    """
+    return df.select(*[(F.round(F.col(c) + F.lit(1e-9), digits) + F.lit(0.0)).alias(c) if kind == "double" else F.col(c)
                        for c, kind in df.dtypes])
 
 
 def r(expression: str, digits: int = 6) -> str:
-    return f"(ROUND({expression}, {digits}) + 0.0::DOUBLE)"
+    return f"(ROUND({expression} + 1e-9::DOUBLE, {digits}) + 0.0::DOUBLE)"
 
 
 def scored_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from logwarden.common import work_path
 from logwarden.functions import pii
 from logwarden.operators import audit, quality
-from logwarden.plans.base import SCORED, scored_events, table
+from logwarden.plans.base import SCORED, heavy_table, scored_events, table
 
 _TEXTS = {"documents": ("doc_id", "text"), "pages": ("page_id", "html")}
 
@@ -18,7 +18,7 @@ def _detect(name: str):
 
     def run(spark, sf_dir):
         """Number of matches and the matches themselves per type."""
-        found = table(spark, sf_dir, name).select(
+        found = heavy_table(spark, sf_dir, name).select(
             key, *[pii.pii_matches(F.col(text), k).alias(k) for k in pii.PII_PATTERNS])
         return found.select(key, *[c for k in pii.PII_PATTERNS for c in (
             F.size(k).alias(f"n_{k}"), F.array_join(k, "|").alias(k))])
@@ -28,13 +28,13 @@ def _detect(name: str):
 
 def pii_findings(spark, sf_dir):
     """Findings map in long form: one row per text and type that occurs."""
-    found = table(spark, sf_dir, "documents").select("doc_id", F.explode(pii.pii_findings(F.col("text"))).alias("type", "hits"))
+    found = heavy_table(spark, sf_dir, "documents").select("doc_id", F.explode(pii.pii_findings(F.col("text"))).alias("type", "hits"))
     return found.select("doc_id", "type", F.size("hits").alias("n"), F.array_join("hits", "|").alias("matches"))
 
 
 def _redact(name: str):
     key, text = _TEXTS[name]
-    return lambda spark, sf: table(spark, sf, name).select(key, pii.redact(F.col(text)).alias("redacted"))
+    return lambda spark, sf: heavy_table(spark, sf, name).select(key, pii.redact(F.col(text)).alias("redacted"))
 
 
 def anonymise(spark, sf_dir):
@@ -53,7 +53,7 @@ def customer_hash(spark, sf_dir):
 
 def sanitise_nested(spark, sf_dir):
     """Texts as arrays of lines inside structs and maps, cleaned at every depth."""
-    docs = table(spark, sf_dir, "documents").select(
+    docs = heavy_table(spark, sf_dir, "documents").select(
         "doc_id", F.struct(F.split("text", "\n").alias("lines"), F.col("lang")).alias("body"),
         F.create_map(F.lit("text"), F.col("text")).alias("extra"))
     clean = pii.sanitise(docs)
@@ -62,7 +62,7 @@ def sanitise_nested(spark, sf_dir):
 
 
 def text_validate(spark, sf_dir):
-    return quality.validate_text(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    return quality.validate_text(heavy_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
 def process_guarded(spark, sf_dir):
@@ -97,9 +97,9 @@ QUERIES = {
     "pii_detect": _detect("documents"),
     "pii_detect_pages": _detect("pages"),
     "pii_findings": pii_findings,
-    "pii_keywords": lambda s, d: table(s, d, "documents").select(
+    "pii_keywords": lambda s, d: heavy_table(s, d, "documents").select(
         "doc_id", F.array_join(pii.keyword_matches(F.col("text")), ",").alias("keywords")),
-    "pii_keywords_whole": lambda s, d: table(s, d, "pages").select(
+    "pii_keywords_whole": lambda s, d: heavy_table(s, d, "pages").select(
         "page_id", F.array_join(pii.keyword_matches(F.col("html"), whole_word=True), ",").alias("keywords")),
     "pii_redact": _redact("documents"),
     "pii_redact_pages": _redact("pages"),
