@@ -2,16 +2,26 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logwarden.llm import feistel_shards, line_rules, secret_links, stream_dedup
+from logwarden.llm import (bitmap_bpe, chosen_path, factor_quality, feistel_shards, html_tree, lexical_packing, line_rules,
+                           secret_links, stream_dedup)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_factor_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = factor_quality.fit(docs, table(spark, sf_dir, "labels"))
+    scored = factor_quality.score(docs, model, keep=["doc_id"])
+    return scored.select("doc_id", factor_quality.held_out(F.col("doc_id")).alias("held_out"), F.col("fm_score").alias("score"),
+                         (F.col("fm_score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op2_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_links.scan(table(spark, sf_dir, "documents"))
 
@@ -42,16 +52,38 @@ def op5_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op6_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "class_size")
+
+
 def op7_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feistel_shards.shard(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_bitmap_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitmap_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                                 public_tokenizers.PATTERN)
+
+
+def op9_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op10_html_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_tree.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
+    "op1_factor_quality": op1_factor_quality,
     "op2_secret_links": op2_secret_links,
     "op3_stream_dedup": op3_stream_dedup,
     "op5_line_rules": op5_line_rules,
+    "op6_chosen_path": op6_chosen_path,
     "op7_feistel_shards": op7_feistel_shards,
+    "op8_bitmap_bpe": op8_bitmap_bpe,
+    "op9_lexical_packing": op9_lexical_packing,
+    "op10_html_tree": op10_html_tree,
 }
 
 ORACLES = {
