@@ -14,7 +14,8 @@ empty table gives no rows; other columns of the input are not touched.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,7 +25,25 @@ from logwarden.common import work_path, written
 from logwarden.llm.tables import whole_text
 
 FILES_PER_BATCH = 1024
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE = "spark.sql.streaming.stateStore."
+STORE = {
+    STATE + "providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Space claimed ahead for the logs of every small store would exceed the state itself.
+    STATE + "rocksdb.allowFAllocate": "false",
+}
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for the time of a block."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def sha256(text: Column) -> Column:
@@ -43,23 +62,20 @@ def located(docs: DataFrame, digest: Callable[[Column], Column] = sha256) -> Dat
 
 
 def run_state(spark: SparkSession, staged: DataFrame, path: str, state_dir: str, files_per_batch: int) -> DataFrame:
-    """Pass the files under ``path`` through the keyed state; returns ``_digest, keep, group_size``."""
+    """Pass the files under ``path`` through the keyed state; returns the hits, ``_digest, keep, group_size``."""
     seen = spark.readStream.schema(staged.schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
     state = seen.groupBy("_digest").agg(F.max(F.struct("doc_id", "_place")).alias("keep"),
                                         F.count(F.lit(1)).alias("group_size"))
-    setting = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(setting, None)
-    spark.conf.set(setting, ROCKSDB)
-    try:
+    with settings(spark, STORE):
         query = (state.writeStream.outputMode("update").format("noop").option("checkpointLocation", state_dir)
                  .trigger(availableNow=True).start())
         query.awaitTermination()
-    finally:
-        spark.conf.set(setting, before) if before else spark.conf.unset(setting)
-    if not query.lastProgress:
-        return spark.createDataFrame([], "_digest binary, keep struct<doc_id:bigint,_place:struct<file:string,row:bigint>>, group_size bigint")
-    stored = spark.read.format("statestore").load(state_dir)
-    return stored.select("key._digest", F.col("value.max").alias("keep"), F.col("value.count").alias("group_size"))
+        if not query.lastProgress:
+            empty = staged.select("_digest", F.struct("doc_id", "_place").alias("keep"), F.lit(0).cast("bigint").alias("group_size"))
+            return empty.limit(0)
+        stored = spark.read.format("statestore").load(state_dir)
+        hits = stored.select("key._digest", F.col("value.max").alias("keep"), F.col("value.count").alias("group_size"))
+        return written(hits.where("group_size > 1"), "hits")
 
 
 def collisions(rows: DataFrame, hits: DataFrame) -> DataFrame:
@@ -86,8 +102,7 @@ def _groups(rows: DataFrame, state_dir: str | None, files_per_batch: int) -> Dat
     path = work_path(spark, "digests")
     rows.select("doc_id", "_place", "_digest").write.parquet(path)
     staged = spark.read.parquet(path)
-    state = run_state(spark, staged, path, state_dir or work_path(spark, "dedup-state"), files_per_batch)
-    hits = written(state.where("group_size > 1"), "hits")
+    hits = run_state(spark, staged, path, state_dir or work_path(spark, "dedup-state"), files_per_batch)
     mixed = written(collisions(rows, hits), "collisions")
     alone = F.struct("doc_id", "_place")
     out = staged.join(hits, "_digest", "left").select(
