@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from logwarden.common import written
 from logwarden.llm.components import components
-from logwarden.llm.tables import join_parts, whole_text
+from logwarden.llm.tables import join_parts, whole_groups, whole_text
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -157,36 +157,11 @@ def _bucket_edges(sketches: np.ndarray, least: float) -> list[tuple[int, int]]:
     return [(i, forest.root(i)) for i in range(n) if forest.root(i) != i]
 
 
-def _grouped(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
-    """Groups of a sorted partition, several at a time, never cut: yields tables that hold whole groups."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        last = [batch.column(k)[batch.num_rows - 1].as_py() for k in range(keys)]
-        cut = batch.num_rows
-        columns = [batch.column(k).to_pylist() for k in range(keys)]
-        while cut and all(columns[k][cut - 1] == last[k] for k in range(keys)):
-            cut -= 1
-        if held and cut == 0 and [held[-1].column(k)[held[-1].num_rows - 1].as_py() for k in range(keys)] == last:
-            held.append(batch)
-            continue
-        if cut:
-            yield pa.Table.from_batches([*held, batch.slice(0, cut)])
-            held = [batch.slice(cut)]
-        else:
-            if held:
-                yield pa.Table.from_batches(held)
-            held = [batch]
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _search(rows: DataFrame, least: float) -> DataFrame:
     """Edges ``a, b`` found in the buckets of ``path, sid, sketch``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _grouped(batches, 1):
+        for table in whole_groups(batches, 1):
             path = table.column(0).to_numpy()
             cuts = np.concatenate([[0], np.flatnonzero(path[1:] != path[:-1]) + 1, [len(path)]])
             wanted = np.flatnonzero(np.diff(cuts) > 1)
@@ -267,7 +242,7 @@ def _verify(rows: DataFrame, similarity: float) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _grouped(batches, 3):
+        for table in whole_groups(batches, 3):
             names, left, right, own = (table.column(i).to_pylist() for i in range(4))
             sids, copies = table.column(4).to_pylist(), table.column(5).to_numpy()
             sets = [np.frombuffer(t, np.uint64) for t in table.column(6).to_pylist()]

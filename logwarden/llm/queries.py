@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logwarden.llm import (bitmap_bpe, chosen_path, factor_quality, feistel_shards, html_tree, lexical_packing, line_rules,
+from logwarden.llm import (bitmap_bpe, bwt_dedup, chosen_path, factor_quality, feistel_shards, html_tree, lexical_packing, line_rules,
                            secret_links, stream_dedup)
 
 
@@ -47,6 +47,12 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))"""
 
 
+def op4_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bwt_dedup.remove(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+                        F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.judge(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -78,6 +84,7 @@ QUERIES = {
     "op1_factor_quality": op1_factor_quality,
     "op2_secret_links": op2_secret_links,
     "op3_stream_dedup": op3_stream_dedup,
+    "op4_bwt_dedup": op4_bwt_dedup,
     "op5_line_rules": op5_line_rules,
     "op6_chosen_path": op6_chosen_path,
     "op7_feistel_shards": op7_feistel_shards,

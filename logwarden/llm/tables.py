@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,3 +25,28 @@ def whole_text(df: DataFrame, name: str = "text") -> Column:
 def join_parts(df: DataFrame) -> int:
     """How many partitions a shuffle of this session has."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """Groups of a sorted partition, several at a time, never cut: yields tables that hold whole groups."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        last = [batch.column(k)[batch.num_rows - 1].as_py() for k in range(keys)]
+        cut = batch.num_rows
+        columns = [batch.column(k).to_pylist() for k in range(keys)]
+        while cut and all(columns[k][cut - 1] == last[k] for k in range(keys)):
+            cut -= 1
+        if held and cut == 0 and [held[-1].column(k)[held[-1].num_rows - 1].as_py() for k in range(keys)] == last:
+            held.append(batch)
+            continue
+        if cut:
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+            held = [batch.slice(cut)]
+        else:
+            if held:
+                yield pa.Table.from_batches(held)
+            held = [batch]
+    if held:
+        yield pa.Table.from_batches(held)
