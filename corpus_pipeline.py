@@ -2,20 +2,48 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from logwarden.common import work_path
-from logwarden.llm import stream_dedup
+from logwarden.llm import chosen_path, factor_quality, lexical_packing, secret_links, stream_dedup
 
 
-def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the factorisation machine scores below one half go."""
+    model = factor_quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return factor_quality.score(docs, model).where(F.col("fm_score") >= 0.5).drop("fm_score")
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the largest doc_id stays."""
     return stream_dedup.deduplicate(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near copies one document stays."""
+    return chosen_path.deduplicate(docs)
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets and linked credentials are cut out of the texts; every document stays."""
+    return secret_links.redact(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, by sequence."""
+    return lexical_packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 STAGES = [
-    ("exact dedup", exact_dedup),
+    ("quality classifier", quality),
+    ("exact dedup", exact),
+    ("near duplicates", near),
+    ("secret scans", secrets),
+    ("packing", packing),
 ]
+# A trained classifier and a tokenizer are no SQL; the tests compare each stage with a plain version.
 ORACLE_SQL = None
 
 
