@@ -27,12 +27,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logwarden.common import written
 from logwarden.llm.components import components
-from logwarden.llm.tables import join_parts, whole_groups, whole_text
+from logwarden.llm.tables import free_name, join_parts, whole_groups, whole_text
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -337,8 +337,9 @@ def deduplicate(docs: DataFrame, **settings) -> DataFrame:
     Rows equal in doc_id and text stay or go together.
     """
     found = join(docs, **settings)
-    gone = found.where(~(F.col("keep.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("keep.text_key") == F.col("text_key")))).select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
-    own = docs.withColumn("_text_key", F.unhex(F.sha2(whole_text(docs).cast("binary"), 256)))
-    met = own.join(gone.hint("shuffle_hash"), own["doc_id"].eqNullSafe(gone["_id"]) & (own["_text_key"] == gone["_key"]), "left_anti")
-    return met.select([docs[c] for c in docs.columns])
+    own_id, own_key, key = (free_name(docs, n) for n in ("_id", "_key", "_text_key"))
+    stays = F.col("keep.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("keep.text_key") == F.col("text_key"))
+    gone = found.where(~stays).select(F.col("doc_id").alias(own_id), F.col("text_key").alias(own_key)).distinct()
+    own = docs.withColumn(key, F.unhex(F.sha2(whole_text(docs).cast("binary"), 256)))
+    met = own.join(gone.hint("shuffle_hash"), own["doc_id"].eqNullSafe(gone[own_id]) & (own[key] == gone[own_key]), "left_anti")
+    return met.drop(key)

@@ -186,8 +186,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows: in
                    np.frombuffer(found["factors"], np.float32).reshape(WIDTH, FACTORS).copy())
 
 
-def score(docs: DataFrame, model: Machine, keep: list[str] | None = None) -> DataFrame:
-    """``docs`` (or its columns ``keep``) with ``fm_score`` between 0 and 1."""
+def score(docs: DataFrame, model: Machine, keep: list[str] | None = None, name: str = "fm_score") -> DataFrame:
+    """``docs`` (or its columns ``keep``) with a new column ``name`` between 0 and 1."""
     names = docs.columns if keep is None else keep
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -207,4 +207,4 @@ def score(docs: DataFrame, model: Machine, keep: list[str] | None = None) -> Dat
     plain = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(names)], whole_text(docs).alias("t"), _recorded(docs).alias("r"))
     shape = ", ".join(f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(names))
     done = plain.mapInArrow(run, f"{shape}, c{len(names)} double" if names else "c0 double")
-    return done.toDF(*names, "fm_score")
+    return done.toDF(*names, name)

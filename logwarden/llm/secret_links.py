@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logwarden.common import written
-from logwarden.llm.tables import let, whole_text
+from logwarden.llm.tables import free_name, let, whole_text
 
 REACH = 200
 # Fixed values of the base rules.
@@ -137,11 +137,13 @@ def scan(docs: DataFrame, reach: int = REACH) -> DataFrame:
 
 def redact(docs: DataFrame, mark: str = "[REDACTED]", reach: int = REACH) -> DataFrame:
     """``docs`` with every reported span replaced, overlapping spans by one mark; ``n_chars`` follows the text."""
+    own_id, own_digest, own_spans, digest = (free_name(docs, n) for n in ("_id", "_digest", "_spans", "_own_digest"))
     found = scan(docs, reach).where("size(spans) > 0").distinct().select(
-        F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), F.col("spans").alias("_spans"))
+        F.col("doc_id").alias(own_id), F.col("digest").alias(own_digest), F.col("spans").alias(own_spans))
     text = whole_text(docs)
-    own = docs.withColumn("_digest_own", F.sha2(text.cast("binary"), 256))
-    met = own.join(found.hint("shuffle_hash"), own["doc_id"].eqNullSafe(found["_id"]) & (own["_digest_own"] == found["_digest"]), "left")
+    own = docs.withColumn(digest, F.sha2(text.cast("binary"), 256))
+    met = own.join(found.hint("shuffle_hash"), own["doc_id"].eqNullSafe(found[own_id]) & (own[digest] == found[own_digest]), "left")
+    spans = found[own_spans]
 
     def cleaned(spans: Column) -> Column:
         start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
@@ -153,7 +155,7 @@ def redact(docs: DataFrame, mark: str = "[REDACTED]", reach: int = REACH) -> Dat
         return F.aggregate(spans, start, step, lambda s: F.concat(
             F.array_join(s["out"], ""), F.substring(text, (s["at"] + 1).cast("int"), F.lit(2**31 - 1))))
 
-    clean = F.when(F.col("_spans").isNull(), docs["text"]).otherwise(cleaned(F.col("_spans")))
-    size = F.when(F.col("_spans").isNull(), docs["n_chars"]).otherwise(F.length(clean)) if "n_chars" in docs.columns else None
+    clean = F.when(spans.isNull(), docs["text"]).otherwise(cleaned(spans))
+    size = F.when(spans.isNull(), docs["n_chars"]).otherwise(F.length(clean)) if "n_chars" in docs.columns else None
     return met.select([clean.alias(c) if c == "text" else size.cast(dict(docs.dtypes)[c]).alias(c) if c == "n_chars" else docs[c]
                        for c in docs.columns])

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logwarden.common import work_path, written
-from logwarden.llm.tables import whole_text
+from logwarden.llm.tables import free_name, whole_text
 
 FILES_PER_BATCH = 1024
 STATE = "spark.sql.streaming.stateStore."
@@ -50,15 +50,18 @@ def sha256(text: Column) -> Column:
     return F.unhex(F.sha2(text.cast("binary"), 256))
 
 
-def located(docs: DataFrame, digest: Callable[[Column], Column] = sha256) -> DataFrame:
-    """``docs`` with ``_digest`` and ``_place`` (file and row); a table that is not read from files is written first."""
+def located(docs: DataFrame) -> DataFrame:
+    """``docs`` read from files that tell each row's place; any other table is written first."""
     try:
-        meta = docs.metadataColumn("_metadata")
-        docs.select(meta["row_index"])
+        docs.select(docs.metadataColumn("_metadata")["row_index"])
     except AnalysisException:
-        return located(written(docs, "documents"), digest)
-    place = F.struct(meta["file_path"].alias("file"), meta["row_index"].alias("row"))
-    return docs.withColumns({"_digest": digest(whole_text(docs)), "_place": place})
+        return located(written(docs, "documents"))
+    return docs
+
+
+def place(docs: DataFrame) -> Column:
+    meta = docs.metadataColumn("_metadata")
+    return F.struct(meta["file_path"].alias("file"), meta["row_index"].alias("row"))
 
 
 def run_state(spark: SparkSession, staged: DataFrame, path: str, state_dir: str, files_per_batch: int) -> DataFrame:
@@ -78,39 +81,37 @@ def run_state(spark: SparkSession, staged: DataFrame, path: str, state_dir: str,
         return written(hits.where("group_size > 1"), "hits")
 
 
-def collisions(rows: DataFrame, hits: DataFrame) -> DataFrame:
-    """Digests whose rows do not agree in all bytes.
+def collisions(texts: DataFrame, hits: DataFrame) -> DataFrame:
+    """Digests whose rows do not agree in all bytes; ``texts``: _digest, _text.
 
     Texts meet their hit in a join whose hot partitions can be split; each task then reduces a
     digest to its smallest and largest text, so one row per task and digest is shuffled on.
     """
-    texts = rows.select("_digest", whole_text(rows).cast("binary").alias("_bytes"))
     met = texts.join(hits.select("_digest").hint("shuffle_hash"), "_digest")
     again = met.groupBy(F.concat(F.col("_digest"), F.lit("").cast("binary")).alias("_digest"))
-    ends = again.agg(F.min("_bytes").alias("_low"), F.max("_bytes").alias("_high"))
+    ends = again.agg(F.min(F.col("_text").cast("binary")).alias("_low"), F.max(F.col("_text").cast("binary")).alias("_high"))
     return ends.where("_low != _high").select("_digest")
 
 
 def groups(docs: DataFrame, state_dir: str | None = None, files_per_batch: int = FILES_PER_BATCH,
            digest: Callable[[Column], Column] = sha256) -> DataFrame:
     """One row per document: ``doc_id, _place, _digest, keep`` (id and place of the row that stays), ``group_size``."""
-    return _groups(located(docs, digest), state_dir, files_per_batch)
-
-
-def _groups(rows: DataFrame, state_dir: str | None, files_per_batch: int) -> DataFrame:
-    spark = rows.sparkSession
+    spark, docs = docs.sparkSession, located(docs)
+    text = whole_text(docs)
+    rows = docs.select(docs["doc_id"].alias("doc_id"), place(docs).alias("_place"), digest(text).alias("_digest"))
     path = work_path(spark, "digests")
-    rows.select("doc_id", "_place", "_digest").write.parquet(path)
+    rows.write.parquet(path)
     staged = spark.read.parquet(path)
     hits = run_state(spark, staged, path, state_dir or work_path(spark, "dedup-state"), files_per_batch)
-    mixed = written(collisions(rows, hits), "collisions")
+    mixed = written(collisions(docs.select(digest(text).alias("_digest"), text.alias("_text")), hits), "collisions")
     alone = F.struct("doc_id", "_place")
     out = staged.join(hits, "_digest", "left").select(
         "doc_id", "_place", "_digest", F.coalesce("keep", alone).alias("keep"),
         F.coalesce("group_size", F.lit(1)).cast("bigint").alias("group_size"))
     if mixed.isEmpty():
         return out
-    apart = rows.join(mixed, "_digest", "left_semi").select("doc_id", "_place", "_digest", whole_text(rows).alias("_text"))
+    every = docs.select(docs["doc_id"].alias("doc_id"), place(docs).alias("_place"), digest(text).alias("_digest"), text.alias("_text"))
+    apart = every.join(mixed, "_digest", "left_semi")
     keepers = apart.groupBy("_digest", "_text").agg(F.max(alone).alias("keep"), F.count(F.lit(1)).alias("group_size"))
     split = apart.join(keepers, ["_digest", "_text"]).select(*out.columns)
     return out.join(mixed, "_digest", "left_anti").unionByName(split)
@@ -124,6 +125,8 @@ def flagged(found: DataFrame) -> DataFrame:
 
 def deduplicate(docs: DataFrame, state_dir: str | None = None, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
     """The rows of ``docs`` that stay, all columns as they were."""
-    rows = located(docs)
-    gone = flagged(_groups(rows, state_dir, files_per_batch)).where("not kept").select("_place")
-    return rows.join(gone, "_place", "left_anti").select([rows[c] for c in docs.columns])
+    docs = located(docs)
+    name = free_name(docs, "_place")
+    gone = flagged(groups(docs, state_dir, files_per_batch)).where("not kept").select(F.col("_place").alias(name))
+    rows = docs.withColumn(name, place(docs))
+    return rows.join(gone, name, "left_anti").drop(name)

@@ -22,6 +22,14 @@ def whole_text(df: DataFrame, name: str = "text") -> Column:
     return F.coalesce(df[name], F.lit(""))
 
 
+def free_name(df: DataFrame, wish: str) -> str:
+    """A column name that the table does not have yet."""
+    taken = {c.lower() for c in df.columns}
+    while wish in taken:
+        wish += "_"
+    return wish
+
+
 def join_parts(df: DataFrame) -> int:
     """How many partitions a shuffle of this session has."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
