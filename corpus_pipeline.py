@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 
 from logwarden.common import work_path
 from logwarden.llm import chosen_path, factor_quality, lexical_packing, secret_links, stream_dedup
+from logwarden.llm.tables import free_name
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorisation machine scores below one half go."""
     model = factor_quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return factor_quality.score(docs, model).where(F.col("fm_score") >= 0.5).drop("fm_score")
+    name = free_name(docs, "fm_score")
+    return factor_quality.score(docs, model, name=name).where(F.col(name) >= 0.5).drop(name)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
