@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 import os
+import re
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -33,47 +34,71 @@ END = 2
 SHARD_TOKENS = 1 << 23
 QUERY_TERMS = 24
 K1, B = 1.2, 0.75
-CACHED = 300_000  # chunks kept per generation and worker
+CACHED = 600_000  # chunks kept per generation and worker
 LONGEST_CACHED = 48
+# Lower-case letters whose bytes and upper-case forms are the same in every version of Unicode.
+LETTERS = "abcdefghijklmnopqrstuvwxyzàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþ"
+PLAIN = re.compile(f"[{LETTERS}{LETTERS.upper()}]+").fullmatch
 PIECE = ("start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint")
 
 
-class Tokens:
-    """A tokenizer that remembers the ids of short chunks between blanks and line ends.
+class Tokens(dict):
+    """A tokenizer that remembers the ids of chunks between blanks and line ends, in two bounded generations.
 
-    The tokenizer never joins characters across white space, so chunks can be encoded alone.
+    The tokenizer never joins characters across white space, so chunks can be encoded alone. A chunk of
+    plain letters, with a comma or full stop at most, is handed to the tokenizer's merges directly.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size()
         self.kind = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
-        self.young: dict[str, bytes] = {}
+        self.end = np.array([END], self.kind).tobytes()
         self.old: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text and the end token, as little-endian integers of ``kind``."""
-        chunked = [text.replace("\n", " ").split(" ") for text in texts]
-        fresh = set().union(*chunked).difference(self.young)
-        if len(self.young) + len(fresh) > CACHED:
-            self.old, self.young = self.young, {}
-            fresh = set().union(*chunked)
-        young = self.young
-        if fresh:
-            old = self.old
-            missing = sorted(fresh.difference(old))
-            young.update((chunk, old[chunk]) for chunk in fresh.intersection(old))
-            for chunk, found in zip(missing, self.tokenizer.encode_batch(missing, add_special_tokens=False)):
-                young[chunk] = np.array(found.ids, self.kind).tobytes()
-        end = np.array([END], self.kind).tobytes()
-        out = [b"".join(map(young.__getitem__, chunks)) + end for chunks in chunked]
-        for chunk in fresh:
-            if len(chunk) > LONGEST_CACHED:
-                del young[chunk]
-        return out
+        self.stops = {mark: self._whole(mark) for mark in ",."}
+        # How the tokenizer writes the bytes of a letter, as told by itself.
+        self.letters = {}
+        for letter in LETTERS:
+            found = self.tokenizer.pre_tokenizer.pre_tokenize_str(letter) if self.tokenizer.pre_tokenizer else []
+            self.letters[ord(letter)] = found[0][0] if len(found) == 1 else letter
+        probes = [*LETTERS, *LETTERS.upper(), "hello", "WORLD", "Élève", LETTERS]
+        self.direct = all(self._letters(p.lower()) == self._whole(p) for p in probes)
+
+    def _whole(self, chunk: str) -> bytes:
+        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, self.kind).tobytes()
+
+    def _letters(self, word: str) -> bytes:
+        return np.array([t.id for t in self.tokenizer.model.tokenize(word.translate(self.letters))], self.kind).tobytes()
+
+    def _ids(self, chunk: str) -> bytes:
+        if not self.direct:
+            return self._whole(chunk)
+        mark = chunk[-1:] if chunk[-1:] in self.stops else ""
+        word = chunk[:-1] if mark else chunk
+        if not PLAIN(word):
+            return self._whole(chunk)
+        lower = word.lower()
+        ids = self._letters(lower) if not mark and lower == word else self[lower]
+        return ids + self.stops[mark] if mark else ids
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.old.get(chunk)
+        if ids is None:
+            ids = self._ids(chunk) if chunk else b""
+        if len(chunk) <= LONGEST_CACHED:
+            if len(self) >= CACHED:
+                self.old = dict(self)
+                self.clear()
+            self[chunk] = ids
+        return ids
+
+    def encode(self, text: str) -> bytes:
+        """Ids of a text and the end token, as little-endian integers of ``kind``."""
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" "))) + self.end
 
 
 _tokens: dict[str, Tokens] = {}
@@ -85,46 +110,60 @@ def tokens(path: str) -> Tokens:
     return _tokens[path]
 
 
-def tokenised(docs: DataFrame, path: str) -> DataFrame:
-    """``doc_id, ids, n_tokens`` of every row, read back from the shared folder."""
+def tokenised(docs: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, ids, n_tokens`` of every row, and per task how many documents hold each id, both read from the shared folder."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokens(path)
         width = own.kind.itemsize
+        seen = np.zeros(own.size, np.int64)
+        kind = None
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
-                ids = own.encode(part.column(1).to_pylist())
+            kind = batch.column(0).type
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                ids = [own.encode(text) for text in part.column(1).to_pylist()]
+                sizes = [len(i) // width for i in ids]
+                # Every (document, id) once: sorted together, a document's number in the upper half.
+                both = np.frombuffer(b"".join(ids), own.kind) + (np.repeat(np.arange(len(ids), dtype=np.uint64), sizes) << np.uint64(32))
+                both.sort()
+                fresh = both[np.append(True, both[1:] != both[:-1])]
+                seen += np.bincount((fresh & np.uint64(0xFFFFFFFF)).astype(np.int64), minlength=own.size)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(ids, pa.binary()), pa.array([len(i) // width for i in ids], pa.int64())],
-                    ["doc_id", "ids", "n_tokens"])
+                    [part.column(0), pa.array(ids, pa.binary()), pa.array(sizes, pa.int64()), pa.nulls(len(ids), pa.binary())],
+                    ["doc_id", "ids", "n_tokens", "seen"])
+        if kind is not None:
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(1, kind), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64()), pa.array([seen.tobytes()], pa.binary())],
+                ["doc_id", "ids", "n_tokens", "seen"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select(docs["doc_id"], whole_text(docs).alias("t")).mapInArrow(run, f"doc_id {kind}, ids binary, n_tokens bigint")
+    shape = f"doc_id {kind}, ids binary, n_tokens bigint, seen binary"
     place = work_path(docs.sparkSession, "tokens")
-    rows.write.option("compression", "zstd").parquet(place)
-    return docs.sparkSession.read.schema(rows.schema).parquet(place)
+    docs.select(docs["doc_id"], whole_text(docs).alias("t")).mapInArrow(run, shape).write.option("compression", "zstd").parquet(place)
+    found = docs.sparkSession.read.schema(shape).parquet(place)
+    return found.where("seen is null").drop("seen"), found.where("seen is not null").select("seen")
 
 
-def corpus_weights(rows: DataFrame, path: str) -> tuple[np.ndarray, int, float]:
+def corpus_weights(rows: DataFrame, seen: DataFrame, size: int) -> tuple[np.ndarray, int, float]:
     """Inverse document frequencies of the whole corpus, its ids, and the mean length of a document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = tokens(path)
-        seen = np.zeros(own.size, np.int64)
+        total = np.zeros(size, np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                seen[np.unique(np.frombuffer(ids.as_py(), own.kind))] += 1
-        found = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(seen[found], pa.int64())], ["id", "docs"])
+            for one in batch.column(0):
+                total += np.frombuffer(one.as_py(), np.int64)
+        found = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(total[found], pa.int64())], ["id", "docs"])
 
-    counted = rows.select("ids").mapInArrow(run, "id bigint, docs bigint").groupBy("id").agg(F.sum("docs").alias("docs"))
+    counted = seen.mapInArrow(run, "id bigint, docs bigint").groupBy("id").agg(F.sum("docs").alias("docs"))
     # One row per vocabulary entry at most, whatever the corpus.
     found = counted.toPandas()
     total = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("n_tokens").alias("t")).first()
     n, ids = total["n"], total["t"] or 0
-    idf = np.zeros(tokens(path).size, np.float32)
-    idf[found["id"].to_numpy(np.int64)] = np.log1p((n - found["docs"].to_numpy() + 0.5) / (found["docs"].to_numpy() + 0.5))
+    idf = np.zeros(size, np.float32)
+    docs = found["docs"].to_numpy(np.float64)
+    idf[found["id"].to_numpy(np.int64)] = np.log1p((n - docs + 0.5) / (docs + 0.5))
     return idf, ids, ids / max(n, 1)
 
 
@@ -133,30 +172,31 @@ class Index:
 
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean: float):
         self.n = len(docs)
-        terms, counts, sizes = [], [], []
-        for ids in docs:
-            t, c = np.unique(ids[:-1], return_counts=True)
-            terms.append(t.astype(np.int32))
-            counts.append(c.astype(np.float32))
-            sizes.append(len(t))
-        term, tf = np.concatenate(terms), np.concatenate(counts)
-        own = np.repeat(np.arange(self.n, dtype=np.int32), sizes)
-        long = np.array([len(ids) for ids in docs], np.float32)
-        gain = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * long[own] / max(mean, 1.0)))
+        long = np.array([len(ids) for ids in docs])
+        # (document, id) pairs in order; the end token tells nothing.
+        both = np.concatenate(docs) + (np.repeat(np.arange(self.n, dtype=np.uint64), long) << np.uint64(32))
+        both.sort()
+        cuts = np.append(np.flatnonzero(np.append(True, both[1:] != both[:-1])), len(both))
+        tf = np.diff(cuts).astype(np.float32)
+        both = both[cuts[:-1]]
+        own, term = (both >> np.uint64(32)).astype(np.int32), (both & np.uint64(0xFFFFFFFF)).astype(np.int32)
+        norm = (K1 * (1 - B + B * long / max(mean, 1.0))).astype(np.float32)
+        gain = idf[term] * tf * (K1 + 1) / (tf + norm[own])
+        gain[term == END] = 0
         # The terms that tell most about a document ask for its neighbours.
-        bounds = np.concatenate([[0], np.cumsum(sizes)])
-        self.queries = []
-        for i in range(self.n):
-            at = slice(bounds[i], bounds[i + 1])
-            k = min(QUERY_TERMS, sizes[i])
-            best = np.argpartition(-gain[at], k - 1)[:k] if k else np.empty(0, np.int64)
-            self.queries.append(term[at][best])
-        order = np.argsort(term, kind="stable")
+        self.bounds = np.searchsorted(own, np.arange(self.n + 1))
+        self.term, self.worth = term, gain
+        order = np.argsort(term.astype(np.uint16) if len(idf) <= 1 << 16 else term, kind="stable")
         self.docs, self.gain = own[order], gain[order]
         self.starts = np.searchsorted(term[order], np.arange(len(idf) + 1))
 
+    def query(self, doc: int) -> np.ndarray:
+        at = slice(self.bounds[doc], self.bounds[doc + 1])
+        worth, k = self.worth[at], min(QUERY_TERMS, self.bounds[doc + 1] - self.bounds[doc])
+        return self.term[at][np.argpartition(-worth, k - 1)[:k]] if k else np.empty(0, np.int32)
+
     def scores(self, doc: int) -> np.ndarray:
-        cuts = [slice(self.starts[t], self.starts[t + 1]) for t in self.queries[doc]]
+        cuts = [slice(self.starts[t], self.starts[t + 1]) for t in self.query(doc)]
         if not cuts:
             return np.zeros(self.n)
         return np.bincount(np.concatenate([self.docs[c] for c in cuts]),
@@ -235,8 +275,8 @@ def pack_shard(docs: list[np.ndarray], idf: np.ndarray, mean: float, window: int
 
 def pack(docs: DataFrame, path: str, shard_tokens: int = SHARD_TOKENS, window: int = WINDOW) -> DataFrame:
     """``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset`` for every piece of every document."""
-    rows = tokenised(docs, path)
-    idf, total, mean = corpus_weights(rows, path)
+    rows, seen = tokenised(docs, path)
+    idf, total, mean = corpus_weights(rows, seen, tokens(path).size)
     shards = max(1, math.ceil(total / shard_tokens))
     weights = docs.sparkSession.sparkContext.broadcast(idf)
     kind = docs.schema["doc_id"].dataType.simpleString()
