@@ -2,13 +2,14 @@
 
 Rows are dealt into shards by hash and stay there, on disk, for all epochs. In each epoch
 every shard runs mini-batch Adam over its rows, starting from the same broadcast state, and
-the states (weights and Adam moments) are averaged by row count. With one shard this is
-plain mini-batch training; with many it is parameter averaging once per epoch. Shards
-stream in Arrow batches, so a task never holds more than one batch of rows.
+the states (weights and Adam moments) are averaged by row count: parameter averaging once
+per epoch, with as many shards as the caller names, at any size of the table. Shards stream
+in Arrow batches, so a task never holds more than one batch of rows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -26,8 +27,7 @@ HIDDEN = (64, 32, 16)
 EPOCHS, BATCH, LEARNING_RATE = 100, 32, 1e-3
 BETA1, BETA2, EPSILON = 0.9, 0.999, 1e-8
 
-ROWS_PER_SHARD = 8192
-MAX_SHARDS = 4096
+SHARDS = 8
 STATE_SCHEMA = "shard int, rows bigint, state array<double>"
 
 
@@ -135,30 +135,31 @@ def _epoch_task(sizes, shared, names, batch_rows, rate, seed, epoch):
     return run
 
 
-def _averaged(shards: DataFrame) -> DataFrame:
-    """Row-weighted mean of the shard states by position, summed in shard order.
-
-    The sum runs on the cluster, one small group (at most MAX_SHARDS numbers) per position.
-    """
-    cells = shards.select("shard", "rows", F.posexplode("state").alias("place", "value"))
-    held = F.array_sort(F.collect_list(F.struct("shard", "rows", "value")))
-    total = F.aggregate(held, F.lit(0.0), lambda a, c: a + c["rows"] * c["value"])
-    return cells.groupBy("place").agg((total / F.sum("rows")).alias("value"))
+def _add(table: pa.Table) -> pa.Table:
+    """The row-weighted sum of some shard states, in shard order."""
+    table = table.sort_by("shard")
+    rows = table.column("rows").to_numpy()
+    states = table.column("state").combine_chunks().values.to_numpy().reshape(len(rows), -1)
+    total = np.zeros(states.shape[1])
+    for n, state in zip(rows, states, strict=True):
+        total += n * state
+    return pa.table({"part": table.column("part")[:1], "rows": pa.array([int(rows.sum())], pa.int64()),
+                     "state": pa.array([total], pa.list_(pa.float64()))})
 
 
 def train(table: DataFrame, names: Sequence[str], row_id: str, hidden: Sequence[int], epochs: int,
-          batch_rows: int, rate: float, seed: int, rows_per_shard: int) -> tuple[Network, list[float]]:
-    """Train on every row of ``(row_id, names...)``; gives the network and the loss per epoch."""
+          batch_rows: int, rate: float, seed: int, shards: int) -> tuple[Network, list[float]]:
+    """Train on every row of ``(row_id, names...)``; gives the network and the loss per epoch.
+
+    States are added in two levels, so about the square root of their number comes to the driver.
+    """
     spark = table.sparkSession
-    rows = table.count()
-    if rows == 0:
-        raise ValueError("cannot fit an empty table")
-    shards = max(1, min(MAX_SHARDS, -(-rows // rows_per_shard)))
     keyed = table.select(F.pmod(row_hash(row_id, seed=seed), F.lit(shards)).cast("int").alias("shard"),
                          row_hash(row_id, seed=seed + 1).alias("_h"), row_id,
                          *[F.col(c).cast("float").alias(c) for c in names])
     dealt = kept(keyed.repartitionById(shards, F.col("shard"))
                  .sortWithinPartitions("shard", "_h", row_id).select("shard", *names))
+    parts = math.isqrt(shards - 1) + 1
     sizes = layer_sizes(len(names), hidden)
     state = AdamState.start(Network.initial(sizes, seed))
     history = []
@@ -166,17 +167,27 @@ def train(table: DataFrame, names: Sequence[str], row_id: str, hidden: Sequence[
         for epoch in range(epochs):
             shared = spark.sparkContext.broadcast(state)
             task = _epoch_task(sizes, shared, list(names), batch_rows, rate, seed, epoch)
-            mean = _averaged(dealt.mapInArrow(task, STATE_SCHEMA)).toArrow()
-            merged = np.empty(len(state) + 1)
-            merged[mean.column("place").to_numpy()] = mean.column("value").to_numpy()
-            state = merged[:-1]
-            history.append(float(merged[-1]))
+            states = dealt.mapInArrow(task, STATE_SCHEMA).withColumn("part", F.pmod("shard", F.lit(parts)))
+            sums = _add_all(states.groupBy("part").applyInArrow(_add, "part int, rows bigint, state array<double>").toArrow())
+            if sums is None:
+                raise ValueError("cannot fit an empty table")
+            state = sums[:-1]
+            history.append(float(sums[-1]))
             shared.destroy()
     finally:
         dealt.unpersist()
     return Network(sizes, state[:Network.length(sizes)].astype(np.float32)), history
 
 
+def _add_all(sums: pa.Table) -> np.ndarray | None:
+    """The mean state from the sums of the parts, in their order."""
+    rows, total = 0, None
+    for part in sums.sort_by("part").to_pylist():
+        vector = np.array(part["state"])
+        rows, total = rows + part["rows"], vector if total is None else total + vector
+    return None if total is None else total / rows
+
+
 class AutoencoderModel(Model):
     method = "autoencoder"
 
@@ -215,14 +226,14 @@ class AutoencoderDetector(Detector):
     def __init__(self, features: Sequence[str] | None = None, contamination: float = 0.1,
                  row_id: str = "row_id", seed: int = 42, on_null: str = "error",
                  hidden_dims: Sequence[int] = HIDDEN, epochs: int = EPOCHS, batch_size: int = BATCH,
-                 learning_rate: float = LEARNING_RATE, rows_per_shard: int = ROWS_PER_SHARD):
+                 learning_rate: float = LEARNING_RATE, shards: int = SHARDS):
         super().__init__(features, contamination, row_id, seed, on_null)
-        if epochs < 1 or batch_size < 1 or not hidden_dims:
-            raise ValueError("epochs, batch_size and hidden_dims must be positive")
+        if epochs < 1 or batch_size < 1 or shards < 1 or not hidden_dims:
+            raise ValueError("epochs, batch_size, shards and hidden_dims must be positive")
         self.hidden_dims, self.epochs, self.batch_size = tuple(hidden_dims), epochs, batch_size
-        self.learning_rate, self.rows_per_shard = learning_rate, rows_per_shard
+        self.learning_rate, self.shards = learning_rate, shards
 
-    def fit(self, df: DataFrame) -> AutoencoderModel:
+    def learn(self, df: DataFrame) -> tuple[AutoencoderModel, DataFrame]:
         names = self.training_features(df)
         table = self.training_table(df, names, self.row_id)
         scale = fit_scale(table, names)
@@ -230,5 +241,5 @@ class AutoencoderDetector(Detector):
         network, history = train(
             table.select(self.row_id, *[z.alias(c) for c, z in zip(names, scaled, strict=True)]), names,
             self.row_id, self.hidden_dims, self.epochs, self.batch_size, self.learning_rate,
-            self.seed, self.rows_per_shard)
-        return self.set_cut(AutoencoderModel(scale, network, history), table)
+            self.seed, self.shards)
+        return AutoencoderModel(scale, network, history), table

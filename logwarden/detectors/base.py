@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logwarden.common import clean_feature, drop_missing, feature_columns, kept, require_columns
+from logwarden.common import assert_unique, clean_feature, drop_missing, feature_columns, kept, require_columns, written
 from logwarden.operators.quantiles import contamination_cut
 
 RAW = "_raw"
@@ -41,10 +41,13 @@ class Model(ABC):
         require_columns(df, self.features)
         if on_null == "drop":
             df = drop_missing(df, self.features)
+        return self.flagged(self.with_raw(df, RAW, on_null), score, pred).drop(RAW)
+
+    def flagged(self, raw_scored: DataFrame, score: str = "score", pred: str = "pred") -> DataFrame:
+        """The reported score and the flag of rows that have their raw score."""
         raw = F.col(RAW)
         shown = raw - F.lit(self.cut) if self.reports_margin else raw
-        return (self.with_raw(df, RAW, on_null)
-                .withColumns({score: shown, pred: (raw > F.lit(self.cut)).cast("int")}).drop(RAW))
+        return raw_scored.withColumns({score: shown, pred: (raw > F.lit(self.cut)).cast("int")})
 
     def inputs(self, on_null: str = "error") -> list[Column]:
         return [clean_feature(c, on_null) for c in self.features]
@@ -74,19 +77,30 @@ class Detector(ABC):
         self.row_id, self.seed, self.on_null = row_id, seed, on_null
 
     @abstractmethod
+    def learn(self, df: DataFrame) -> tuple[Model, DataFrame]:
+        """Learn from every row of the table; gives the model, still without a cut-off, and its training rows."""
+
     def fit(self, df: DataFrame) -> Model:
-        """Learn from every row of the table."""
+        return self.set_cut(*self.learn(df))
 
     def fit_score(self, df: DataFrame) -> DataFrame:
-        return self.fit(df).score(df, on_null=self.on_null)
+        """``fit(df).score(df)``, with every row scored once: the scored table is written to the shared folder."""
+        model, _ = self.learn(df)
+        if self.on_null == "drop":
+            df = drop_missing(df, model.features)
+        scored = written(model.with_raw(df, RAW, self.on_null), "scored")
+        model.cut = contamination_cut(scored, RAW, self.contamination)
+        return model.flagged(scored).drop(RAW)
 
     def training_features(self, df: DataFrame) -> list[str]:
         return [c for c in feature_columns(df, self.features) if c != self.row_id]
 
     def training_table(self, df: DataFrame, names: Sequence[str], *keys: str) -> DataFrame:
-        """Keys and clean features only, so that nothing else is read from the source."""
+        """Keys and clean features only, so that nothing else is read from the source; row ids must be unique."""
         if not names:
             raise ValueError("no numeric feature to learn from")
+        if self.row_id in keys:
+            assert_unique(df, self.row_id)
         if self.on_null == "drop":
             df = drop_missing(df, names)
         return df.select(*keys, *[clean_feature(c, self.on_null).alias(c) for c in names])

@@ -29,7 +29,7 @@ class DeviationModel(Model):
 
 
 class DeviationDetector(Detector):
-    def fit(self, df: DataFrame) -> DeviationModel:
+    def learn(self, df: DataFrame) -> tuple[DeviationModel, DataFrame]:
         names = self.training_features(df)
         table = self.training_table(df, names)
-        return self.set_cut(DeviationModel(fit_scale(table, names)), table)
+        return DeviationModel(fit_scale(table, names)), table

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from logwarden.common import kept
 from logwarden.detectors.base import RAW, Detector, Model, check_contamination
 from logwarden.operators.buckets import add_bucket
-from logwarden.operators.quantiles import contamination_cut
+from logwarden.operators.quantiles import contamination_cut, ranked_values
 
-RANK_POINTS = 1000
+RANK_POINTS = 100
 NORMALISE = ("none", "zscore", "rank")
 
 
@@ -51,9 +51,11 @@ class EnsembleModel(Model):
                                    for i, (m, s) in enumerate(self.references)})
         if self.normalise == "rank":
             for i, grid in enumerate(self.references):
-                size = len({float(g) for g in grid})
-                df = add_bucket(df, f"_s{i}", grid, f"_r{i}").withColumn(
-                    f"_s{i}", F.col(f"_r{i}") / F.lit(float(max(size, 1)))).drop(f"_r{i}")
+                # The share of the reference points that lie at or below a score, ties counted as often as they occur.
+                edges = sorted(set(grid))
+                shares = [0.0, *[sum(g <= e for g in grid) / len(grid) for e in edges]]
+                df = add_bucket(df, f"_s{i}", edges, f"_r{i}").withColumn(
+                    f"_s{i}", F.get(F.array(*map(F.lit, shares)), F.col(f"_r{i}"))).drop(f"_r{i}")
         return df
 
     def _drop_members(self, df: DataFrame) -> DataFrame:
@@ -116,6 +118,12 @@ class EnsembleDetector(Detector):
         self.detectors, self.voting, self.normalise = list(detectors), voting_method, normalise
         self.threshold_on = threshold_on
 
+    def learn(self, df: DataFrame) -> tuple[EnsembleModel, DataFrame]:
+        raise NotImplementedError("members learn apart; use fit")
+
+    def fit_score(self, df: DataFrame) -> DataFrame:
+        return self.fit(df).score(df, on_null=self.on_null)
+
     def fit(self, df: DataFrame) -> EnsembleModel:
         members = [d.fit(df) for d in self.detectors]
         model = EnsembleModel(members, self.voting, self.normalise, (), None, self.threshold_on, self.contamination)
@@ -128,9 +136,10 @@ class EnsembleDetector(Detector):
                 row = scores.agg(*parts).first()
                 model.references = [(row[f"m{c}"], row[f"d{c}"]) for c in names]
             elif self.normalise == "rank":
-                at = [i / RANK_POINTS for i in range(RANK_POINTS + 1)]
-                row = scores.agg(*[F.percentile_approx(c, at, 10 * RANK_POINTS).alias(c) for c in names]).first()
-                model.references = [row[c] for c in names]
+                # Exact scores at evenly spaced ranks of the table.
+                for c in names:
+                    n, at = ranked_values(scores, c, lambda n: sorted({i * (n - 1) // RANK_POINTS for i in range(RANK_POINTS + 1)}))
+                    model.references.append([at[i * (n - 1) // RANK_POINTS] for i in range(RANK_POINTS + 1)])
             mean = model._normalised(scores).select(soft_vote(names).alias(RAW))
             model.cut = contamination_cut(mean, RAW, self.contamination)
         finally:

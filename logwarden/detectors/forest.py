@@ -1,19 +1,18 @@
 """Isolation forest (Liu, Ting and Zhou 2008).
 
-Each tree needs only a few hundred rows, so the rows are chosen by hash on the cluster, the
-trees grow in parallel (one group per tree, of fixed size), and the finished forest, some
-hundred kilobytes, is broadcast for scoring in Arrow batches.
+Each tree needs only a few hundred rows. A pool of a fixed number of rows is chosen by hash on
+the cluster; every tree draws its own rows from it, and the trees grow in parallel. The finished
+forest, some hundred kilobytes, is broadcast for scoring in Arrow batches.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
-from typing import Any
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logwarden.common import row_hash
@@ -21,6 +20,7 @@ from logwarden.detectors.base import RAW, Detector, Model
 
 TREE_SCHEMA = "tree int, feature array<int>, threshold array<double>, path array<double>"
 _EULER = 0.5772156649
+POOL_SAMPLES = 64  # rows of the pool, in samples of one tree
 
 
 def average_path(size: float) -> float:
@@ -114,52 +114,30 @@ class ForestDetector(Detector):
             raise ValueError("the forest needs a tree and at least two rows per tree")
         self.n_trees, self.max_samples = n_trees, max_samples
 
-    def fit(self, df: DataFrame) -> ForestModel:
+    def learn(self, df: DataFrame) -> tuple[ForestModel, DataFrame]:
         names = self.training_features(df)
         table = self.training_table(df, names, self.row_id)
-        rows = table.count()
-        if rows == 0:
+        # A fixed number of rows, those with the smallest hashes, at any size of the table.
+        hashed = table.withColumn("_h", row_hash(self.row_id, seed=self.seed)).orderBy("_h", self.row_id)
+        pool = hashed.limit(POOL_SAMPLES * self.max_samples).select(*names).toPandas().to_numpy(dtype=np.float64)
+        if not len(pool):
             raise ValueError("cannot fit an empty table")
-        sample = min(self.max_samples, rows)
+        sample = min(self.max_samples, len(pool))
         depth = max(1, math.ceil(math.log2(max(sample, 2))))
-        seed, row_id = self.seed, self.row_id
-
-        def grow(key: tuple[Any, ...], group: pd.DataFrame) -> pd.DataFrame:
-            ordered = group.sort_values(row_id)[names].to_numpy(dtype=np.float64)
-            parts = grow_tree(ordered, np.random.default_rng([seed, key[0]]), depth)
-            return pd.DataFrame([[key[0], *(p.tolist() for p in parts)]],
-                                columns=["tree", "feature", "threshold", "path"])
-
-        chosen = self._tree_rows(table, rows, sample)
+        spark, seed = df.sparkSession, self.seed
+        shared = spark.sparkContext.broadcast(pool)
+
+        def grow(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for part in parts:
+                for tree in part["id"].tolist():
+                    rng = np.random.default_rng([seed, tree])
+                    rows = shared.value[rng.choice(len(shared.value), sample, replace=False)]
+                    grown = [p.tolist() for p in grow_tree(rows, rng, depth)]
+                    yield pd.DataFrame([[tree, *grown]], columns=["tree", "feature", "threshold", "path"])
+
+        tasks = min(self.n_trees, spark.sparkContext.defaultParallelism)
         # At most n_trees rows come to the driver.
-        trees = chosen.groupBy("tree").applyInPandas(grow, TREE_SCHEMA).orderBy("tree").collect()
-        model = ForestModel(names, np.array([t["feature"] for t in trees], dtype=np.int32),
-                            np.array([t["threshold"] for t in trees]),
-                            np.array([t["path"] for t in trees]), sample)
-        return self.set_cut(model, table)
-
-    def _tree_rows(self, table: DataFrame, rows: int, sample: int) -> DataFrame:
-        """``sample`` rows per tree, the same for any partitioning.
-
-        A large table gives the rows with the smallest hashes, dealt out one by one, so the
-        trees see disjoint rows. A small one is ranked anew for each tree.
-        """
-        wanted = self.n_trees * sample
-        order = [F.col("_h"), F.col(self.row_id)]
-        if rows < wanted:
-            trees = F.explode(F.sequence(F.lit(0), F.lit(self.n_trees - 1)))
-            drawn = table.withColumn("tree", trees).withColumn("_h", row_hash(self.row_id, "tree", seed=self.seed))
-            place = F.row_number().over(Window.partitionBy("tree").orderBy(*order))
-            return drawn.withColumn("_n", place).where(F.col("_n") <= sample).drop("_n", "_h")
-        hashed = table.withColumn("_h", row_hash(self.row_id, seed=self.seed))
-        share = min(1.0, 1.1 * (wanted + 6 * math.sqrt(wanted)) / rows)
-        while True:
-            # Only a thin slice of hash values is sorted; it holds the smallest ones.
-            limit = min(2**63 - 1, -(2**63) + int(share * 2**64))
-            slice_ = hashed.where(F.col("_h") <= F.lit(limit))
-            if share >= 1.0 or slice_.count() >= wanted:
-                break
-            share = min(1.0, 2 * share)
-        first = slice_.orderBy(*order).limit(wanted)
-        place = F.row_number().over(Window.orderBy(*order))  # n_trees * max_samples rows
-        return first.withColumn("tree", ((place - 1) % self.n_trees).cast("int")).drop("_h")
+        trees = spark.range(0, self.n_trees, 1, tasks).mapInPandas(grow, TREE_SCHEMA).orderBy("tree").collect()
+        return ForestModel(names, np.array([t["feature"] for t in trees], dtype=np.int32),
+                           np.array([t["threshold"] for t in trees]),
+                           np.array([t["path"] for t in trees]), sample), table

@@ -100,7 +100,7 @@ class LinearDetector(Detector):
         super().__init__(features, contamination, row_id, seed, on_null)
         self.components = components
 
-    def fit(self, df: DataFrame) -> LinearModel:
+    def learn(self, df: DataFrame) -> tuple[LinearModel, DataFrame]:
         names = self.training_features(df)
         table = self.training_table(df, names)
         scale = fit_scale(table, names)
@@ -108,4 +108,4 @@ class LinearDetector(Detector):
         spread = np.array([s if s > 0 else 1.0 for s in scale.stds])
         k = self.components or max(1, len(names) // 2)
         axes, _ = principal_axes(cov / np.outer(spread, spread), min(k, len(names)))
-        return self.set_cut(LinearModel(scale, axes), table)
+        return LinearModel(scale, axes), table

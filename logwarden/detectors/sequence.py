@@ -43,7 +43,7 @@ class SequenceModel(Model):
 
     def params(self) -> dict:
         return {**super().params(), "base": self.base.params(), "entity": self.entity, "time": self.time,
-                "row_id": self.row_id, "length": self.length, "assign": self.assign}
+                "row_id": self.row_id, "length": self.length, "assign": self.assign, "limit": self.limit}
 
     def arrays(self):
         return self.base.arrays()
@@ -52,7 +52,7 @@ class SequenceModel(Model):
     def restore(cls, params, arrays):
         base = _BASES[params["base"]["method"]].restore(params["base"], arrays)
         return cls(base, params["features"], params["entity"], params["time"], params["row_id"],
-                   int(params["length"]), params["assign"])
+                   int(params["length"]), params["assign"], params.get("limit"))
 
 
 def flat_name(step: int, feature: int) -> str:
@@ -70,6 +70,12 @@ class SequenceDetector(Detector):
         self.entity, self.time, self.length, self.assign = entity, time, sequence_length, assign
         self.base, self.limit, self.base_settings = base, limit, base_settings
 
+    def learn(self, df: DataFrame) -> tuple[SequenceModel, DataFrame]:
+        raise NotImplementedError("the cut-off of a sequence model comes from its windows; use fit")
+
+    def fit_score(self, df: DataFrame) -> DataFrame:
+        return self.fit(df).score(df, on_null=self.on_null)
+
     def fit(self, df: DataFrame) -> SequenceModel:
         names = [c for c in self.training_features(df) if c not in (self.entity, self.time)]
         table = self.training_table(df, names, self.row_id, self.entity, self.time)

@@ -38,13 +38,16 @@ def derive_features(df: DataFrame) -> DataFrame:
 
 
 def floor_at_zero(df: DataFrame, columns: Sequence[str] = HOST_METRICS) -> DataFrame:
+    """Negative values become zero; null and NaN stay what they are."""
     # The zero is cast so that the column keeps its type.
     kinds = {f.name: f.dataType for f in df.schema.fields}
-    return df.withColumns({c: F.greatest(F.col(c), F.lit(0).cast(kinds[c])) for c in columns})
+    return df.withColumns({c: F.when(F.col(c) < 0, F.lit(0).cast(kinds[c])).otherwise(F.col(c)) for c in columns})
 
 
 def cap_percent(column: Column) -> Column:
-    return F.least(column, F.lit(100.0))
+    """At most 100; null and NaN stay what they are."""
+    value = column.cast("double")
+    return F.when((value > 100) & ~F.isnan(value), F.lit(100.0)).otherwise(value)
 
 
 def cap_percentages(df: DataFrame, columns: Sequence[str] = PERCENT_METRICS) -> DataFrame:
@@ -61,8 +64,22 @@ def at_least(score: str, threshold: float) -> Column:
 
 
 def outcome_tag(label: str = "label", pred: str = "pred") -> Column:
+    """The cell of the confusion matrix; a label or flag other than 0 and 1 is an error."""
     actual, flagged = F.col(label) == 1, F.col(pred) == 1
-    return (F.when(actual & flagged, "TP").when(flagged, "FP").when(actual, "FN").otherwise("TN"))
+    wrong = F.raise_error(F.lit("labels and flags must be 0 or 1")).cast("string")
+    return (F.when(~(is_class(label) & is_class(pred)), wrong)
+            .when(actual & flagged, "TP").when(flagged, "FP").when(actual, "FN").otherwise("TN"))
+
+
+def is_class(column: str) -> Column:
+    """True for 0 and 1 alone; never null."""
+    return F.coalesce(F.col(column).isin(0, 1), F.lit(False))
+
+
+def class_of(column: str) -> Column:
+    """A 0/1 label as int; anything else is an error."""
+    wrong = F.raise_error(F.concat(F.lit(f"{column} is not 0 or 1: "), F.coalesce(F.col(column).cast("string"), F.lit("null"))))
+    return F.when(is_class(column), F.col(column).cast("int")).otherwise(wrong.cast("int"))
 
 
 def z_flag(z_score: str = "z_score", limit: float = 2.0) -> Column:

@@ -83,10 +83,10 @@ def masked_identifier(value: Column, prefix: str, salt: str = "", n_chars: int =
 
 
 def pseudonymous_ip(value: Column) -> Column:
-    """A private address built from the first two bytes of the hash."""
+    """A private address built from the first two bytes of the hash; null stays null."""
     digest = F.sha2(value.cast("string"), 256)
     octets = [F.conv(F.substring(digest, at, 2), 16, 10) for at in (1, 3)]
-    return F.concat_ws(".", F.lit("192.168"), *octets)
+    return F.when(value.isNotNull(), F.concat_ws(".", F.lit("192.168"), *octets))
 
 
 def anonymise(df: DataFrame, user_ids: str | None = "user_id", addresses: str | None = "source_ip",

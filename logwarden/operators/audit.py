@@ -8,7 +8,7 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logwarden.functions.pii import sanitise
+from logwarden.functions.pii import anonymise, sanitise
 from logwarden.operators.quality import validate_table
 
 AUDIT_SCHEMA = ("timestamp timestamp, event_type string, description string, user_id string, "
@@ -57,6 +57,27 @@ def model_operation(spark: SparkSession, operation: str, model_type: str, user_i
                                      user_id, None, extra, at))
 
 
+@dataclass(frozen=True)
+class PrivacySettings:
+    hash_user_ids: bool = True
+    hash_ip_addresses: bool = True
+    remove_pii: bool = True
+    audit_trail: bool = True
+    gdpr_compliant: bool = True
+    ccpa_compliant: bool = True
+    hipaa_compliant: bool = False
+    # Not part of the report: flooring of the time column, and redaction of free text in tables.
+    anonymize_timestamps: bool = False
+    redact_text: bool = False
+
+
+def privacy_protection_setup(spark: SparkSession, settings: PrivacySettings | None = None, user_id: str | None = None,
+                             at: Column | None = None) -> DataFrame:
+    """The protection measures that were switched on, one event."""
+    on = {k: str(v).lower() for k, v in asdict(settings or PrivacySettings()).items()}
+    return _one(spark, event_columns("privacy_protection_setup", "Privacy protection measures initialized", user_id, None, on, at))
+
+
 def anomaly_detection(scored: DataFrame, method: Column | str, user_id: str | None = None,
                       at: Column | None = None) -> DataFrame:
     """One event per method with its number of flagged rows."""
@@ -81,21 +102,10 @@ def audit_tail(audit: DataFrame, limit: int) -> DataFrame:
     return audit.orderBy(F.col("timestamp").desc(), F.col("event_type").desc(), F.col("description").desc()).limit(limit)
 
 
-@dataclass(frozen=True)
-class PrivacySettings:
-    hash_user_ids: bool = True
-    hash_ip_addresses: bool = True
-    remove_pii: bool = True
-    audit_trail: bool = True
-    gdpr_compliant: bool = True
-    ccpa_compliant: bool = True
-    hipaa_compliant: bool = False
-
-
 def privacy_report(audit: DataFrame, settings: PrivacySettings = PrivacySettings()) -> DataFrame:
     """One row: the settings, event counts and the compliance status."""
     total = F.count(F.lit(1))
-    flags = [F.lit(v).alias(k) for k, v in asdict(settings).items()]
+    flags = [F.lit(v).alias(k) for k, v in asdict(settings).items() if k not in ("anonymize_timestamps", "redact_text")]
     return audit.agg(total.alias("total_events"), F.least(total, F.lit(RECENT_EVENTS)).alias("recent_events")).select(
         *flags, "total_events", "recent_events", F.lit("ACTIVE").alias("data_protection_status"),
         F.lit("COMPLIANT" if settings.gdpr_compliant else "NON_COMPLIANT").alias("compliance_status"))
@@ -111,8 +121,11 @@ class InvalidData(ValueError):
 
 def process(df: DataFrame, operation: str = "process", data_type: str = "DataFrame",
             settings: PrivacySettings = PrivacySettings(), user_id: str | None = None,
-            required: tuple[str, ...] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Access event, validation, sanitising: ``(clean table, findings, audit events)``."""
+            required: tuple[str, ...] | None = None, time: str = "timestamp") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Access event, validation, sanitising: ``(clean table, findings, audit events)``.
+
+    Sanitising hashes the id columns; times are floored and free text is redacted where the settings say so.
+    """
     spark = df.sparkSession
     audit = data_access(spark, data_type, operation, user_id)
     findings = validate_table(df) if required is None else validate_table(df, required)
@@ -124,9 +137,11 @@ def process(df: DataFrame, operation: str = "process", data_type: str = "DataFra
         raise InvalidData(f"Data validation failed: {errors}", audit.unionByName(failed))
     clean = df
     if settings.remove_pii:
-        clean = sanitise(df, "user_id" if settings.hash_user_ids else None,
-                         "source_ip" if settings.hash_ip_addresses else None,
-                         keep=() if settings.hash_user_ids and settings.hash_ip_addresses else ("user_id", "source_ip"))
+        users = "user_id" if settings.hash_user_ids else None
+        addresses = "source_ip" if settings.hash_ip_addresses else None
+        if settings.redact_text:
+            clean = sanitise(clean, None, None, keep=("user_id", "source_ip"))
+        clean = anonymise(clean, users, addresses, time if settings.anonymize_timestamps else None)
     warnings = [r["detail"] for r in known if r["severity"] == "warning"]
     if warnings:
         audit = audit.unionByName(security_event(spark, "data_validation_warning",

@@ -13,12 +13,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logwarden.common import ratio
-from logwarden.operators.buckets import add_bucket
+from logwarden.common import ratio, written
 
 ROWS_PER_RANGE = 500_000
-MAX_RANGES = 2048
-EDGE_ACCURACY = 20_000
 
 
 def score_steps(df: DataFrame, label: str = "label", score: str = "score",
@@ -31,26 +28,22 @@ def score_steps(df: DataFrame, label: str = "label", score: str = "score",
     """
     value = F.col(score).cast("double")
     base = df.select(value.alias("score"), F.col(label).cast("int").alias("label"))
-    # One text literal: planning two thousand number literals takes longer than the pass.
-    grid = ",".join(str(i / MAX_RANGES) for i in range(1, MAX_RANGES))
     usable = F.col("score").isNotNull() & ~F.isnan("score") & F.coalesce(F.col("label").isin(0, 1), F.lit(False))
     seen = base.agg(
         F.count_if(~usable).alias("bad"),
         F.approx_count_distinct("score").alias("distinct"),
         F.count_if(F.col("label") == 1).alias("positives"),
-        F.count_if(F.col("label") == 0).alias("negatives"),
-        F.expr(f"percentile_approx(score, cast(split('{grid}', ',') as array<double>), {EDGE_ACCURACY})")
-        .alias("grid")).first()
+        F.count_if(F.col("label") == 0).alias("negatives")).first()
     if seen["bad"]:
         raise ValueError(f"{seen['bad']} rows have no usable score or a label other than 0 and 1")
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = min(MAX_RANGES, max(least, -(-seen["distinct"] // rows_per_range)))
-    edges = (seen["grid"] or [])[:: max(1, MAX_RANGES // ranges)]
+    ranges = max(least, -(-seen["distinct"] // rows_per_range))
     groups = base.groupBy("score").agg(F.count_if(F.col("label") == 1).alias("pos"),
                                        F.count_if(F.col("label") == 0).alias("neg"))
-    steps = add_bucket(groups, "score", edges, "range")
+    # Ranges of distinct scores, so ties cannot make them uneven; written, so that the ranges stay as they are.
+    steps = written(groups.repartitionByRange(ranges, "score").withColumn("range", F.spark_partition_id()), "score-ranges")
 
-    # At most MAX_RANGES + 1 rows: this window may run in one task.
+    # One row per range: this window may run in one task.
     above = Window.orderBy(F.col("range").desc())
     before = above.rowsBetween(Window.unboundedPreceding, -1)
     totals = (
@@ -98,12 +91,13 @@ def roc_points(steps: DataFrame, corners_only: bool = True) -> DataFrame:
 
 
 def pr_points(steps: DataFrame, corners_only: bool = False) -> DataFrame:
-    """``threshold, precision, recall`` at every distinct score."""
+    """``threshold, precision, recall`` at every distinct score, and the end (1, 0) with a null threshold."""
     points = steps.where(_is_corner()) if corners_only else steps
+    end = steps.sparkSession.createDataFrame([(None, 1.0, 0.0)], "threshold double, precision double, recall double")
     return points.select(
         F.col("score").alias("threshold"),
         ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
-        ratio(F.col("tp"), F.col("positives")).alias("recall"))
+        ratio(F.col("tp"), F.col("positives")).alias("recall")).unionByName(end)
 
 
 @dataclass(frozen=True)

@@ -45,6 +45,11 @@ def zscore_explanation(table: DataFrame, features: Sequence[str] | None = None,
 
 
 def _top_features(rows: DataFrame, names: Sequence[str], base: Scale, row_id: str, k: int) -> DataFrame:
+    return _top_array(rows, names, base, row_id, k).select(row_id, F.explode("top_features").alias("cell"), "method").select(
+        row_id, "cell.rank", "cell.feature", "cell.value", "cell.z_score", "cell.normal_mean", "cell.normal_std", "method")
+
+
+def _top_array(rows: DataFrame, names: Sequence[str], base: Scale, row_id: str, k: int) -> DataFrame:
     cells = []
     for i, (c, m, s) in enumerate(zip(names, base.means, base.stds, strict=True)):
         value = F.col(c).cast("double")
@@ -52,16 +57,17 @@ def _top_features(rows: DataFrame, names: Sequence[str], base: Scale, row_id: st
                               F.lit(c).alias("feature"), value.alias("value"),
                               F.lit(m).alias("normal_mean"), F.lit(s).alias("normal_std")))
     top = F.slice(F.sort_array(F.array(*cells), asc=False), 1, k)
-    return rows.select(row_id, F.posexplode(top).alias("at", "cell")).select(
-        row_id, (F.col("at") + 1).alias("rank"), "cell.feature", "cell.value", "cell.z_score",
-        "cell.normal_mean", "cell.normal_std", F.lit("Z-Score").alias("method"))
+    ranked = F.transform(top, lambda c, i: F.struct((i + 1).alias("rank"), *[
+        c[n].alias(n) for n in ("feature", "value", "z_score", "normal_mean", "normal_std")]))
+    return rows.select(row_id, F.lit("Z-Score").alias("method"), ranked.alias("top_features"))
 
 
-def nested_explanation(long: DataFrame, row_id: str = "row_id") -> DataFrame:
-    """One row per explained instance with ``top_features`` as an array of structs."""
-    names = [c for c in long.columns if c not in (row_id, "method")]
-    return long.groupBy(row_id, "method").agg(
-        F.array_sort(F.collect_list(F.struct("rank", *[c for c in names if c != "rank"]))).alias("top_features"))
+def nested_explanation(table: DataFrame, features: Sequence[str] | None = None, asked: DataFrame | None = None,
+                       row_id: str = "row_id", baseline: str = "pred", max_features: int = 10) -> DataFrame:
+    """The z-score explanation with one row per explained row and ``top_features`` as an array; no shuffle."""
+    names = [c for c in feature_columns(table, features) if c != row_id]
+    base = fit_scale(normal_rows(table, asked, row_id, baseline), names)
+    return _top_array(asked_rows(table, asked, row_id), names, base, row_id, max_features)
 
 
 def explanation_report(long: DataFrame, row_id: str = "row_id", limit: float = 2.0) -> DataFrame:
@@ -89,7 +95,7 @@ def background_rows(table: DataFrame, row_id: str, size: int = BACKGROUND_ROWS,
 
 def shapley_explanation(table: DataFrame, model: Model, asked: DataFrame, row_id: str = "row_id",
                         permutations: int = 64, background: int = BACKGROUND_ROWS, seed: int = 42,
-                        max_features: int = 10, max_rows: int = 1000) -> DataFrame:
+                        max_features: int = 10) -> DataFrame:
     """Sampled Shapley contributions (Strumbelj and Kononenko 2014) of each feature.
 
     For every asked row and every random feature order, features switch one by one from a
@@ -98,9 +104,6 @@ def shapley_explanation(table: DataFrame, model: Model, asked: DataFrame, row_id
     ``prediction_score`` the sum over the features.
     """
     names = list(model.features)
-    size = asked.count()
-    if size > max_rows:
-        raise ValueError(f"{size} rows asked; raise max_rows to explain that many")
     plain = [F.col(c).cast("double").alias(c) for c in names]
     # The background is a fixed number of rows; written so that every row is drawn once.
     base = written(background_rows(table.select(row_id, *plain), row_id, background, seed), "background")

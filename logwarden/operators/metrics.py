@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logwarden.common import ratio, require_columns
+from logwarden.common import ratio, require_columns, written
+from logwarden.functions.features import is_class
 from logwarden.operators.buckets import add_bucket
 from logwarden.operators.curves import CurveTargets, curve_metrics, score_steps
 
@@ -22,16 +24,20 @@ SWEEP_POINTS = 100
 
 def confusion_counts(scored: DataFrame, label: str = "label", pred: str = "pred",
                      by: Sequence[str] = ()) -> DataFrame:
-    """``tp, fp, tn, fn`` as one row, or one row per group."""
+    """``tp, fp, tn, fn`` as one row, or one row per group; labels and flags other than 0 and 1 are an error."""
     require_columns(scored, [label, pred, *by])
     actual, flagged = F.col(label) == 1, F.col(pred) == 1
     rows = scored.groupBy(*by) if by else scored
-    return rows.agg(
+    counts = rows.agg(
         F.count_if(actual & flagged).alias("tp"),
         F.count_if(~actual & flagged).alias("fp"),
         F.count_if(~actual & ~flagged).alias("tn"),
         F.count_if(actual & ~flagged).alias("fn"),
+        F.count_if(~(is_class(label) & is_class(pred))).alias("_wrong"),
     )
+    stop = F.raise_error(F.concat(F.col("_wrong").cast("string"), F.lit(" rows have a label or flag other than 0 and 1")))
+    return counts.select(*by, *[F.when(F.col("_wrong") > 0, stop.cast("bigint")).otherwise(F.col(c)).alias(c)
+                                for c in ("tp", "fp", "tn", "fn")])
 
 
 def confusion_matrix(scored: DataFrame, label: str = "label", pred: str = "pred") -> DataFrame:
@@ -162,17 +168,19 @@ def threshold_sweep(scored: DataFrame, thresholds: Sequence[float] | None = None
     """Confusion counts and basic metrics of ``score >= threshold`` per threshold.
 
     Each score is put into the gap between two thresholds and counted there, so the data is
-    read once whatever the number of thresholds.
+    read once whatever the number of thresholds. Infinite thresholds are allowed, NaN is not.
     """
     asked = list(map(float, thresholds)) if thresholds is not None else sweep_thresholds(scored)
-    grid = sorted(set(asked))
+    if any(math.isnan(t) for t in asked):
+        raise ValueError("a threshold must be a number")
+    grid = sorted({t for t in asked if math.isfinite(t)})
     spark = scored.sparkSession
-    gaps = add_bucket(scored.select(F.col("score").cast("double").alias("score"), "label"),
-                      "score", grid, "gap")
+    placed = add_bucket(scored.select(F.col("score").cast("double").alias("score"), "label"), "score", grid, "gap")
+    # Below all finite thresholds is level 0, at infinity the last one.
+    gaps = placed.withColumn("gap", F.when(F.col("score") == math.inf, F.lit(len(grid) + 1)).otherwise(F.col("gap")))
     counts = gaps.groupBy("gap").agg(F.count_if(F.col("label") == 1).alias("pos"),
                                      F.count_if(F.col("label") == 0).alias("neg"))
-    levels = spark.createDataFrame([(0, None), *((i + 1, t) for i, t in enumerate(grid))],
-                                   "gap int, threshold double")
+    levels = spark.createDataFrame(list(enumerate([-math.inf, *grid, math.inf])), "gap int, threshold double")
     # One row per threshold from here on.
     down = Window.orderBy(F.col("gap").desc()).rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.orderBy("gap").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -181,7 +189,6 @@ def threshold_sweep(scored: DataFrame, thresholds: Sequence[float] | None = None
         levels.join(counts, "gap", "left")
         .select("gap", "threshold", F.sum(pos).over(down).alias("tp"), F.sum(neg).over(down).alias("fp"),
                 F.sum(pos).over(whole).alias("p"), F.sum(neg).over(whole).alias("n"))
-        .where("gap > 0")
         .select("threshold", "tp", "fp", (F.col("n") - F.col("fp")).alias("tn"),
                 (F.col("p") - F.col("tp")).alias("fn"))
     )
@@ -191,10 +198,14 @@ def threshold_sweep(scored: DataFrame, thresholds: Sequence[float] | None = None
 
 def evaluate(scored: DataFrame, with_scores: bool = True, ks: Sequence[int] = PRECISION_K,
              targets: CurveTargets = CurveTargets()) -> DataFrame:
-    """All metrics as one wide row (row_id, label, pred and, optionally, score as input)."""
-    row = flag_metrics(scored)
+    """All metrics as one wide row (row_id, label, pred and, optionally, score as input).
+
+    The four columns are written once, so whatever computed the scores does not run again for each part.
+    """
     if not with_scores:
-        return row
+        return flag_metrics(scored)
+    scored = written(scored.select("row_id", "label", "pred", "score"), "evaluated")
+    row = flag_metrics(scored)
     parts = [row, precision_at_k(scored, ks), curve_metrics(score_steps(scored), targets)]
     keyed = [p.withColumn("_all", F.lit("all")) for p in parts]  # each part is one row
     return keyed[0].join(keyed[1], "_all").join(keyed[2], "_all").drop("_all")

@@ -12,45 +12,44 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from logwarden.common import written
 from logwarden.functions.features import micros
 
 LARGE_ENTITY_ROWS = 1_000_000
-MAX_PIECES = 512
+SAMPLE_PER_PIECE = 200
 _PIECE, _TIME, _BORROWED = "_piece", "_time", "_borrowed"
 
 
-def large_entities(df: DataFrame, entity: str, time: str, limit: int | None = None) -> list[tuple]:
-    """``(entity, cut times)`` of entities above the limit.
+def large_entities(df: DataFrame, entity: str, time: str, limit: int | None = None) -> DataFrame | None:
+    """``_entity, _cuts``: times that cut every entity above the limit into pieces of about that size.
 
-    The limit is at least 1/MAX_PIECES of the table, so at most MAX_PIECES entities qualify
-    and the cut times stay below 2 * MAX_PIECES numbers.
+    The limit does not depend on the table. The cuts are every so-many-th of the times that a hash
+    picks, about ``SAMPLE_PER_PIECE`` a piece, so finding them sorts a small part of the rows. None
+    where no entity is large.
     """
-    sizes = df.groupBy(entity).agg(F.count(F.lit(1)).alias("n"))
-    seen = sizes.agg(F.sum("n").alias("rows"), F.max("n").alias("most")).first()
     floor = limit or LARGE_ENTITY_ROWS
-    if not seen["rows"] or seen["most"] <= floor:
-        return []
-    floor = max(floor, -(-seen["rows"] // MAX_PIECES))
-    large = [(r[entity], r["n"]) for r in sizes.where(F.col("n") > floor).collect()]
-    cuts = []
-    for pieces in sorted({-(-n // floor) for _, n in large}):
-        same = [e for e, n in large if -(-n // floor) == pieces]
-        at = [i / pieces for i in range(1, pieces)]
-        found = (df.where(F.col(entity).isin(same)).groupBy(entity)
-                 .agg(F.percentile_approx(micros(time), at, 20 * pieces + 1000).alias("cuts")).collect())
-        cuts += [(r[entity], sorted(set(r["cuts"]))) for r in found]
-    return cuts
+    sizes = df.groupBy(F.col(entity).alias("_entity")).agg(F.count(F.lit(1)).alias("_rows"))
+    large = written(sizes.where(F.col("_rows") > floor).where("_entity is not null"), "large-entities")
+    if large.isEmpty():
+        return None
+    step = max(1, floor // SAMPLE_PER_PIECE)
+    every = max(1, floor // step)
+    timed = df.select(F.col(entity).alias("_entity"), micros(time).alias("_at"))
+    picked = timed.where(F.pmod(F.xxhash64("_entity", "_at"), F.lit(step)) == 0).join(large.select("_entity"), "_entity")
+    place = F.row_number().over(Window.partitionBy("_entity").orderBy("_at"))
+    cuts = picked.withColumn("_n", place).where(F.col("_n") % every == 0).groupBy("_entity").agg(
+        F.array_sort(F.collect_set("_at")).alias("_cuts"))
+    return written(cuts, "entity-cuts")
 
 
 def _with_pieces(df: DataFrame, entity: str, time: str, limit: int | None) -> tuple[DataFrame, bool]:
     cuts = large_entities(df, entity, time, limit)
     timed = df.withColumn(_TIME, micros(time))
-    if not cuts:
+    if cuts is None:
         return timed.withColumn(_PIECE, F.lit(0)), False
-    kind = df.schema[entity].dataType.simpleString()
-    table = df.sparkSession.createDataFrame(cuts, f"_entity {kind}, _cuts array<bigint>")
     passed = F.size(F.filter("_cuts", lambda c: c <= F.col(_TIME)))
-    placed = timed.join(F.broadcast(table), F.col(entity) == F.col("_entity"), "left")
+    # Spark broadcasts the cuts if their files are small enough.
+    placed = timed.join(cuts, F.col(entity) == F.col("_entity"), "left")
     return (placed.withColumn(_PIECE, F.when(F.col("_cuts").isNull(), -1).otherwise(passed))
             .drop("_entity", "_cuts")), True
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logwarden.common import numeric_columns, portable_hash, ratio
-from logwarden.functions.features import micros, outcome_tag, to_long
+from logwarden.functions.features import class_of, outcome_tag, to_long
 from logwarden.operators.quantiles import exact_quantiles
 
 BINS = 50
@@ -55,20 +55,19 @@ def distinct_counts(df: DataFrame, columns: Sequence[str], approximate: bool = F
 
 
 def _bin(value: Column, low: Column, high: Column, bins: int) -> Column:
-    """Bin number 0..bins-1; the highest value belongs to the last bin."""
+    """Bin number 0..bins-1; the highest value belongs to the last bin, a missing value to bin null."""
     at = F.floor(ratio((value - low) * F.lit(float(bins)), high - low)).cast("int")
-    return F.greatest(F.lit(0), F.least(F.lit(bins - 1), at))
+    return F.when(value.isNotNull() & ~F.isnan(value), F.greatest(F.lit(0), F.least(F.lit(bins - 1), at)))
 
 
 def score_histogram(scored: DataFrame, score: str = "score", by: str = "label", bins: int = BINS) -> DataFrame:
     """Density histogram per class, each class over its own range; empty bins included.
 
-    A class is a 0/1 label, so the per-class bounds are two rows.
+    A class is a 0/1 label, anything else an error, so the per-class bounds are two rows.
     """
-    data = scored.select(F.col(by).cast("int").alias("class"), F.col(score).cast("double").alias("v"))
-    ends = data.groupBy("class").agg(F.min("v").alias("low"), F.max("v").alias("high"),
-                                     F.count("v").alias("total"))
-    two = ends.where(F.col("class").isin(0, 1))
+    data = scored.select(class_of(by).alias("class"), F.col(score).cast("double").alias("v"))
+    two = data.groupBy("class").agg(F.min("v").alias("low"), F.max("v").alias("high"),
+                                    F.count("v").alias("total"))
     placed = data.join(F.broadcast(two), "class").where(F.col("v").isNotNull())
     counts = placed.groupBy("class", _bin(F.col("v"), F.col("low"), F.col("high"), bins).alias("bin")).agg(
         F.count(F.lit(1)).alias("n"))
@@ -81,8 +80,8 @@ def score_histogram(scored: DataFrame, score: str = "score", by: str = "label",
 
 
 def feature_histogram(df: DataFrame, feature: str, label: str = "label", bins: int = BINS) -> DataFrame:
-    """Counts per bin and class over bins that all classes share; empty bins included."""
-    data = df.select(F.col(label).cast("int").alias("class"), F.col(feature).cast("double").alias("v")).where(
+    """Counts per bin and class over bins that both classes share; empty bins included, other labels an error."""
+    data = df.select(class_of(label).alias("class"), F.col(feature).cast("double").alias("v")).where(
         F.col("v").isNotNull())
     ends = data.agg(F.min("v").alias("low"), F.max("v").alias("high")).first()
     if ends["low"] is None:
@@ -99,8 +98,10 @@ def feature_histogram(df: DataFrame, feature: str, label: str = "label", bins: i
 def class_summary(df: DataFrame, features: Sequence[str], label: str = "label") -> DataFrame:
     """Distribution of each feature per class: count, mean, deviation, quartiles, ends.
 
-    The quartiles are exact and found per class and feature without gathering values.
+    The quartiles are exact and found per class and feature without gathering values. Labels other
+    than 0 and 1 are an error.
     """
+    df = df.withColumn(label, class_of(label))
     long = to_long(df, [label], features).withColumnRenamed(label, "class")
     stats = long.groupBy("feature", "class").agg(
         F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
@@ -146,7 +147,7 @@ def scatter_sample(scored: DataFrame, x: str, y: str, points: int, row_id: str =
 
 
 def scatter_grid(scored: DataFrame, x: str, y: str, bins: int = BINS) -> DataFrame:
-    """Counts per cell and outcome over a bins x bins grid; every row is counted."""
+    """Counts per cell and outcome over a bins x bins grid; every row is counted, missing coordinates in cell null."""
     ends = scored.agg(*[f(c).cast("double").alias(f"{k}_{c}") for c in (x, y)
                         for k, f in (("low", F.min), ("high", F.max))]).first()
     cell = [_bin(F.col(c).cast("double"), F.lit(ends[f"low_{c}"]), F.lit(ends[f"high_{c}"]), bins).alias(f"bin_{k}")
@@ -173,7 +174,3 @@ def feature_importance(explanation: DataFrame, value: str = "z_score") -> DataFr
     """Mean size per feature over explained rows, largest first."""
     return (explanation.groupBy("feature").agg(F.avg(F.abs(value)).alias("importance"))
             .orderBy(F.col("importance").desc(), "feature"))
-
-
-def event_span(df: DataFrame, time: str = "ts") -> DataFrame:
-    return df.agg(F.min(micros(time)).alias("first"), F.max(micros(time)).alias("last"))

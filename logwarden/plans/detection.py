@@ -40,8 +40,7 @@ def explanation_report(spark, sf_dir):
 
 
 def nested_explanation(spark, sf_dir):
-    long = explain.zscore_explanation(_scored(spark, sf_dir), FEATURES, max_features=3)
-    nested = explain.nested_explanation(long)
+    nested = explain.nested_explanation(_scored(spark, sf_dir), FEATURES, max_features=3)
     return nested.select("row_id", F.array_join("top_features.feature", ">").alias("features"))
 
 
@@ -77,7 +76,7 @@ def isolation_forest(spark, sf_dir):
 
 
 def _autoencoder(spark, sf_dir):
-    return make_detector("autoencoder", features=FEATURES, epochs=5).fit(log_features(spark, sf_dir))
+    return make_detector("autoencoder", features=FEATURES).fit(log_features(spark, sf_dir))
 
 
 def autoencoder(spark, sf_dir):
@@ -91,15 +90,13 @@ def sequence_detector(spark, sf_dir):
 
 def sequence_autoencoder(spark, sf_dir):
     rows = log_features(spark, sf_dir)
-    return _shown(make_detector("lstm", features=["value", "k"], epochs=3).fit_score(rows))
+    return _shown(make_detector("lstm", features=["value", "k"]).fit_score(rows))
 
 
 def ensemble_default(spark, sf_dir):
     """The default members: a forest and an autoencoder."""
     rows = log_features(spark, sf_dir)
-    members = [make_detector("isolation_forest", features=FEATURES),
-               make_detector("autoencoder", features=FEATURES, epochs=3)]
-    return _shown(make_detector("ensemble", detectors=members).fit_score(rows))
+    return _shown(make_detector("ensemble", features=FEATURES).fit_score(rows))
 
 
 def shapley_explain(spark, sf_dir):
@@ -121,6 +118,7 @@ QUERIES = {
     "ensemble_soft": _ensemble(),
     "ensemble_hard": _ensemble(voting_method="hard"),
     "ensemble_zscore": _ensemble(normalise="zscore"),
+    "ensemble_rank": _ensemble(normalise="rank"),
     "ensemble_batch_cut": _ensemble(threshold_on="batch"),
     "ensemble_default": ensemble_default,
     "pca_2d": pca_2d,
@@ -221,6 +219,12 @@ ORACLES = {
     "ensemble_zscore": f"""{_VOTES}, ms AS (SELECT avg(s0) AS a0, stddev_pop(s0) AS d0, avg(s1) AS a1, stddev_pop(s1) AS d1 FROM m),
         n AS (SELECT row_id, ((s0 - a0) / d0 + (s1 - a1) / d1) / 2 AS score FROM m, ms), nc AS (SELECT {cut_sql('score', 'n')} AS c)
         SELECT row_id, {r('score')} AS score, CAST(score > c AS INTEGER) AS pred FROM n, nc""",
+    "ensemble_rank": f"""{_VOTES}, {', '.join(f"l{i} AS (SELECT list_sort(list(s{i})) AS l FROM m), g{i} AS (SELECT list_transform(range(101), "
+            f"lambda k: l[CAST(k * (len(l) - 1) // 100 AS BIGINT) + 1]) AS g FROM l{i})" for i in (0, 1))},
+        n AS (SELECT row_id, (len(list_filter(g0.g, lambda x: x <= s0)) / 101.0::DOUBLE
+            + len(list_filter(g1.g, lambda x: x <= s1)) / 101.0::DOUBLE) / 2 AS score FROM m, g0, g1),
+        nc AS (SELECT {cut_sql('score', 'n')} AS c)
+        SELECT row_id, {r('score')} AS score, CAST(score > c AS INTEGER) AS pred FROM n, nc""",
     "pca_2d": f"""WITH RECURSIVE {_axes_sql(LINES, 'lineitem', False, 40)}
         SELECT l_orderkey, l_linenumber, {r(_dot(LINES, 'a', False), 4)} AS pc1, {r(_dot(LINES, 'b', False), 4)} AS pc2,
         {r('lam / trace', 4)} AS explained_1, {r('lam2 / trace', 4)} AS explained_2 FROM lineitem, mo, v, w, l1, l2""",

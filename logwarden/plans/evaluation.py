@@ -197,7 +197,7 @@ ORACLES = {
     "recall_at_precision": f"{_HEAD}, {CURVE} SELECT {r(_RAP)} AS recall_at_precision FROM steps, tot",
     "roc_points": f"{_HEAD}, {CURVE} SELECT {r('threshold')} AS threshold, fp, tp, {r('fpr')} AS fpr, {r('tpr')} AS tpr FROM corners",
     "pr_points": f"""{_HEAD}, {CURVE} SELECT {r('score')} AS threshold, {r('tp::DOUBLE / (tp + fp)')} AS "precision",
-        {r('tp / p')} AS recall FROM steps, tot""",
+        {r('tp / p')} AS recall FROM steps, tot UNION ALL SELECT NULL, 1.0::DOUBLE, 0.0::DOUBLE""",
     "threshold_sweep": f"""{_HEAD}, ends AS (SELECT min(score) AS lo, max(score) AS hi FROM scored),
         grid AS (SELECT CAST(i AS INTEGER) AS step, CASE WHEN i = 99 THEN hi ELSE lo + i * ((hi - lo) / 99) END AS threshold
                  FROM range(100) t(i), ends),

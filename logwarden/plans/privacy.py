@@ -65,14 +65,50 @@ def text_validate(spark, sf_dir):
     return quality.validate_text(heavy_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
-def process_guarded(spark, sf_dir):
-    """Host events with ids and a note, after validation and sanitising."""
-    rows = table(spark, sf_dir, "events").select(
-        "event_id", F.col("value").alias("cpu_usage"), F.col("value").alias("memory_usage"),
+def _guarded_rows(spark, sf_dir):
+    """Host events with ids, a note and a time; some values are missing, some far out."""
+    value = F.when(F.col("event_id") % 7 != 0, F.col("value"))
+    return table(spark, sf_dir, "events").select(
+        "event_id", value.alias("cpu_usage"), (value * F.when(F.col("event_id") % 50 == 0, 100.0).otherwise(1.0)).alias("memory_usage"),
         F.col("user_id").cast("string").alias("user_id"), F.concat_ws(
-            "", F.lit("from user"), F.col("user_id"), F.lit("@ex.com at 10.0.0."), F.col("user_id") % 250).alias("note"))
-    clean, _, _ = audit.process(rows)
-    return clean
+            "", F.lit("from user"), F.col("user_id"), F.lit("@ex.com at 10.0.0."), F.col("user_id") % 250).alias("note"),
+        F.col("ts").cast("timestamp").alias("timestamp"))
+
+
+def process_guarded(spark, sf_dir):
+    """After validation and sanitising, free text included."""
+    clean, _, _ = audit.process(_guarded_rows(spark, sf_dir), settings=audit.PrivacySettings(redact_text=True))
+    return clean.drop("timestamp")
+
+
+def process_floor_times(spark, sf_dir):
+    """Ids hashed and times floored to the hour; the note stays."""
+    clean, _, _ = audit.process(_guarded_rows(spark, sf_dir), settings=audit.PrivacySettings(anonymize_timestamps=True))
+    return clean.select("event_id", "user_id", "note", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"))
+
+
+def process_findings(spark, sf_dir):
+    _, findings, _ = audit.process(_guarded_rows(spark, sf_dir))
+    return findings
+
+
+def process_audit(spark, sf_dir):
+    """The events of a guarded run after those of the setup."""
+    _, _, events = audit.process(_guarded_rows(spark, sf_dir), "score", "events", user_id="u7")
+    both = audit.privacy_protection_setup(spark, user_id="u7").unionByName(events)
+    return both.select("event_type", "description", "user_id")
+
+
+def pii_hits(spark, sf_dir):
+    """Texts with at least one hit of every type, made from customer rows; the order effect of redaction included."""
+    c = F.col("c_custkey")
+    number = F.lpad((c % 10000).cast("string"), 4, "0")
+    texts = table(spark, sf_dir, "customer").select("c_custkey", F.concat(
+        F.lit("ssn 123-45-"), number, F.lit(" mac 00:1A:2b:3c:4D:"), F.lpad((c % 90 + 10).cast("string"), 2, "0"),
+        F.lit(" see http://10.0.0."), (c % 250).cast("string"), F.lit("/a?b=1 or https://ex"), c.cast("string"),
+        F.lit(".com/p mail u"), c.cast("string"), F.lit("@ex.com card 4111 1111 1111 "), number, F.lit(" call 555-123-"), number).alias("text"))
+    return texts.select("c_custkey", *[F.size(pii.pii_matches(F.col("text"), k)).alias(f"n_{k}") for k in pii.PII_PATTERNS],
+                        pii.redact(F.col("text")).alias("redacted"))
 
 
 def _audit_table(spark, sf_dir) -> DataFrame:
@@ -110,6 +146,10 @@ QUERIES = {
         "c_custkey", pii.pseudonymous_ip(F.col("c_name")).alias("source_ip")),
     "sanitise_nested": sanitise_nested,
     "process_guarded": process_guarded,
+    "process_floor_times": process_floor_times,
+    "process_findings": process_findings,
+    "process_audit": process_audit,
+    "pii_hits": pii_hits,
     "audit_summary": lambda s, d: audit.privacy_report(_audit_table(s, d)),
     "audit_tail": audit_tail,
 }
@@ -145,6 +185,18 @@ _AUDIT_SQL = f"""WITH {SCORED}, a AS (
         '{{"anomaly_count":"' || CAST(sum(pred) AS BIGINT) || '","detection_method":"value on ' || strftime(ts, '%Y-%m-%d') || '"}}'
         FROM scored GROUP BY strftime(ts, '%Y-%m-%d'))"""
 
+_NUMERIC = ["event_id", "cpu_usage", "memory_usage"]
+_FINDINGS = f"""WITH g AS (SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN value END AS cpu_usage,
+        CASE WHEN event_id % 7 <> 0 THEN value * CASE WHEN event_id % 50 = 0 THEN 100 ELSE 1 END END AS memory_usage FROM events),
+    nul AS (SELECT CAST({' + '.join(f'count(*) FILTER ({c} IS NULL)' for c in _NUMERIC)} AS BIGINT) AS n FROM g),
+    {', '.join(f"""q{i} AS (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM g),
+    o{i} AS (SELECT count(*) AS n FROM g, q{i} WHERE {c} < q1 - 1.5::DOUBLE * (q3 - q1) OR {c} > q3 + 1.5::DOUBLE * (q3 - q1))"""
+        for i, c in enumerate(_NUMERIC))},
+    found AS (SELECT 0 AS place, 'warning' AS severity, 'missing_values' AS "check", CAST(NULL AS VARCHAR) AS "column", n,
+            'Found ' || n || ' missing values' AS detail FROM nul WHERE n > 0
+        {' '.join(f"UNION ALL SELECT {i + 1}, 'warning', 'outliers', '{c}', n, 'Found ' || n || ' outliers in column {c}' FROM o{i} WHERE n > 0"
+                  for i, c in enumerate(_NUMERIC))})"""
+
 ORACLES = {
     "pii_detect": _detect_sql("documents"),
     "pii_detect_pages": _detect_sql("pages"),
@@ -170,9 +222,23 @@ ORACLES = {
         || CAST('0x' || substr(sha256(c_name), 3, 2) AS INTEGER) AS source_ip FROM customer""",
     "sanitise_nested": f"""SELECT doc_id, array_to_string(list_transform(string_split(text, chr(10)),
         lambda x: {redact_sql('x')}), chr(10)) AS lines, lang, {redact_sql('text')} AS extra FROM documents""",
-    "process_guarded": f"""SELECT event_id, value AS cpu_usage, value AS memory_usage,
-        'usr_' || substr(sha256(CAST(user_id AS VARCHAR)), 1, 8) AS user_id,
+    "process_guarded": f"""SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN value END AS cpu_usage,
+        CASE WHEN event_id % 7 <> 0 THEN value * CASE WHEN event_id % 50 = 0 THEN 100 ELSE 1 END END AS memory_usage, 'usr_' || substr(sha256(CAST(user_id AS VARCHAR)), 1, 8) AS user_id,
         {redact_sql("'from user' || user_id || '@ex.com at 10.0.0.' || user_id % 250")} AS note FROM events""",
+    "process_floor_times": """SELECT event_id, 'usr_' || substr(sha256(CAST(user_id AS VARCHAR)), 1, 8) AS user_id,
+        'from user' || user_id || '@ex.com at 10.0.0.' || user_id % 250 AS note, date_trunc('hour', ts)::TIMESTAMP AS timestamp FROM events""",
+    "process_findings": f"{_FINDINGS} SELECT severity, \"check\", \"column\", n, detail FROM found",
+    "process_audit": f"""{_FINDINGS} SELECT 'privacy_protection_setup' AS event_type,
+            'Privacy protection measures initialized' AS description, 'u7' AS user_id
+        UNION ALL SELECT 'data_access', 'score access to events', 'u7'
+        UNION ALL SELECT 'data_validation_warning', 'Data validation warnings: [' || string_agg(chr(39) || detail || chr(39), ', ' ORDER BY place) || ']',
+            NULL FROM found""",
+    "pii_hits": f"""WITH t AS (SELECT c_custkey, 'ssn 123-45-' || lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0') || ' mac 00:1A:2b:3c:4D:'
+            || lpad(CAST(c_custkey % 90 + 10 AS VARCHAR), 2, '0') || ' see http://10.0.0.' || c_custkey % 250 || '/a?b=1 or https://ex' || c_custkey
+            || '.com/p mail u' || c_custkey || '@ex.com card 4111 1111 1111 ' || lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0')
+            || ' call 555-123-' || lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0') AS text FROM customer)
+        SELECT c_custkey, {', '.join(f"CAST(len({_hits('text', k)}) AS INTEGER) AS n_{k}" for k in pii.PII_PATTERNS)},
+            {redact_sql('text')} AS redacted FROM t""",
     "audit_summary": f"""{_AUDIT_SQL} SELECT true AS hash_user_ids, true AS hash_ip_addresses, true AS remove_pii,
         true AS audit_trail, true AS gdpr_compliant, true AS ccpa_compliant, false AS hipaa_compliant,
         count(*) AS total_events, least(count(*), 10) AS recent_events, 'ACTIVE' AS data_protection_status,

@@ -203,9 +203,9 @@ ORACLES = {
         {r('bytes_sent + bytes_received')} AS network_activity,
         {r('(cpu_usage + memory_usage + disk_usage) / 3')} AS resource_pressure FROM hostev""",
     "clamp_bounds": f"""WITH {HOST_LINEITEM} SELECT {', '.join(
-        f"{r(f'least(greatest({c}, 0), 100)')} AS {c}" for c in _HOST[:3])}, {', '.join(
-        f"{r(f'greatest({c}, 0)')} AS {c}" for c in _HOST[3:] if c != 'active_connections')},
-        greatest(active_connections, 0) AS active_connections FROM host""",
+        f"{r(f'CASE WHEN {c} < 0 THEN 0 WHEN {c} > 100 THEN 100 ELSE {c} END')} AS {c}" for c in _HOST[:3])}, {', '.join(
+        f"{r(f'CASE WHEN {c} < 0 THEN 0 ELSE {c} END')} AS {c}" for c in _HOST[3:] if c != 'active_connections')},
+        CASE WHEN active_connections < 0 THEN 0 ELSE active_connections END AS active_connections FROM host""",
     "inject_patterns": _inject_sql(),
     "outcome_tags": f"WITH {SCORED} SELECT {_OUTCOME} AS outcome, count(*) AS n FROM scored GROUP BY 1",
     "unpivot_summary": _summary_sql(),

@@ -36,7 +36,7 @@ def stream_score(spark, sf_dir):
 
 
 def stream_score_forest(spark, sf_dir):
-    detector = make_detector("isolation_forest", features=STREAM_FEATURES, n_trees=50)
+    detector = make_detector("isolation_forest", features=STREAM_FEATURES)
     model = detector.fit(event_rows(table(spark, sf_dir, "events")))
     scored = jobs.score_stream(event_rows(_stream(spark, sf_dir, "events")), model).select("row_id", "score", "pred")
     path = work_path(spark, "stream-forest")

@@ -24,7 +24,7 @@ def ordered(events):
 
 @pytest.mark.parametrize("limit", [None, 100, 20, 4])
 def test_gap_is_exact_when_large_entities_are_split(events, limit):
-    assert bool(large_entities(events, "user_id", "ts", limit)) == (limit is not None)
+    assert (large_entities(events, "user_id", "ts", limit) is not None) == (limit is not None)
     expect = {}
     for rows in ordered(events).values():
         for i, r in enumerate(rows):
@@ -49,10 +49,14 @@ def test_windows_are_exact_when_large_entities_are_split(events, assign, limit):
     assert wide.count() == 900
 
 
-def test_large_entity_limit_is_a_share_of_the_table(events, monkeypatch):
-    monkeypatch.setattr("logwarden.operators.neighbours.MAX_PIECES", 8)
-    cuts = large_entities(events, "user_id", "ts", 10)
-    assert len(cuts) == 1 and len(cuts[0][1]) < 8
+@pytest.mark.parametrize("times", [1, 10])
+def test_pieces_keep_their_size_when_the_table_grows(spark, times):
+    rows = spark.range(3000 * times).select((F.col("id") % 3).alias("user_id"), F.timestamp_seconds("id").alias("ts"), "id")
+    cuts = large_entities(rows, "user_id", "ts", 400).collect()
+    assert len(cuts) == 3
+    for user in cuts:
+        edges = [0, *[c // 1_000_000 for c in user["_cuts"]], 3000 * times]
+        assert max(b - a for a, b in zip(edges, edges[1:])) / 3 < 3 * 400
 
 
 def test_bad_arguments(events):

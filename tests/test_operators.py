@@ -91,7 +91,7 @@ def test_zscore_explanation_golden(spark):
     assert rows[0]["z_score"] == pytest.approx(87.206650, abs=1e-6)
     assert (rows[0]["normal_mean"], rows[1]["normal_mean"], rows[1]["z_score"]) == (2.5, 25.0, 0.0)
     assert rows[0]["normal_std"] == pytest.approx(1.118034, abs=1e-6)
-    nested = explain.nested_explanation(explain.explain(df, asked, baseline="asked")).first()
+    nested = explain.nested_explanation(df, asked=asked, baseline="asked").first()
     assert [t["feature"] for t in nested["top_features"]] == ["f1", "f2"]
     with pytest.raises(ValueError):
         explain.explain(df, asked, "guess")
@@ -122,10 +122,13 @@ def test_attach_scores_checks_the_keys(spark):
     labels = spark.createDataFrame([(1, 0), (2, 1)], "row_id bigint, label int")
     scores = spark.createDataFrame([(1, 0.5), (2, 0.7)], "row_id bigint, score double")
     assert attach_scores(labels, scores).count() == 2
-    with pytest.raises(ValueError, match="duplicate"):
-        attach_scores(labels.unionByName(labels), scores)
-    with pytest.raises(ValueError, match="no score"):
-        attach_scores(labels, scores.where("row_id = 1"))
+    with pytest.raises(Exception, match="duplicate"):
+        attach_scores(labels.unionByName(labels), scores).collect()
+    with pytest.raises(Exception, match="no score"):
+        attach_scores(labels, scores.where("row_id = 1")).collect()
+    big = spark.range(1000).withColumnRenamed("id", "row_id")
+    with_scores = attach_scores(big.withColumn("label", F.lit(0)), big.withColumn("score", F.rand(1)).hint("merge"))
+    assert with_scores._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
 
 
 def test_histogram_counts_every_row(spark):
@@ -141,7 +144,8 @@ def test_histogram_counts_every_row(spark):
 def test_guarded_processing_and_audit(spark):
     df = spark.createDataFrame([("u1", 1.0, 2.0, "a@b.cd"), ("u2", 1.0, None, "x")],
                                "user_id string, cpu_usage double, memory_usage double, note string")
-    clean, findings, events = audit.process(df, "score")
+    assert {r["note"] for r in audit.process(df, "score")[0].collect()} == {"a@b.cd", "x"}
+    clean, findings, events = audit.process(df, "score", settings=audit.PrivacySettings(redact_text=True))
     row = clean.orderBy("cpu_usage", F.col("note")).collect()
     assert {r["note"] for r in row} == {"[REDACTED]", "x"} and all(r["user_id"].startswith("usr_") for r in row)
     assert [r["event_type"] for r in events.collect()] == ["data_access", "data_validation_warning"]
