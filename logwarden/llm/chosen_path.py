@@ -190,9 +190,10 @@ def _buckets(sets: DataFrame, bucket: int, depth: int) -> DataFrame:
         sizes = written(rows.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket), "large-buckets")
         if sizes.isEmpty():
             done.append(rows)
-            return _all(done)
-        done.append(rows.join(sizes, "path", "left_anti"))
-        large = rows.join(sizes, "path")
+            break
+        tagged = written(rows.join(sizes, "path", "left"), "buckets")
+        done.append(tagged.where("n is null").drop("n"))
+        large = tagged.where("n is not null")
         if level < depth:
             # Sets that agree in a sampled entry share a shingle there, but for one in 255.
             entry = F.pmod(F.xxhash64("path", F.lit(level)), F.lit(SKETCH)).cast("int")
