@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 from collections.abc import Iterable, Sequence
@@ -79,6 +80,12 @@ def portable_hash(*keys: str, seed: int = 0) -> Column:
     return F.conv(F.substring(F.sha2(text, 256), 1, 13), 16, 10).cast("bigint")
 
 
+def portable_number(*keys, seed: int = 0) -> int:
+    """``portable_hash`` of given values, in Python."""
+    text = "|".join([*map(str, keys), str(seed)])
+    return int(hashlib.sha256(text.encode()).hexdigest()[:13], 16)
+
+
 def work_root(spark: SparkSession) -> str:
     """The shared folder the cluster names; a private one only on a local master."""
     shared = spark.conf.get("spark.checkpoint.dir", None)

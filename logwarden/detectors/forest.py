@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logwarden.common import row_hash
+from logwarden.common import portable_hash, portable_number
 from logwarden.detectors.base import RAW, Detector, Model
 
 TREE_SCHEMA = "tree int, feature array<int>, threshold array<double>, path array<double>"
@@ -32,9 +32,11 @@ def average_path(size: float) -> float:
     return 2.0 * (math.log(size - 1.0) + _EULER) - 2.0 * (size - 1.0) / size
 
 
-def grow_tree(rows: np.ndarray, rng: np.random.Generator, depth: int):
+def grow_tree(rows: np.ndarray, tree: int, seed: int, depth: int):
     """One random tree as a full binary tree of fixed depth.
 
+    What a node draws depends on (tree, node, seed) alone, so any engine grows the same tree.
+
     Splits sit in level order; a branch that ends early sends all its rows left down to the
     last level, where its path length is stored. Scoring then needs no leaf test.
     """
@@ -50,9 +52,10 @@ def grow_tree(rows: np.ndarray, rng: np.random.Generator, depth: int):
             bottom = (node + 1) * 2 ** (depth - level) - 2**depth
             path[bottom] = level + average_path(len(part))
             continue
-        pick = rng.choice(varied)
+        pick = varied[portable_number(tree, node, seed=seed) % len(varied)]
+        share = portable_number(tree, node, seed=seed + 1) / 2.0**52
         # strictly below the upper end, so neither side is empty
-        at = min(rng.uniform(low[pick], high[pick]), np.nextafter(high[pick], low[pick]))
+        at = min(low[pick] + share * (high[pick] - low[pick]), np.nextafter(high[pick], low[pick]))
         left = part[:, pick] <= at
         feature[node], threshold[node] = pick, at
         todo.append((2 * node + 1, level + 1, part[left]))
@@ -118,7 +121,7 @@ class ForestDetector(Detector):
         names = self.training_features(df)
         table = self.training_table(df, names, self.row_id)
         # A fixed number of rows, those with the smallest hashes, at any size of the table.
-        hashed = table.withColumn("_h", row_hash(self.row_id, seed=self.seed)).orderBy("_h", self.row_id)
+        hashed = table.withColumn("_h", portable_hash(self.row_id, seed=self.seed)).orderBy("_h", self.row_id)
         pool = hashed.limit(POOL_SAMPLES * self.max_samples).select(*names).toPandas().to_numpy(dtype=np.float64)
         if not len(pool):
             raise ValueError("cannot fit an empty table")
@@ -130,9 +133,10 @@ class ForestDetector(Detector):
         def grow(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for part in parts:
                 for tree in part["id"].tolist():
-                    rng = np.random.default_rng([seed, tree])
-                    rows = shared.value[rng.choice(len(shared.value), sample, replace=False)]
-                    grown = [p.tolist() for p in grow_tree(rows, rng, depth)]
+                    # The pool is in random order; a tree takes neighbouring rows from a random place on.
+                    start = portable_number(tree, seed=seed) % len(shared.value)
+                    rows = np.take(shared.value, range(start, start + sample), axis=0, mode="wrap")
+                    grown = [p.tolist() for p in grow_tree(rows, tree, seed, depth)]
                     yield pd.DataFrame([[tree, *grown]], columns=["tree", "feature", "threshold", "path"])
 
         tasks = min(self.n_trees, spark.sparkContext.defaultParallelism)

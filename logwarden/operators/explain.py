@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logwarden.common import feature_columns, portable_hash, row_hash, written
+from logwarden.common import feature_columns, portable_hash, written
 from logwarden.detectors.base import Model
 from logwarden.operators.scaling import Scale, fit_scale, z_score
 
@@ -114,9 +114,9 @@ def shapley_explanation(table: DataFrame, model: Model, asked: DataFrame, row_id
         raise ValueError("no background rows")
     rows = asked_rows(table.select(row_id, *plain), asked, row_id)
     draws = rows.withColumn("_draw", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))))
-    draws = draws.withColumn("_pick", F.pmod(row_hash(row_id, "_draw", seed=seed), F.lit(have)).cast("int"))
+    draws = draws.withColumn("_pick", F.pmod(portable_hash(row_id, "_draw", seed=seed), F.lit(have)).cast("int"))
     order = F.transform(F.array_sort(F.array(*[
-        F.struct(row_hash(row_id, "_draw", seed=seed + 1 + i).alias("h"), F.lit(i).alias("i"))
+        F.struct(portable_hash(row_id, "_draw", seed=seed + 1 + i).alias("h"), F.lit(i).alias("i"))
         for i in range(len(names))])), lambda s: s["i"])
     draws = draws.withColumn("_order", order).join(F.broadcast(numbered), "_pick")
     steps = draws.withColumn("_step", F.explode(F.sequence(F.lit(0), F.lit(len(names)))))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -97,6 +99,37 @@ dcut AS (SELECT {cut_sql('score', 'dev')} AS c),
 dscored AS (SELECT dev.*, CAST(score > c AS INTEGER) AS pred FROM dev, dcut)"""
 
 
+def forest_sql(features: list[str], source: str = "feats", trees: int = 100, samples: int = 256, seed: int = 42) -> str:
+    """CTEs up to ``fscored``: the isolation forest, grown and walked with the same hashes. Needs WITH RECURSIVE."""
+    depth = max(1, math.ceil(math.log2(samples)))
+    x = "[" + ", ".join(f"CAST({f} AS DOUBLE)" for f in features) + "]"
+    n = range(1, len(features) + 1)
+    low, high = ("[" + ", ".join(f"{k}(x[{i}]) OVER w" for i in n) + "]" for k in ("min", "max"))
+    tree_node = "CAST('0x' || substr(sha256(tree || '|' || node || '|{}'), 1, 13) AS BIGINT)"
+    split = f"""SELECT *, lo[f] + {tree_node.format(seed + 1)} / 4503599627370496.0::DOUBLE * (hi[f] - lo[f]) AS cut FROM (
+        SELECT *, varied[CAST({tree_node.format(seed)} % greatest(len(varied), 1) AS BIGINT) + 1] AS f FROM (
+        SELECT *, list_filter({list(n)}, lambda i: hi[i] > lo[i]) AS varied FROM (
+        SELECT tree, level, node, x, count(*) OVER w AS size, {low} AS lo, {high} AS hi FROM {{}} WINDOW w AS (PARTITION BY tree, node)) a) b) c"""
+    inner = f"level < {depth} AND size > 1 AND len(varied) > 0"
+    mean = f"CASE WHEN {{0}} <= 1 THEN 0 WHEN {{0}} = 2 THEN 1 ELSE 2 * (ln({{0}} - 1.0::DOUBLE) + 0.5772156649::DOUBLE) - 2 * ({{0}} - 1.0::DOUBLE) / {{0}} END"
+    return f"""pool AS (SELECT row_number() OVER (ORDER BY h, row_id) - 1 AS pos, {x} AS x FROM (
+            SELECT *, {hash_sql('row_id', seed)} AS h FROM {source} ORDER BY h, row_id LIMIT {64 * samples}) t),
+        sizes AS (SELECT count(*) AS pool, least({samples}, count(*)) AS take FROM pool),
+        starts AS (SELECT tree, {hash_sql('tree', seed)} % pool AS start, pool, take FROM range({trees}) r(tree), sizes),
+        grow AS (SELECT tree, 0 AS level, CAST(0 AS BIGINT) AS node, x FROM starts, pool p WHERE (pos - start + pool) % pool < take
+            UNION ALL SELECT tree, level + 1, CASE WHEN x[f] <= cut THEN 2 * node + 1 ELSE 2 * node + 2 END, x
+            FROM ({split.format('grow')}) s WHERE {inner}),
+        nodes AS (SELECT DISTINCT tree, node, {inner} AS goes, f, cut, level + {mean.format('size')} AS path
+            FROM ({split.format('(SELECT *, level AS l FROM grow)')}) s),
+        walk AS (SELECT row_id, {x} AS x, tree, CAST(0 AS BIGINT) AS node FROM {source}, range({trees}) r(tree)
+            UNION ALL SELECT row_id, x, w.tree, CASE WHEN x[f] <= cut THEN 2 * w.node + 1 ELSE 2 * w.node + 2 END
+            FROM walk w JOIN nodes k ON w.tree = k.tree AND w.node = k.node WHERE goes),
+        fraw AS (SELECT row_id, pow(2, -(avg(path) / any_value({mean.format('take')}))) AS score
+            FROM walk w JOIN nodes k ON w.tree = k.tree AND w.node = k.node, sizes WHERE NOT goes GROUP BY row_id),
+        fcut AS (SELECT {cut_sql('score', 'fraw')} AS c),
+        fscored AS (SELECT row_id, score - c AS score, CAST(score > c AS INTEGER) AS pred FROM fraw, fcut)"""
+
+
 def host_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines seen as host metrics; some values are missing, some below zero or above 100."""
     return table(spark, sf_dir, "lineitem").select(

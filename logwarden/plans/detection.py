@@ -9,7 +9,7 @@ from logwarden.detectors import make_detector
 from logwarden.detectors.linear import pca_points
 from logwarden.operators import explain, profile
 from logwarden.operators.metrics import flag_metrics
-from logwarden.plans.base import FEATS, FEATURES, cut_sql, deviation_sql, log_features, r, rounded, table
+from logwarden.plans.base import FEATS, FEATURES, cut_sql, deviation_sql, forest_sql, hash_sql, log_features, r, rounded, table
 
 LINES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 MONEY = ["qty", "price", "net", "gross"]
@@ -196,6 +196,30 @@ def _dot(names: list[str], axis: str, scaled: bool) -> str:
     return " + ".join(f"({c} - m{i}){f' / s{i}' if scaled else ''} * {axis}{i}" for i, c in enumerate(names))
 
 
+def _shapley_sql() -> str:
+    """Sampled Shapley values of the deviation score with the same hashes: draws, feature orders, one switch at a time."""
+    n = len(FEATURES)
+    hashes = ", ".join(f"{hash_sql(chr(39) * 2 + ' || d.row_id || ' + chr(39) + '|' + chr(39) + ' || draw', 43 + i)} AS h{i}" for i in range(n))
+    place = ", ".join(f"1 + {' + '.join(f'CAST(h{j} < h{i} AS INTEGER)' for j in range(n) if j != i)} AS p{i}" for i in range(n))
+
+    def value(step: str) -> str:
+        return "greatest(" + ", ".join(f"abs((CASE WHEN p{i} <= {step} THEN x.{f} ELSE b.{f} END - m_{f}) / s_{f})"
+                                       for i, f in enumerate(FEATURES)) + ")"
+    moved = " UNION ALL ".join(f"SELECT row_id, '{f}' AS feature, v1 - v0 AS change FROM sw WHERE p{i} = step" for i, f in enumerate(FEATURES))
+    pick = hash_sql("'' || d.row_id || '|' || draw", 42)
+    return f"""{_DEVIATION}, asked AS (SELECT row_id FROM dscored WHERE pred = 1 ORDER BY score DESC, row_id LIMIT 10),
+        base AS (SELECT row_number() OVER (ORDER BY row_id) - 1 AS pick, {', '.join(FEATURES)}
+                 FROM (SELECT * FROM feats ORDER BY {hash_sql('row_id', 42)}, row_id LIMIT {explain.BACKGROUND_ROWS}) t),
+        drawn AS (SELECT d.row_id, draw, {pick} % (SELECT count(*) FROM base) AS pick, {hashes} FROM asked d, range(64) r(draw)),
+        ordered AS (SELECT *, {place} FROM drawn),
+        sw AS (SELECT o.*, step, {value('step')} AS v1, {value('step - 1')} AS v0 FROM ordered o JOIN feats x ON x.row_id = o.row_id
+               JOIN base b ON b.pick = o.pick, st, range(1, {n + 1}) t(step)),
+        mean AS (SELECT row_id, feature, avg(change) AS c FROM ({moved}) m GROUP BY 1, 2)
+        SELECT row_id, CAST(row_number() OVER (PARTITION BY row_id ORDER BY abs(c) DESC, feature) AS INTEGER) AS rank, feature,
+            {r('c')} AS contribution, {r('abs(c)')} AS importance, {r('sum(c) OVER (PARTITION BY row_id)')} AS prediction_score,
+            'Shapley' AS method FROM mean"""
+
+
 _Z2 = " + ".join(f"(({c} - m{i}) / s{i}) * (({c} - m{i}) / s{i})" for i, c in enumerate(MONEY))
 
 ORACLES = {
@@ -212,6 +236,8 @@ ORACLES = {
     "nested_explanation": f"""{_FLAGGED} SELECT row_id, string_agg(feature, '>' ORDER BY rank) AS features
         FROM ranked WHERE rank <= 3 GROUP BY row_id""",
     "feature_importance": f"{_FLAGGED} SELECT feature, {r('avg(abs(z_score))', 4)} AS importance FROM ranked GROUP BY feature",
+    "isolation_forest": f"WITH RECURSIVE {FEATS.lstrip()}, {forest_sql(FEATURES)} SELECT row_id, {r('score')} AS score, pred FROM fscored",
+    "shapley_explain": _shapley_sql(),
     "ensemble_soft": _SOFT,
     "ensemble_batch_cut": _SOFT,
     "ensemble_hard": f"""{_VOTES} SELECT row_id, {r('score')} AS score,

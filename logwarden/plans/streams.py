@@ -9,7 +9,7 @@ from logwarden.detectors import make_detector
 from logwarden.functions.features import above
 from logwarden.operators.quantiles import contamination_cut
 from logwarden.plans.base import (
-    CONTAMINATION, FEATS, SCORED, STREAM_FEATURES, deviation_sql, event_rows, r, rounded, table)
+    CONTAMINATION, FEATS, SCORED, STREAM_FEATURES, deviation_sql, event_rows, forest_sql, r, rounded, table)
 from logwarden.plans.privacy import redact_sql
 from logwarden.streaming import jobs
 
@@ -85,6 +85,7 @@ QUERIES = {
 
 _COUNTS = "count(*) AS events, count(*) FILTER (pred = 1) AS alerts"
 ORACLES = {
+    "stream_score_forest": f"WITH RECURSIVE {FEATS.lstrip()}, {forest_sql(STREAM_FEATURES)} SELECT row_id, {r('score')} AS score, pred FROM fscored",
     "stream_score": f"WITH {FEATS}, {deviation_sql(STREAM_FEATURES)} SELECT row_id, {r('score')} AS score, pred FROM dscored",
     "stream_alert_windows": f"""WITH {SCORED} SELECT date_trunc('hour', ts)::TIMESTAMP AS "start",
         date_trunc('hour', ts)::TIMESTAMP + INTERVAL 1 HOUR AS "end", {_COUNTS} FROM scored GROUP BY 1, 2""",
