@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from logwarden.detectors import make_detector
 from logwarden.detectors.linear import pca_points
+from logwarden.functions.features import micros
 from logwarden.operators import explain, profile
 from logwarden.operators.metrics import flag_metrics
 from logwarden.plans.base import FEATS, FEATURES, cut_sql, deviation_sql, forest_sql, hash_sql, log_features, r, rounded, table
@@ -99,6 +100,34 @@ def ensemble_default(spark, sf_dir):
     return _shown(make_detector("ensemble", features=FEATURES).fit_score(rows))
 
 
+def sequence_linear(spark, sf_dir):
+    """Pairs of consecutive events of a user; their times, which move together, are the explained direction."""
+    rows = log_features(spark, sf_dir).withColumn("day", micros("ts") / F.lit(8.64e10))
+    return _shown(make_detector("sequence", features=["day", "value"], base="linear", components=1, sequence_length=2).fit_score(rows))
+
+
+def learned_checks(spark, sf_dir):
+    """What can be known of a trained forest, autoencoder and default ensemble without their weights.
+
+    Some rows are moved far out; the forest must flag all of them, and the flagged share must be that
+    of the contamination. The network must have learnt more than the mean of each feature.
+    """
+    planted = F.col("row_id") % 997 == 0
+    rows = log_features(spark, sf_dir).withColumn("value", F.when(planted, F.col("value") + 1e5).otherwise(F.col("value")))
+    model = make_detector("ensemble", features=FEATURES).fit(rows)
+    scored = model._with_members(rows, "error").select("row_id", F.col("_f0").alias("forest"), F.col("_f1").alias("autoencoder"))
+    scored = scored.join(model.score(rows).select("row_id", F.col("pred").alias("ensemble")), "row_id")
+    counts = {"rows": F.count(F.lit(1))}
+    for name in ("forest", "autoencoder", "ensemble"):
+        counts[f"{name}_flagged"] = F.sum(name)
+    counts["forest_planted"] = F.sum(F.when(planted, F.col("forest")))
+    loss = model.members[1].history
+    known = {"epochs": len(loss), "loss_fell": int(loss[-1] < loss[0]), "loss_below_mean_predictor": int(loss[-1] < 1.0)}
+    row = scored.agg(*[c.cast("bigint").alias(n) for n, c in counts.items()]).select(
+        "*", *[F.lit(v).cast("bigint").alias(n) for n, v in known.items()])
+    return row.unpivot([], row.columns, "check", "n")
+
+
 def shapley_explain(spark, sf_dir):
     rows = log_features(spark, sf_dir)
     model = make_detector("deviation", features=FEATURES).fit(rows)
@@ -127,6 +156,8 @@ QUERIES = {
     "autoencoder": autoencoder,
     "training_loss": lambda s, d: _autoencoder(s, d).loss_history(s),
     "sequence_detector": sequence_detector,
+    "sequence_linear": sequence_linear,
+    "learned_checks": learned_checks,
     "sequence_autoencoder": sequence_autoencoder,
     "shapley_explain": shapley_explain,
 }
@@ -220,6 +251,7 @@ def _shapley_sql() -> str:
             'Shapley' AS method FROM mean"""
 
 
+_PAIR = ["a", "b", "c", "d"]
 _Z2 = " + ".join(f"(({c} - m{i}) / s{i}) * (({c} - m{i}) / s{i})" for i, c in enumerate(MONEY))
 
 ORACLES = {
@@ -237,6 +269,21 @@ ORACLES = {
         FROM ranked WHERE rank <= 3 GROUP BY row_id""",
     "feature_importance": f"{_FLAGGED} SELECT feature, {r('avg(abs(z_score))', 4)} AS importance FROM ranked GROUP BY feature",
     "isolation_forest": f"WITH RECURSIVE {FEATS.lstrip()}, {forest_sql(FEATURES)} SELECT row_id, {r('score')} AS score, pred FROM fscored",
+    "sequence_linear": f"""WITH RECURSIVE {FEATS.lstrip()},
+        two AS (SELECT row_id, user_id, ts, value, epoch_us(ts) / 8.64e10::DOUBLE AS day FROM feats),
+        pairs AS (SELECT row_id, day AS a, value AS b, LEAD(day) OVER u AS c, LEAD(value) OVER u AS d FROM two
+                  WINDOW u AS (PARTITION BY user_id ORDER BY ts, row_id)),
+        li AS (SELECT * FROM pairs WHERE c IS NOT NULL), {_axes_sql(_PAIR, 'li', True, 60)},
+        p AS (SELECT row_id, {' + '.join(f'(({c} - m{i}) / s{i}) * (({c} - m{i}) / s{i})' for i, c in enumerate(_PAIR))} AS size,
+              {_dot(_PAIR, 'a', True)} AS p1 FROM li, mo, v),
+        sc AS (SELECT row_id, greatest(size - p1 * p1, 0) / 4 AS score FROM p), cu AS (SELECT {cut_sql('score', 'sc')} AS c)
+        SELECT t.row_id, {r('COALESCE(score, 0.0::DOUBLE)')} AS score, CAST(COALESCE(score, 0.0::DOUBLE) > cu.c AS INTEGER) AS pred
+        FROM two t LEFT JOIN sc USING (row_id), cu""",
+    "learned_checks": f"""WITH c AS (SELECT count(*) AS n, count(*) - 1 - CAST(floor(0.9::DOUBLE * (count(*) - 1)) AS BIGINT) AS flagged,
+            count(*) FILTER (event_id % 997 = 0) AS planted FROM events)
+        SELECT 'rows' AS "check", n FROM c UNION ALL SELECT 'epochs', 100 UNION ALL SELECT 'loss_fell', 1
+        UNION ALL SELECT 'loss_below_mean_predictor', 1 UNION ALL SELECT 'forest_planted', planted FROM c
+        {' '.join(f"UNION ALL SELECT '{m}_flagged', flagged FROM c" for m in ('forest', 'autoencoder', 'ensemble'))}""",
     "shapley_explain": _shapley_sql(),
     "ensemble_soft": _SOFT,
     "ensemble_batch_cut": _SOFT,
