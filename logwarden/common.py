@@ -86,19 +86,33 @@ def portable_number(*keys, seed: int = 0) -> int:
     return int(hashlib.sha256(text.encode()).hexdigest()[:13], 16)
 
 
+_work_roots: dict[str, str] = {}
+
+
 def work_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a private one only on a local master."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    return tempfile.mkdtemp(prefix="logwarden-")
+    """The application's folder in the shared folder the cluster names; a private one only on a local master.
+
+    It goes when the application ends.
+    """
+    application = spark.sparkContext.applicationId
+    if application not in _work_roots:
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+            shared = tempfile.mkdtemp(prefix="logwarden-")
+        root = f"{shared.rstrip('/')}/logwarden-{application}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _work_roots[application] = root
+    return _work_roots[application]
 
 
 def work_path(spark: SparkSession, label: str) -> str:
-    """A fresh folder name under the shared work folder."""
-    return f"{work_root(spark)}/logwarden/{label}-{uuid.uuid4().hex}"
+    """A fresh folder name under the application's work folder."""
+    return f"{work_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

@@ -20,10 +20,28 @@ def _stream(spark, sf_dir, name):
     return jobs.stream_table(spark, sf_dir, table(spark, sf_dir, name).schema, f"{name}.parquet")
 
 
-def _flagged_stream(spark, sf_dir):
-    """The event stream, flagged with a cut-off fitted beforehand on the stored table."""
+SLICE_DAYS, SLICES = 5, 6
+
+
+def _replayed(spark, sf_dir, late: bool = False):
+    """The events in slices of five days, one slice a micro-batch; ``late`` moves some rows of the first slice to the last."""
+    events = table(spark, sf_dir, "events")
+    start = events.agg(F.min("ts")).first()[0]
+    day = F.floor(F.datediff("ts", F.lit(start)) / SLICE_DAYS).cast("int")
+    own = F.least(F.greatest(day, F.lit(0)), F.lit(SLICES - 1))
+    if late:
+        own = F.when((own == 0) & (F.col("event_id") % 10 == 0), F.lit(SLICES - 1)).otherwise(own)
+    path = work_path(spark, "replay")
+    for number in range(SLICES):
+        events.where(own == number).write.mode("append").parquet(path)
+    files = len(spark.read.schema(events.schema).parquet(path).inputFiles())
+    return jobs.stream_table(spark, path, events.schema, "*.parquet", -(-files // SLICES))
+
+
+def _flagged_stream(spark, sf_dir, late: bool = False):
+    """The event stream in several micro-batches, flagged with a cut-off fitted beforehand on the stored table."""
     cut = contamination_cut(table(spark, sf_dir, "events"), "value", CONTAMINATION)
-    rows = event_rows(_stream(spark, sf_dir, "events"))
+    rows = event_rows(_replayed(spark, sf_dir, late))
     return rows.withColumns({"score": F.col("value"), "pred": above("value", cut)})
 
 
@@ -44,9 +62,9 @@ def stream_score_forest(spark, sf_dir):
     return rounded(jobs.appended_table(spark, path, scored.schema))
 
 
-def _windows(update: bool, **settings):
+def _windows(update: bool, late: bool = False, **settings):
     def run(spark, sf_dir):
-        windows = jobs.alert_windows(_flagged_stream(spark, sf_dir), **settings)
+        windows = jobs.alert_windows(_flagged_stream(spark, sf_dir, late), **settings)
         path = work_path(spark, "stream-windows")
         if update:
             jobs.finished(jobs.upsert_stream(windows, path))
@@ -79,6 +97,7 @@ QUERIES = {
     "stream_alert_windows": _windows(True),
     "stream_sliding_windows": _windows(True, length="1 hour", slide="15 minutes"),
     "stream_closed_windows": _windows(False, length="1 day", delay="1 hour"),
+    "stream_late_rows": _windows(False, late=True, length="1 day", delay="1 hour"),
     "stream_recent": stream_recent,
     "stream_privacy": stream_privacy,
 }
@@ -95,6 +114,11 @@ ORACLES = {
     "stream_closed_windows": f"""WITH {SCORED} SELECT date_trunc('day', ts)::TIMESTAMP AS "start",
         date_trunc('day', ts)::TIMESTAMP + INTERVAL 1 DAY AS "end", {_COUNTS} FROM scored GROUP BY 1, 2
         HAVING date_trunc('day', any_value(ts))::TIMESTAMP + INTERVAL 1 DAY <= (SELECT max(ts) FROM scored) - INTERVAL 1 HOUR""",
+    "stream_late_rows": f"""WITH {SCORED}, first AS (SELECT min(ts) AS t FROM scored),
+        intime AS (SELECT scored.* FROM scored, first WHERE NOT (row_id % 10 = 0 AND date_diff('day', t, ts) < {SLICE_DAYS}))
+        SELECT date_trunc('day', ts)::TIMESTAMP AS "start", date_trunc('day', ts)::TIMESTAMP + INTERVAL 1 DAY AS "end", {_COUNTS}
+        FROM intime GROUP BY 1, 2
+        HAVING date_trunc('day', any_value(ts))::TIMESTAMP + INTERVAL 1 DAY <= (SELECT max(ts) FROM scored) - INTERVAL 1 HOUR""",
     "stream_recent": f"""WITH {SCORED}, n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, row_id DESC) AS rn
         FROM scored) SELECT user_id, count(*) AS "rows", count(*) FILTER (pred = 1) AS flagged FROM n WHERE rn <= {RECENT}
         GROUP BY user_id""",

@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
@@ -24,6 +24,7 @@ from logwarden.functions.pii import anonymise, redact
 
 BATCH = "_batch"
 RECENT_ROWS = 100
+HELD_ROWS = 100_000  # rows that a task holds while it looks for the last ones
 
 
 def stream_table(spark: SparkSession, folder: str, schema: T.StructType, files: str = "*.parquet",
@@ -67,17 +68,25 @@ def latest_table(spark: SparkSession, path: str, schema: T.StructType, keys: lis
     """The newest version of every key of an upsert table."""
     versions = spark.read.schema(T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])) \
         .option("basePath", f"{path}/table").parquet(f"{path}/table")
-    newest = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(BATCH).desc()))
-    return versions.withColumn("_n", newest).where("_n = 1").select(*[f.name for f in schema.fields])
+    names = [f.name for f in schema.fields]
+    newest = versions.groupBy(*keys).agg(F.max_by(F.struct(*names), BATCH).alias("_row"))
+    return newest.select(*[F.col("_row")[n].alias(n) for n in names])
 
 
 def score_stream(stream: DataFrame, model: Model, on_null: str = "error") -> DataFrame:
     """The batch scoring path on a stream; sequence models need rows of several batches."""
-    if isinstance(model, SequenceModel) or getattr(model, "threshold_on", "fit") == "batch":
+    if not row_wise(model):
         raise ValueError("a stream needs a row-wise model with a stored cut-off")
     return model.score(stream, on_null=on_null)
 
 
+def row_wise(model: Model) -> bool:
+    """Whether a model and all its members score a row by itself, with a cut-off fitted before."""
+    if isinstance(model, SequenceModel) or getattr(model, "threshold_on", "fit") == "batch":
+        return False
+    return all(row_wise(m) for m in getattr(model, "members", ()))
+
+
 def alert_windows(scored: DataFrame, time: str = "ts", length: str = "1 hour", slide: str | None = None,
                   delay: str = "10 minutes", by: tuple[str, ...] = ()) -> DataFrame:
     """Events and alerts per event-time window; rows later than the delay are dropped."""
@@ -88,22 +97,34 @@ def alert_windows(scored: DataFrame, time: str = "ts", length: str = "1 hour", s
 
 
 def _last_rows(keep: int, entity: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """The last rows per entity of a whole partition, as long as they are few enough to hold."""
     def trim(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
         for frame in frames:
-            yield frame.sort_values([entity, "at", "row_id"]).groupby(entity, sort=False).tail(keep)
+            both = frame if held is None else pd.concat([held, frame])
+            held = both.sort_values([entity, "at", "row_id"]).groupby(entity, sort=False).tail(keep)
+            if len(held) > HELD_ROWS:
+                yield held
+                held = None
+        if held is not None:
+            yield held
     return trim
 
 
 def recent_stream(scored: DataFrame, entity: str, time: str = "ts", row_id: str = "row_id",
-                  keep: int = RECENT_ROWS) -> DataFrame:
+                  keep: int = RECENT_ROWS, expire: str | None = None) -> DataFrame:
     """Flagged rows among each entity's last ``keep`` events, updated with every micro-batch.
 
-    Before the shuffle each Arrow batch keeps only the last ``keep`` rows per entity, so an
-    entity with most of the rows sends few of them. State per entity is ``keep`` rows.
+    Before the shuffle each task keeps only the last ``keep`` rows per entity, so an entity with
+    most of the rows sends few of them. State per entity is ``keep`` rows. With ``expire`` an entity
+    that has been silent for that interval of event time is forgotten.
     """
     slim = event_time(scored, time).select(entity, micros(time).alias("at"), F.col(row_id).alias("row_id"),
                                            F.col("pred").cast("bigint").alias("pred"))
     trimmed = slim.mapInPandas(_last_rows(keep, entity), slim.schema)
+    silence = pd.Timedelta(expire).value // 1_000_000 if expire else None
+    if expire:
+        trimmed = trimmed.withColumn("event_time", F.timestamp_micros("at")).withWatermark("event_time", expire)
     kind = slim.schema[entity].dataType
     output = T.StructType([T.StructField(entity, kind), T.StructField("rows", T.LongType()),
                            T.StructField("flagged", T.LongType()), T.StructField("last_at", T.LongType())])
@@ -111,16 +132,21 @@ def recent_stream(scored: DataFrame, entity: str, time: str = "ts", row_id: str
     columns = ["at", "row_id", "pred"]
 
     def update(key: tuple[Any, ...], frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         held = pd.DataFrame(dict(zip(columns, state.get, strict=True))) if state.exists else pd.DataFrame(
             {c: pd.Series(dtype="int64") for c in columns})
         for frame in frames:
             held = pd.concat([held, frame[columns]]).sort_values(["at", "row_id"]).tail(keep)
         state.update(tuple([int(v) for v in held[c]] for c in columns))
+        if silence is not None:
+            state.setTimeoutTimestamp(max(int(held["at"].max()) // 1000 + silence, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame({entity: [key[0]], "rows": [len(held)], "flagged": [int(held["pred"].sum())],
                             "last_at": [int(held["at"].max())]})
 
     return trimmed.groupBy(entity).applyInPandasWithState(update, output, state_type, "update",
-                                                          GroupStateTimeout.NoTimeout)
+                                                          GroupStateTimeout.EventTimeTimeout if expire else GroupStateTimeout.NoTimeout)
 
 
 def private_stream(stream: DataFrame, texts: tuple[str, ...] = (), user_ids: str | None = "user_id",

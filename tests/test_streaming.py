@@ -111,6 +111,27 @@ def test_models_that_need_more_than_a_row_are_refused(spark, rows, folder):
     sequence = make_detector("sequence", features=["value"], base="linear", sequence_length=3).fit(rows)
     ensemble = make_detector("ensemble", detectors=[make_detector("deviation", features=["value"])],
                              threshold_on="batch").fit(rows)
-    for model in (sequence, ensemble):
+    nested = make_detector("ensemble", detectors=[make_detector("deviation", features=["value"])]).fit(rows)
+    nested.members.append(sequence)
+    for model in (sequence, ensemble, nested):
         with pytest.raises(ValueError):
             jobs.score_stream(stream(spark, rows, folder), model)
+
+
+def test_silent_entities_are_forgotten(spark):
+    path = work_path(spark, "silent")
+    for start, users in ((0, (1, 2)), (10_000, (2,)), (20_000, (2,)), (30_000, (1, 2))):
+        rows = [(start + 10 * i + u, u, float(start + i), 1) for u in users for i in range(3)]
+        part = spark.createDataFrame(rows, "row_id bigint, user_id bigint, s double, pred int")
+        part.select("row_id", "user_id", F.timestamp_seconds("s").alias("ts"), "pred").coalesce(1).write.mode("append").parquet(path)
+    kind = spark.read.parquet(path).schema
+    live = jobs.recent_stream(jobs.stream_table(spark, path, kind, max_files=1), "user_id", keep=5, expire="1 hour")
+    out = work_path(spark, "silent-out")
+    jobs.finished(jobs.upsert_stream(live, out))
+    got = {r["user_id"]: r["rows"] for r in jobs.latest_table(spark, out, live.schema, ["user_id"]).collect()}
+    # Entity 2 has rows in every micro-batch, so it never falls silent.
+    assert got == {1: 3, 2: 5}
+    kept = jobs.recent_stream(jobs.stream_table(spark, path, kind, max_files=1), "user_id", keep=5)
+    out = work_path(spark, "kept-out")
+    jobs.finished(jobs.upsert_stream(kept, out))
+    assert {r["user_id"]: r["rows"] for r in jobs.latest_table(spark, out, kept.schema, ["user_id"]).collect()} == {1: 5, 2: 5}
