@@ -62,6 +62,20 @@ def op6_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "class_size")
 
 
+OP6_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS g
+      FROM d, unnest(generate_series(1, greatest(len(ws) - 4, 1))) t(i) WHERE len(ws) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 5 * c >= 4 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS node, doc_id AS root FROM documents UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.node),
+c AS (SELECT node, min(root) AS class_id, count(*) AS class_size FROM r GROUP BY 1),
+k AS (SELECT a, count(*) AS n_links FROM e GROUP BY 1)
+SELECT node AS doc_id, class_id, coalesce(n_links, 0) AS n_links, class_size FROM c LEFT JOIN k ON a = node"""
+
+
 def op7_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feistel_shards.shard(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -95,4 +109,5 @@ QUERIES = {
 
 ORACLES = {
     "op3_stream_dedup": OP3_SQL,
+    "op6_chosen_path": OP6_SQL,
 }
