@@ -1,9 +1,8 @@
 """Exact order statistics and quantiles that never gather a large column in one place.
 
-Spark's ``percentile`` keeps one map entry per distinct value in a single task, so it is
-used only below a checked row count. Above it, the wanted ranks are bracketed with
-``percentile_approx`` and the brackets are narrowed by exact counts until only a small
-number of values lies between the ends. The sketch only guides the search; the result
+Spark's ``percentile`` keeps one map entry per distinct value in a single task. Here the
+wanted ranks are bracketed with ``percentile_approx`` and the brackets are narrowed by exact
+counts until only a small number of values lies between the ends. The sketch only guides the search; the result
 comes from counts, so heavy ties and a poor sketch cost passes, never correctness.
 """
 
@@ -16,8 +15,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-PERCENTILE_ROWS = 1_000_000  # exact built-in percentile up to this many rows
-GATHER_ROWS = 50_000  # values of one bracket brought to the driver at most
+from logwarden.common import kept
+
+GATHER_ROWS = 50_000  # values of all brackets brought to the driver at most
 SKETCH_ACCURACY = 20_000
 MAX_ROUNDS = 200
 
@@ -112,7 +112,10 @@ def _select_ranks(values: DataFrame, wanted: Mapping[str, Sequence[int]],
                   counts: Mapping[str, int], gather_rows: int) -> dict[tuple[str, int], float]:
     searches = [_Search(c, r, counts[c]) for c, ranks in wanted.items() for r in sorted(set(ranks))]
     for _ in range(MAX_ROUNDS):
-        wide = [s for s in searches if s.found is None and s.inside > gather_rows]
+        left = [s for s in searches if s.found is None]
+        # All brackets together may hold gather_rows values.
+        share = gather_rows // max(1, len({(s.column, s.low, s.high) for s in left}))
+        wide = [s for s in left if s.inside > max(1, share)]
         if not wide:
             break
         points = _sketched_points(values, wide)
@@ -140,19 +143,21 @@ def ranked_values(df: DataFrame, column: str, ranks: Callable[[int], Sequence[in
 
 
 def exact_quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]],
-                    percentile_rows: int = PERCENTILE_ROWS,
                     gather_rows: int = GATHER_ROWS) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of several columns in shared passes.
 
     Nulls and NaN are left out; a column without values gives ``None``.
     """
-    values = _as_doubles(df, list(wanted))
+    # Several passes follow, so whatever makes the columns runs once.
+    values = kept(_as_doubles(df, list(wanted)))
+    try:
+        return _quantiles(values, wanted, gather_rows)
+    finally:
+        values.unpersist()
+
+
+def _quantiles(values: DataFrame, wanted: Mapping[str, Sequence[float]], gather_rows: int) -> dict[str, list[float | None]]:
     counts = _counts(values)
-    if max(counts.values()) <= percentile_rows:
-        row = values.agg(*[F.percentile(c, F.array(*map(F.lit, map(float, ps)))).alias(c)
-                           for c, ps in wanted.items()]).first()
-        return {c: list(row[c]) if row[c] is not None else [None] * len(ps)
-                for c, ps in wanted.items()}
     spots = {c: [p * (counts[c] - 1) for p in ps] for c, ps in wanted.items() if counts[c]}
     ranks = {c: [r for s in at for r in (math.floor(s), math.ceil(s))] for c, at in spots.items()}
     found = _select_ranks(values, ranks, counts, gather_rows)
