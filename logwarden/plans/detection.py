@@ -35,6 +35,16 @@ def zscore_explain_asked(spark, sf_dir):
     return rounded(explain.zscore_explanation(scored, FEATURES, asked, baseline="asked"), 4)
 
 
+def explain_dispatch(spark, sf_dir):
+    """The z-score explanation through the dispatcher."""
+    return rounded(explain.explain(_scored(spark, sf_dir), method="zscore", features=FEATURES, max_features=3), 4)
+
+
+def default_features(spark, sf_dir):
+    """A detector that chooses its features: every numeric column that is no key, label or score."""
+    return _shown(make_detector("deviation").fit_score(log_features(spark, sf_dir)))
+
+
 def explanation_report(spark, sf_dir):
     long = explain.zscore_explanation(_scored(spark, sf_dir), FEATURES, max_features=2)
     return explain.explanation_report(long).select("row_id", "rank", "feature", "flag")
@@ -141,6 +151,8 @@ QUERIES = {
         "tp", "fp", "tn", "fn", "precision", "recall", "accuracy")),
     "zscore_explain": zscore_explain,
     "zscore_explain_asked": zscore_explain_asked,
+    "explain_dispatch": explain_dispatch,
+    "default_features": default_features,
     "explanation_report": explanation_report,
     "nested_explanation": nested_explanation,
     "feature_importance": feature_importance,
@@ -261,6 +273,8 @@ ORACLES = {
         count(*) FILTER (label = 1 AND pred = 0) AS fn FROM dscored) SELECT tp, fp, tn, fn,
         {r('tp::DOUBLE / (tp + fp)')} AS "precision", {r('tp::DOUBLE / (tp + fn)')} AS recall,
         {r('(tp + tn)::DOUBLE / (tp + fp + tn + fn)')} AS accuracy FROM c""",
+    "explain_dispatch": f"{_FLAGGED} SELECT {_ROW} FROM ranked WHERE rank <= 3",
+    "default_features": f"WITH {FEATS}, {deviation_sql(['user_id', *FEATURES])} SELECT row_id, {r('score')} AS score, pred FROM dscored",
     "zscore_explain": f"{_FLAGGED} SELECT {_ROW} FROM ranked WHERE rank <= 3",
     "zscore_explain_asked": f"{_ASKED} SELECT {_ROW} FROM ranked",
     "explanation_report": f"""{_FLAGGED} SELECT row_id, CAST(rank AS INTEGER) AS rank, feature,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -64,6 +66,13 @@ QUERIES = {
         "day", F.col("day").cast("timestamp_ntz"))),
     "precision_at_k": lambda s, d: rounded(metrics.precision_at_k(scored_events(s, d))),
     "precision_at_k_labels": labels_precision,
+    "precision_given_ks": lambda s, d: rounded(metrics.precision_at_k(scored_events(s, d), (1, 7, 333))),
+    "sweep_given_thresholds": lambda s, d: rounded(metrics.threshold_sweep(
+        scored_events(s, d), [math.inf, 3.0, -math.inf, 40.0]).withColumn("threshold", F.col("threshold").cast("string"))),
+    "one_class_metrics": lambda s, d: rounded(metrics.flag_metrics(scored_events(s, d).where("label = 1")).select(
+        "tp", "fp", "tn", "fn", "precision", "recall", "accuracy", "detection_rate", "false_alarm_rate")),
+    "recommendations_poor": lambda s, d: metrics.recommendations(metrics.flag_metrics(
+        scored_events(s, d).withColumn("pred", 1 - F.col("label")))),
     "top_scored": lambda s, d: metrics.top_scored(
         scored_events(s, d).select("row_id", "label", "score"), 500),
     "score_steps": lambda s, d: _steps(s, d).select("score", "pos", "neg", "tp", "fp"),
@@ -185,6 +194,19 @@ ORACLES = {
         {r("count(*) FILTER (pred = 1) / 8.0::DOUBLE")} AS alerts_per_analyst,
         CAST(count(*) FILTER (pred = 1) > 30 AS INTEGER) AS over_limit FROM scored GROUP BY 1""",
     "precision_at_k": f"{_HEAD} {_at_k('scored')}",
+    "precision_given_ks": f"""{_HEAD}, o AS (SELECT label, row_number() OVER (ORDER BY score DESC, row_id) AS rn FROM scored)
+        SELECT {', '.join(f"{r(f'count(*) FILTER (rn <= {k} AND label = 1)::DOUBLE / least({k}, count(*))')} AS precision_at_{k}" for k in (1, 7, 333))}
+        FROM o""",
+    "sweep_given_thresholds": f"""{_HEAD}, g AS (SELECT * FROM (VALUES (0, 'Infinity', 'inf'::DOUBLE), (1, '3.0', 3.0::DOUBLE),
+            (2, '-Infinity', '-inf'::DOUBLE), (3, '40.0', 40.0::DOUBLE)) v(step, threshold, t)),
+        c AS (SELECT CAST(step AS INTEGER) AS step, threshold, count(*) FILTER (label = 1 AND score >= t) AS tp, count(*) FILTER (label = 0 AND score >= t) AS fp,
+            count(*) FILTER (label = 0 AND score < t) AS tn, count(*) FILTER (label = 1 AND score < t) AS fn FROM scored, g GROUP BY 1, 2)
+        SELECT step, threshold, tp, fp, tn, fn, {_columns(BASIC_SQL)} FROM c""",
+    "one_class_metrics": f"""{_HEAD}, one AS (SELECT * FROM scored WHERE label = 1), {_counts('one')}
+        SELECT tp, fp, tn, fn, 0.0::DOUBLE AS "precision", 0.0::DOUBLE AS recall, {r('tp::DOUBLE / (tp + fn)')} AS accuracy,
+            {r('tp::DOUBLE / (tp + fn)')} AS detection_rate, 0.0::DOUBLE AS false_alarm_rate FROM cm""",
+    "recommendations_poor": """SELECT unnest(['High false alarm rate - consider adjusting threshold',
+        'Low detection rate - model may need retraining', 'Low workload efficiency - many false alerts']) AS recommendation""",
     "precision_at_k_labels": "WITH j AS (SELECT l.doc_id AS row_id, toxic AS label, n_chars::DOUBLE AS score "
                              f"FROM labels l JOIN documents d ON l.doc_id = d.doc_id) {_at_k('j')}",
     "top_scored": f"""{_HEAD} SELECT row_id, label, score, CAST(rn AS INTEGER) AS rank FROM (

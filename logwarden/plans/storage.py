@@ -63,6 +63,29 @@ def model_round_trip(spark, sf_dir):
     return rounded(models.load_model(spark, path).score(rows).select("row_id", "score", "pred"))
 
 
+def model_round_trip_arrays(spark, sf_dir):
+    """Models with arrays, saved and loaded: how many rows score differently afterwards."""
+    rows = log_features(spark, sf_dir)
+    sequence = make_detector("sequence", features=["value", "k"], base="linear", components=2, sequence_length=3, limit=500_000)
+    made = {"isolation_forest": make_detector("isolation_forest", features=FEATURES), "sequence": sequence,
+            "autoencoder": make_detector("autoencoder", features=FEATURES, hidden_dims=(8, 4)),
+            "ensemble": make_detector("ensemble", detectors=[make_detector("linear", features=FEATURES),
+                                                             make_detector("isolation_forest", features=["value", "gap"])], normalise="rank")}
+    out = []
+    for name, detector in made.items():
+        model, path = detector.fit(rows), work_path(spark, "model")
+        models.save_model(spark, model, path)
+        before = model.score(rows).select("row_id", F.col("score").alias("s"), F.col("pred").alias("p"))
+        after = models.load_model(spark, path).score(rows).select("row_id", "score", "pred")
+        same = F.col("s").eqNullSafe(F.col("score")) & F.col("p").eqNullSafe(F.col("pred"))
+        out.append(before.join(after, "row_id").agg(F.count(F.lit(1)).alias("rows"), F.count_if(~same).alias("different"))
+                   .select(F.lit(name).alias("method"), "rows", "different"))
+    found = out[0]
+    for part in out[1:]:
+        found = found.unionByName(part)
+    return found
+
+
 QUERIES = {
     "log_table_round_trip": log_table_round_trip,
     "metric_history": metric_history,
@@ -70,6 +93,7 @@ QUERIES = {
     "audit_csv": audit_csv,
     "privacy_report_json": privacy_report_json,
     "model_round_trip": model_round_trip,
+    "model_round_trip_arrays": model_round_trip_arrays,
 }
 
 _RUN = "SELECT '{run}' AS run_id, '{m}' AS metric, {x} AS value FROM scored"
@@ -87,5 +111,7 @@ ORACLES = {
         {r(evaluation.BASIC_SQL['accuracy'])} AS accuracy FROM cm""",
     "audit_csv": f"{privacy._AUDIT_SQL} SELECT event_type, description, additional_data FROM a",
     "privacy_report_json": privacy.ORACLES["audit_summary"],
+    "model_round_trip_arrays": """SELECT unnest(['isolation_forest', 'sequence', 'autoencoder', 'ensemble']) AS method,
+        count(*) AS "rows", CAST(0 AS BIGINT) AS different FROM events""",
     "model_round_trip": f"WITH {FEATS}, {deviation_sql(FEATURES)} SELECT row_id, {r('score')} AS score, pred FROM dscored",
 }
