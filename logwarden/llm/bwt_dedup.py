@@ -32,14 +32,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logwarden.common import written
-from logwarden.llm.tables import join_parts, whole_groups, whole_text
+from logwarden.llm.tables import join_parts, small_batches, whole_groups, whole_text
 
 LENGTH = 400
-SYMBOL = 50
+SYMBOL = 100
 GRAM = 32
 WIDTH = LENGTH - GRAM + 1  # grams in a window
 SHARD_BYTES = 1 << 18
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
+STRETCH = 1 << 19
 HEAVY = 2048
 RUN = "doc_id {kind}, key bigint, lo bigint, len bigint, fp bigint, first bigint, last bigint, inner boolean"
 
@@ -57,10 +58,10 @@ def _pair(left: np.ndarray, right: np.ndarray, level: int) -> np.ndarray:
     return x
 
 
-def gram_hashes(data: np.ndarray) -> list[np.ndarray]:
-    """Hashes of all strings of 1, 2, 4 ... 256 bytes, as long as there are any."""
+def gram_hashes(data: np.ndarray, longest: int = 256) -> list[np.ndarray]:
+    """Hashes of all strings of 1, 2, 4 ... ``longest`` bytes, as long as there are any."""
     levels, size = [BYTE[data]], 1
-    while size < 256 and len(levels[-1]) > size:
+    while size < longest and len(levels[-1]) > size:
         last = levels[-1]
         levels.append(_pair(last[:-size], last[size:], len(levels)))
         size *= 2
@@ -112,9 +113,11 @@ def _runs(docs: DataFrame) -> DataFrame:
                 found, rows = [], []
                 for i, text in enumerate(part.column(2)):
                     data = text.as_py()
-                    if len(data) >= LENGTH:
-                        found.append(runs(data))
-                        rows.append(np.full(len(found[-1][0]), i))
+                    # A long text is read in stretches of windows; where a run is cut does not matter.
+                    for first in range(0, len(data) - LENGTH + 1, STRETCH):
+                        lo, *rest = runs(data[first:first + STRETCH + LENGTH - 1])
+                        found.append((lo + first, *rest))
+                        rows.append(np.full(len(lo), i))
                 if found:
                     which = pa.array(np.concatenate(rows))
                     columns = [pa.array(np.concatenate(c)) for c in zip(*found)]
@@ -125,10 +128,25 @@ def _runs(docs: DataFrame) -> DataFrame:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    text = whole_text(docs)
+    text = whole_text(small_batches(docs))
     return docs.select(docs["doc_id"].alias("doc_id"), F.xxhash64(text).alias("key"), text.cast("binary").alias("bytes"))
 
 
+def stable_order(keys: np.ndarray) -> np.ndarray:
+    """Stable ascending order of numbers below 2^32, by two counting sorts of their halves."""
+    order = np.argsort((keys & 0xFFFF).astype(np.uint16), kind="stable")
+    high = (keys >> 16).astype(np.uint16)
+    return order[np.argsort(high[order], kind="stable")] if high.any() else order
+
+
+def dense_ranks(keys: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """Ranks 0.. of keys that stand sorted in ``order``."""
+    at = keys[order]
+    out = np.empty(len(keys), np.int64)
+    out[order] = np.cumsum(np.append(False, at[1:] != at[:-1])) if len(at) else at
+    return out
+
+
 class Shard:
     """The Burrows-Wheeler transform of some strings over ``SYMBOL``-byte symbols.
 
@@ -144,12 +162,16 @@ class Shard:
         left = np.repeat(sizes, sizes) - 1 - place  # bytes to the end
         rank, step = symbols.astype(np.int64), SYMBOL
         while step < sizes.max(initial=0):
-            ahead = np.where(left >= step, rank[np.minimum(np.arange(n) + step, n - 1)] + 1, 0)
-            _, rank = np.unique(rank * (int(ahead.max(initial=0)) + 1) + ahead, return_inverse=True)
+            ahead = np.zeros(n, np.int64)
+            ahead[:max(0, n - step)] = rank[step:] + 1
+            ahead[left < step] = 0
+            order = stable_order(ahead)
+            order = order[stable_order(rank[order])]
+            rank = dense_ranks(rank * (int(ahead.max(initial=0)) + 1) + ahead, order)
             step *= 2
         # Equal suffixes are ordered by string and residue, as are the nodes before them.
-        tie = np.repeat(np.arange(len(sizes)), sizes) * SYMBOL + place % SYMBOL
-        self.order = np.lexsort((tie, rank))
+        tie = stable_order(np.repeat(np.arange(len(sizes)), sizes) * SYMBOL + place % SYMBOL)
+        self.order = tie[stable_order(rank[tie])]
         before = np.where(place >= SYMBOL, symbols[np.maximum(np.arange(n) - SYMBOL, 0)], 0)
         self.transform = before[self.order]
 
@@ -165,7 +187,7 @@ def interleave(shards: list[Shard], rounds: int) -> np.ndarray:
         # Each shard's entries stand in the interleave in the order of its own transform.
         read = np.empty(len(symbols), symbols.dtype)
         read[mine] = symbols
-        order = np.argsort(read, kind="stable")
+        order = stable_order(read)
         which, read, block = which[order], read[order], block[order]
         fresh = np.ones(len(read), bool)
         fresh[1:] = (read[1:] != read[:-1]) | (block[1:] != block[:-1])
@@ -181,8 +203,8 @@ def repeated_windows(strings: list[bytes]) -> list[np.ndarray]:
     """Per string, which of its windows occur more than once among all windows of all strings."""
     sizes = np.array([len(s) + 1 for s in strings])
     data = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8)
-    grams = gram_hashes(data)[5]
-    symbol = _pair(grams[:len(grams) - (SYMBOL - GRAM)], grams[SYMBOL - GRAM:], 1)
+    grams = gram_hashes(data, 64)[6]
+    symbol = _pair(grams[:len(grams) - (SYMBOL - 64)], grams[SYMBOL - 64:], 1)
     left = np.repeat(np.cumsum(sizes), sizes) - 1 - np.arange(len(data))
     full = np.flatnonzero(left[:len(symbol)] >= SYMBOL)
     symbols = np.zeros(len(data), np.int64)
@@ -283,13 +305,18 @@ def _bytes(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                data, places = batch.column(2)[i].as_py(), batch.column(3)[i].as_py()
-                which = pa.array(np.full(len(places), i))
+            for start in range(0, batch.num_rows, 64):
+                part = batch.slice(start, 64)
+                which, places, cut = [], [], []
+                for i, (data, wanted_here) in enumerate(zip(part.column(2).to_pylist(), part.column(3).to_pylist())):
+                    which += [i] * len(wanted_here)
+                    places += wanted_here
+                    cut += [data[p["lo"]:p["lo"] + p["len"] - 1 + LENGTH] for p in wanted_here]
+                rows = pa.array(which, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([p["fp"] for p in places], pa.int64()), batch.column(0).take(which), batch.column(1).take(which),
+                    [pa.array([p["fp"] for p in places], pa.int64()), part.column(0).take(rows), part.column(1).take(rows),
                      pa.array([p["lo"] for p in places], pa.int64()), pa.array([p["single"] for p in places], pa.bool_()),
-                     pa.array([data[p["lo"]:p["lo"] + p["len"] - 1 + LENGTH] for p in places], pa.binary())],
+                     pa.array(cut, pa.binary())],
                     ["fp", "doc_id", "key", "lo", "single", "bytes"])
 
     lists = wanted.groupBy("doc_id", "key").agg(F.collect_set(F.struct("fp", "lo", "len", "single")).alias("places"))

@@ -22,6 +22,14 @@ def whole_text(df: DataFrame, name: str = "text") -> Column:
     return F.coalesce(df[name], F.lit(""))
 
 
+def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """Send fewer rows at once to Python workers, as texts can be long; a number the session has chosen stays."""
+    name, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
+    if conf.get(name, "10000") == "10000":
+        conf.set(name, str(rows))
+    return df
+
+
 def free_name(df: DataFrame, wish: str) -> str:
     """A column name that the table does not have yet."""
     taken = {c.lower() for c in df.columns}

@@ -111,9 +111,10 @@ def test_components(spark):
     assert got == {**{i: 0 for i in range(1, 41)}, 77: 50, 100: 50, 201: 200, **{i: 300 for i in range(301, 340)}}
 
 
-@pytest.mark.parametrize("heavy", [2048, 1])
-def test_repeats(spark, heavy):
-    """Also with every shared anchor counted window by window."""
+@pytest.mark.parametrize("heavy,stretch", [(2048, 1 << 19), (1, 1 << 19), (2048, 700)])
+def test_repeats(spark, monkeypatch, heavy, stretch):
+    """Also with every shared anchor counted window by window, and with texts read in short stretches."""
+    monkeypatch.setattr(bwt_dedup, "STRETCH", stretch)
     got = Counter()
     for r in bwt_dedup.remove(frame(spark, ROWS), heavy).collect():
         got[low(r.doc_id), r.n_bytes, tuple((s.lo, s.hi) for s in r.spans), hexed(bytes(r.kept))] += 1
