@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from logwarden.common import written
 from logwarden.llm.components import components
-from logwarden.llm.tables import free_name, join_parts, whole_groups, whole_text
+from logwarden.llm.tables import free_name, join_parts, small_batches, whole_groups, whole_text
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -101,10 +101,13 @@ def _sets(docs: DataFrame, similarity: float, runs: int) -> DataFrame:
                         column.append(None)
                     continue
                 below = np.uint64(min(2**64 - 1, int(2**64 / max(1.0, similarity * len(tokens)))))
-                hashed = mixed(tokens[None, :] ^ seeds[:, None])
+                chosen = []
+                for at in range(0, len(tokens), 1 << 16):
+                    hashed = mixed(tokens[None, at:at + (1 << 16)] ^ seeds[:, None])
+                    chosen.append(hashed[hashed <= below])
                 ids.append(set_id(tokens))
                 sizes.append(len(tokens))
-                paths.append(hashed[hashed <= below].view(np.int64))
+                paths.append(np.concatenate(chosen).view(np.int64))
                 sketches.append(sketch(tokens))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(ids, pa.binary()), pa.array(sizes, pa.int64()),
@@ -113,7 +116,7 @@ def _sets(docs: DataFrame, similarity: float, runs: int) -> DataFrame:
 
     text = whole_text(docs)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select(docs["doc_id"], F.unhex(F.sha2(text.cast("binary"), 256)).alias("text_key"), text.alias("t"))
+    rows = small_batches(docs).select(docs["doc_id"], F.unhex(F.sha2(text.cast("binary"), 256)).alias("text_key"), text.alias("t"))
     return rows.mapInArrow(run, f"doc_id {kind}, text_key binary, sid binary, size bigint, paths array<bigint>, sketch binary")
 
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logwarden.llm.tables import whole_text
+from logwarden.llm.tables import small_batches, whole_text
 
 BUCKETS = 1 << 16
 FACTORS = 8
@@ -164,7 +164,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows: in
     # At most fit_rows ids, so the broadcast is bounded.
     sample = known.orderBy(F.xxhash64("_id"), "_id").limit(fit_rows)
     text = whole_text(docs)
-    met = docs.select(docs["doc_id"].alias("_id"), text.alias("_text"), _recorded(docs).alias("_recorded")).join(
+    met = small_batches(docs).select(docs["doc_id"].alias("_id"), text.alias("_text"), _recorded(docs).alias("_recorded")).join(
         F.broadcast(sample), "_id")
     bounded = met.orderBy(F.xxhash64("_id"), "_id", F.xxhash64("_text")).limit(fit_rows)
 
@@ -204,7 +204,7 @@ def score(docs: DataFrame, model: Machine, keep: list[str] | None = None, name:
             out = np.concatenate(scores) if scores else np.empty(0)
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(names)], pa.array(out)], [f"c{i}" for i in range(len(names) + 1)])
 
-    plain = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(names)], whole_text(docs).alias("t"), _recorded(docs).alias("r"))
+    plain = small_batches(docs).select(*[docs[c].alias(f"c{i}") for i, c in enumerate(names)], whole_text(docs).alias("t"), _recorded(docs).alias("r"))
     shape = ", ".join(f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(names))
     done = plain.mapInArrow(run, f"{shape}, c{len(names)} double" if names else "c0 double")
     return done.toDF(*names, name)

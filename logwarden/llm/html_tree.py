@@ -21,6 +21,8 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from logwarden.llm.tables import small_batches
+
 # Fixed sets of the HTML language.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
@@ -318,5 +320,5 @@ def extract(pages: DataFrame) -> DataFrame:
                 ["page_id", "url", "text", "n_chars"])
 
     kinds = [pages.schema[c].dataType.simpleString() for c in ("page_id", "url")]
-    return pages.select(pages["page_id"], pages["url"], pages["html"]).mapInArrow(
+    return small_batches(pages).select(pages["page_id"], pages["url"], pages["html"]).mapInArrow(
         run, f"page_id {kinds[0]}, url {kinds[1]}, text string, n_chars bigint")
