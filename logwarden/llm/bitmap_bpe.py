@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import struct
 from collections.abc import Iterator
 from heapq import heappop, heappush
 
@@ -23,8 +24,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from logwarden.llm.tables import small_batches
+
 WORD_BITS = 8  # ranks per bitmap word: 256
-CACHED = 300_000  # pre-tokens kept per generation and worker
+CACHED = 400_000  # pre-tokens kept per generation and worker
 LONGEST_CACHED = 48
 
 
@@ -33,7 +36,16 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, filter(None, map(bytes.strip, lines)))}
 
 
-def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+class Bits:
+    """Per rank its word, its bit there and the word's bit in the summary."""
+
+    def __init__(self, ranks: int):
+        self.word = [rank >> WORD_BITS for rank in range(ranks)]
+        self.bit = [1 << (rank & (1 << WORD_BITS) - 1) for rank in range(ranks)]
+        self.top = [1 << (rank >> WORD_BITS) for rank in range(ranks)]
+
+
+def merge(piece: bytes, ranks: dict[bytes, int], bits: Bits) -> list[int]:
     """The ids of one pre-token."""
     whole = ranks.get(piece)
     if whole is not None:
@@ -45,7 +57,7 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     heaps: dict[int, list[int]] = {}
     words: dict[int, int] = {}
     summary = 0
-    rank_of = ranks.get
+    rank_of, word_of, bit_of, top_of = ranks.get, bits.word, bits.bit, bits.top
 
     for at in range(n - 1):
         rank = rank_of(piece[at:at + 2])
@@ -55,9 +67,9 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
                 heaps[rank].append(at)
             else:
                 heaps[rank] = [at]
-                block = rank >> WORD_BITS
-                words[block] = words.get(block, 0) | 1 << (rank & 255)
-                summary |= 1 << block
+                block = word_of[rank]
+                words[block] = words.get(block, 0) | bit_of[rank]
+                summary |= top_of[rank]
     while summary:
         block = (summary & -summary).bit_length() - 1
         word = words[block]
@@ -75,59 +87,76 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
         second = after[at]
         end = after[second]
         after[at] = end
-        pair[at] = pair[second] = -1
+        pair[second] = -1
+        left = before[at]
         if end < n:
             before[end] = at
-        for left, stop in ((before[at], end), (at, after[end] if end < n else -1)):
-            if left < 0 or stop < 0:
-                continue
-            rank = rank_of(piece[left:stop])
-            pair[left] = -1 if rank is None else rank
-            if rank is not None:
+            rank = rank_of(piece[at:after[end]])
+            if rank is None:
+                pair[at] = -1
+            else:
+                pair[at] = rank
+                if rank in heaps:
+                    heappush(heaps[rank], at)
+                else:
+                    heaps[rank] = [at]
+                    block = word_of[rank]
+                    words[block] = words.get(block, 0) | bit_of[rank]
+                    summary |= top_of[rank]
+        else:
+            pair[at] = -1
+        if left >= 0:
+            rank = rank_of(piece[left:end])
+            if rank is None:
+                pair[left] = -1
+            else:
+                pair[left] = rank
                 if rank in heaps:
                     heappush(heaps[rank], left)
                 else:
                     heaps[rank] = [left]
-                    block = rank >> WORD_BITS
-                    words[block] = words.get(block, 0) | 1 << (rank & 255)
-                    summary |= 1 << block
+                    block = word_of[rank]
+                    words[block] = words.get(block, 0) | bit_of[rank]
+                    summary |= top_of[rank]
     out, at = [], 0
     while at < n:
-        out.append(ranks[piece[at:after[at]]])
-        at = after[at]
+        end = after[at]
+        out.append(ranks[piece[at:end]])
+        at = end
     return out
 
 
-class Codec:
+class Codec(dict):
     """Encodes and decodes texts; remembers the ids of short pre-tokens in two bounded generations."""
 
     def __init__(self, path: str, pattern: str):
+        super().__init__()
         self.ranks = read_ranks(path)
         self.pattern = regex.compile(pattern)
         self.bytes_of = [b""] * (max(self.ranks.values(), default=-1) + 1)
         for token, rank in self.ranks.items():
             self.bytes_of[rank] = token
-        self.young: dict[str, bytes] = {}
+        self.bits = Bits(len(self.bytes_of))
         self.old: dict[str, bytes] = {}
 
-    def _ids(self, piece: str) -> bytes:
+    def __missing__(self, piece: str) -> bytes:
         ids = self.old.get(piece)
         if ids is None:
-            ids = np.array(merge(piece.encode(), self.ranks), "<u4").tobytes()
+            found = merge(piece.encode(), self.ranks, self.bits)
+            ids = struct.pack(f"<{len(found)}I", *found)
         if len(piece) <= LONGEST_CACHED:
-            if len(self.young) >= CACHED:
-                self.old, self.young = self.young, {}
-            self.young[piece] = ids
+            if len(self) >= CACHED:
+                self.old = dict(self)
+                self.clear()
+            self[piece] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        known, miss = self.young.get, self._ids
-        return b"".join([known(piece) or miss(piece) for piece in self.pattern.findall(text)])
+        return b"".join(map(self.__getitem__, self.pattern.findall(text)))
 
     def decode(self, ids: bytes) -> bytes:
-        of = self.bytes_of
-        return b"".join([of[i] for i in np.frombuffer(ids, "<u4").tolist()])
+        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 _codecs: dict[tuple[str, str], Codec] = {}
@@ -150,7 +179,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select(docs["doc_id"], docs["text"]).mapInArrow(run, f"doc_id {kind}, ids binary")
+    return small_batches(docs).select(docs["doc_id"], docs["text"]).mapInArrow(run, f"doc_id {kind}, ids binary")
 
 
 def decode(rows: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -183,5 +212,5 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select(docs["doc_id"], docs["text"]).mapInArrow(
+    return small_batches(docs).select(docs["doc_id"], docs["text"]).mapInArrow(
         run, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
