@@ -18,6 +18,7 @@ from __future__ import annotations
 import math
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logwarden.common import work_path
-from logwarden.llm.tables import whole_text
+from logwarden.llm.tables import small_batches, whole_text
 
 WINDOW = 4096
 END = 2
@@ -57,7 +58,8 @@ class Tokens(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size()
         self.kind = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
-        self.end = np.array([END], self.kind).tobytes()
+        self.code = "H" if self.kind.itemsize == 2 else "I"
+        self.end = array(self.code, [END]).tobytes()
         self.old: dict[str, bytes] = {}
         self.stops = {mark: self._whole(mark) for mark in ",."}
         # How the tokenizer writes the bytes of a letter, as told by itself.
@@ -65,21 +67,26 @@ class Tokens(dict):
         for letter in LETTERS:
             found = self.tokenizer.pre_tokenizer.pre_tokenize_str(letter) if self.tokenizer.pre_tokenizer else []
             self.letters[ord(letter)] = found[0][0] if len(found) == 1 else letter
+        self.same = all(self.letters[ord(c)] == c for c in LETTERS if c.isascii())
+        self.tokenize = self.tokenizer.model.tokenize
         probes = [*LETTERS, *LETTERS.upper(), "hello", "WORLD", "Élève", LETTERS]
         self.direct = all(self._letters(p.lower()) == self._whole(p) for p in probes)
 
     def _whole(self, chunk: str) -> bytes:
-        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, self.kind).tobytes()
+        return array(self.code, self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
 
     def _letters(self, word: str) -> bytes:
-        return np.array([t.id for t in self.tokenizer.model.tokenize(word.translate(self.letters))], self.kind).tobytes()
+        # A native array; ids are little-endian where Spark runs today, as numpy's kinds above say.
+        if not (self.same and word.isascii()):
+            word = word.translate(self.letters)
+        return array(self.code, [t.id for t in self.tokenize(word)]).tobytes()
 
     def _ids(self, chunk: str) -> bytes:
         if not self.direct:
             return self._whole(chunk)
         mark = chunk[-1:] if chunk[-1:] in self.stops else ""
         word = chunk[:-1] if mark else chunk
-        if not PLAIN(word):
+        if not (word.isalpha() if word.isascii() else PLAIN(word)):
             return self._whole(chunk)
         lower = word.lower()
         ids = self._letters(lower) if not mark and lower == word else self[lower]
@@ -140,7 +147,7 @@ def tokenised(docs: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
     kind = docs.schema["doc_id"].dataType.simpleString()
     shape = f"doc_id {kind}, ids binary, n_tokens bigint, seen binary"
     place = work_path(docs.sparkSession, "tokens")
-    docs.select(docs["doc_id"], whole_text(docs).alias("t")).mapInArrow(run, shape).write.option("compression", "zstd").parquet(place)
+    small_batches(docs).select(docs["doc_id"], whole_text(docs).alias("t")).mapInArrow(run, shape).write.option("compression", "zstd").parquet(place)
     found = docs.sparkSession.read.schema(shape).parquet(place)
     return found.where("seen is null").drop("seen"), found.where("seen is not null").select("seen")
 
