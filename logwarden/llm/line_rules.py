@@ -37,15 +37,19 @@ BOILERPLATE_WORDS = 40  # a longer line that mentions a phrase is prose about it
 
 def _failing(line: Column) -> Column:
     """Whether a line that has a word breaks a rule."""
-    words = F.regexp_count(line, F.lit(f"[^{WORD_GAP}]+"))
-    boilerplate = F.lower(line).rlike("|".join(BOILERPLATE)) & (words <= BOILERPLATE_WORDS)
-    separators = F.regexp_count(line, F.lit("[|»›•·]|(?<=\\x20)>(?=\\x20)"))
-    navigation = (separators >= 2) & (separators * 4 >= words)
-    symbols = F.length(line) - F.length(F.translate(line, SYMBOLS, ""))
-    loaded = symbols * 2 > words
-    # A run of words in which no sentence, clause or list ever ends is a menu or a dump of tags.
-    unended = (words >= 12) & ~line.rlike("[.!?,;:…。！？،؟।]")
-    return boilerplate | navigation | loaded | unended
+    def judged(words: Column) -> Column:
+        # The cheap side of each test comes first, so the patterns run on few lines.
+        boilerplate = (words <= BOILERPLATE_WORDS) & F.lower(line).rlike("|".join(BOILERPLATE))
+        separators = F.regexp_count(line, F.lit("[|»›•·]|(?<=\\x20)>(?=\\x20)"))
+        maybe = F.length(line) - F.length(F.translate(line, "|»›•·>", ""))
+        navigation = (maybe >= 2) & (maybe * 4 >= words) & (separators >= 2) & (separators * 4 >= words)
+        symbols = F.length(line) - F.length(F.translate(line, SYMBOLS, ""))
+        loaded = symbols * 2 > words
+        # A run of words in which no sentence, clause or list ever ends is a menu or a dump of tags.
+        unended = (words >= 12) & ~line.rlike("[.!?,;:…。！？،؟।]")
+        return unended | loaded | navigation | boilerplate
+
+    return let(F.regexp_count(line, F.lit(f"[^{WORD_GAP}]+")), judged)
 
 
 def _repeated(words: Column) -> Column:
