@@ -32,6 +32,8 @@ BOILERPLATE = (
     "enable javascript", "click here to", "share on facebook", "share on twitter", "skip to content", "back to top",
     "powered by wordpress", "lorem ipsum",
 )
+SEPARATORS = "[|»›•·]|\\x20>"
+ENDS = "[.!?,;:…。！？،؟।]"
 BOILERPLATE_WORDS = 40  # a longer line that mentions a phrase is prose about it
 
 
@@ -40,13 +42,13 @@ def _failing(line: Column) -> Column:
     def judged(words: Column) -> Column:
         # The cheap side of each test comes first, so the patterns run on few lines.
         boilerplate = (words <= BOILERPLATE_WORDS) & F.lower(line).rlike("|".join(BOILERPLATE))
-        separators = F.regexp_count(line, F.lit("[|»›•·]|(?<=\\x20)>(?=\\x20)"))
+        separators = F.regexp_count(line, F.lit(SEPARATORS))
         maybe = F.length(line) - F.length(F.translate(line, "|»›•·>", ""))
         navigation = (maybe >= 2) & (maybe * 4 >= words) & (separators >= 2) & (separators * 4 >= words)
         symbols = F.length(line) - F.length(F.translate(line, SYMBOLS, ""))
         loaded = symbols * 2 > words
         # A run of words in which no sentence, clause or list ever ends is a menu or a dump of tags.
-        unended = (words >= 12) & ~line.rlike("[.!?,;:…。！？،؟।]")
+        unended = (words >= 12) & ~line.rlike(ENDS)
         return unended | loaded | navigation | boilerplate
 
     return let(F.regexp_count(line, F.lit(f"[^{WORD_GAP}]+")), judged)

@@ -58,6 +58,31 @@ def op5_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def _op5_sql() -> str:
+    gap, word = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)", r"[^\x20\x09-\x0D]"
+    symbols = line_rules.SYMBOLS
+    boilerplate = "|".join(line_rules.BOILERPLATE)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT rid, doc_id, t, regexp_extract_all(t, '{word}+') AS ws FROM d),
+wins AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, array_to_string(ws[i:i + 7], ' ')) AS c
+         FROM w, unnest(generate_series(1, len(ws) - 7)) g(i)),
+cov AS (SELECT rid, CAST(sum(step) AS BIGINT) AS n FROM (SELECT rid, least(8, coalesce(
+            lead(i) OVER (PARTITION BY rid ORDER BY i) - i, 8)) AS step FROM wins WHERE c > 1) x GROUP BY rid),
+lines AS (SELECT rid, line, len(regexp_extract_all(line, '{word}+')) AS n, length(translate(line, {gap}, '')) AS size,
+            length(line) - length(translate(line, '{symbols}', '')) AS loads, len(regexp_extract_all(line, '{line_rules.SEPARATORS}')) AS seps
+          FROM (SELECT rid, unnest(string_split(t, chr(10))) AS line FROM d) l WHERE regexp_matches(line, '{word}')),
+judged AS (SELECT *, (n >= 12 AND NOT regexp_matches(line, '{line_rules.ENDS}')) OR loads * 2 > n OR (seps >= 2 AND seps * 4 >= n)
+            OR (n <= {line_rules.BOILERPLATE_WORDS} AND regexp_matches(lower(line), '{boilerplate}')) AS bad FROM lines),
+per AS (SELECT rid, count(*) - count(DISTINCT line) AS dup, coalesce(sum(size) FILTER (bad), 0) AS lost FROM judged GROUP BY rid),
+m AS (SELECT doc_id, len(ws) AS n_words, CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+        length(t) - length(translate(t, '{symbols}', '')) AS n_symbols, coalesce(dup, 0) AS n_dup_lines, coalesce(cov.n, 0) AS n_repeat_words,
+        coalesce(lost, 0) AS lost FROM w LEFT JOIN cov USING (rid) LEFT JOIN per USING (rid)),
+f AS (SELECT *, n_words < {line_rules.MIN_WORDS} OR 100 * n_repeat_words > {line_rules.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND lost <= {line_rules.MAX_LOST}::DOUBLE * word_chars AS kept FROM f"""
+
+
 def op6_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "class_size")
 
@@ -109,5 +134,6 @@ QUERIES = {
 
 ORACLES = {
     "op3_stream_dedup": OP3_SQL,
+    "op5_line_rules": _op5_sql(),
     "op6_chosen_path": OP6_SQL,
 }
