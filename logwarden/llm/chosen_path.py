@@ -2,10 +2,11 @@
 
 A text is the set of its five-word shingles. In every run a set chooses about ``1 / similarity`` of
 its shingles by a hash that all sets share, so two similar sets choose a common shingle with a
-probability known beforehand; the number of runs follows from the target recall. Sets that chose the
-same shingle form a bucket. A bucket that is too large is split again and again on further sampled
-shingles of its sets (entries of their one-permutation sketch); one that does not fall apart is cut
-into blocks, and all pairs of blocks are taken. Buckets are searched by brute force on sketches, with
+probability known beforehand. Sets that chose the same shingle form a bucket. A bucket that is too
+large is split again and again on further sampled shingles of its sets (entries of their
+one-permutation sketch, several at a level, so that few similar sets part); one that does not fall
+apart is cut into blocks, and all pairs of blocks are taken. The number of runs follows from the
+target recall, counting the choice of paths, the deepest splits and the sketches' margin. Buckets are searched by brute force on sketches, with
 a wide margin; each gives a spanning forest of what it found, never all pairs.
 
 The forests are joined to candidate classes, and inside each class all similarities are computed
@@ -38,9 +39,10 @@ WORDS = 5
 SIMILARITY = 0.8
 RECALL = 0.9999
 SKETCH = 64
-MARGIN = 0.2  # sketches estimate a similarity to about 0.05
+MARGIN = 0.25  # sketches estimate a similarity to about 0.05
 BUCKET = 1024  # sets that a bucket may hold for brute force
 DEPTH = 3  # further splits of larger buckets
+ENTRIES = 2  # sketch entries by which a set goes on at a split
 BLOCK = 512  # sets of a class that are compared at once
 
 
@@ -74,13 +76,30 @@ def sketch(tokens: np.ndarray) -> bytes:
     return np.where(at < upper, (first & np.uint64(0xFFFFFF)) % np.uint64(255) + np.uint64(1), 0).astype(np.uint8).tobytes()
 
 
-def runs_for(recall: float, similarity: float) -> int:
-    """Runs after which a pair at the threshold has been met with the given probability.
+def expected_miss(runs: int, similarity: float, depth: int = DEPTH, margin: float = MARGIN) -> float:
+    """Chance that a pair at the threshold is not found although all its buckets are split ``depth`` times.
 
     Such a pair shares at least ``similarity`` of the larger set, and each of its shingles chooses
-    ``1 / similarity`` shingles in the mean, so a run misses it with probability e^-1 at most.
+    ``1 / similarity`` shingles in the mean, so it meets once a run in the mean. Its sketches agree in a
+    binomial number of entries at worst; too few, and it is no candidate; otherwise a split keeps it
+    together unless all of the entries drawn there differ.
     """
-    return math.ceil(-math.log(1 - recall))
+    missed = 0.0
+    for same in range(SKETCH + 1):
+        chance = math.comb(SKETCH, same) * similarity**same * (1 - similarity) ** (SKETCH - same)
+        kept = 1 - math.comb(SKETCH - same, ENTRIES) / math.comb(SKETCH, ENTRIES)
+        missed += chance * (math.exp(-runs * kept**depth) if same >= (similarity - margin) * SKETCH else 1.0)
+    return missed
+
+
+def runs_for(recall: float, similarity: float, depth: int = DEPTH, margin: float = MARGIN) -> int:
+    """Runs after which a pair at the threshold has been found with the given probability."""
+    if expected_miss(1 << 20, similarity, depth, margin) > 1 - recall:
+        raise ValueError("the sketches' margin alone misses more than the recall allows")
+    runs = 1
+    while expected_miss(runs, similarity, depth, margin) > 1 - recall:
+        runs += 1
+    return runs
 
 
 def set_id(tokens: np.ndarray) -> bytes:
@@ -187,26 +206,30 @@ def _search(rows: DataFrame, least: float) -> DataFrame:
 
 def _buckets(sets: DataFrame, bucket: int, depth: int) -> DataFrame:
     """``path, sid, sketch`` with at most about ``2 * bucket`` sets a path."""
-    rows = sets.select(F.explode("paths").alias("path"), "sid", "sketch")
+    rows = sets.select(F.explode("paths").alias("path"), "sid", "sketch", F.lit(None).cast("bigint").alias("above"))
     done = []
     for level in range(depth + 1):
         sizes = written(rows.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket), "large-buckets")
         if sizes.isEmpty():
-            done.append(rows)
+            done.append(rows.drop("above"))
             break
         tagged = written(rows.join(sizes, "path", "left"), "buckets")
-        done.append(tagged.where("n is null").drop("n"))
+        done.append(tagged.where("n is null").drop("n", "above"))
         large = tagged.where("n is not null")
+        # Parts nearly as large as the bucket above make more work together than it does: such a bucket does not fall apart.
+        whole = F.lit(True) if level == depth else F.coalesce(F.lit(ENTRIES) * F.col("n") * F.col("n") >= F.col("above") * F.col("above"), F.lit(False))
+        blocks = F.ceil(F.col("n") / bucket).cast("bigint")
+        own = F.pmod(F.xxhash64("sid"), blocks)
+        pairs = large.where(whole).withColumn("_own", own).withColumn("_other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
+        done.append(pairs.select(F.xxhash64("path", F.least("_own", "_other"), F.greatest("_own", "_other")).alias("path"), "sid", "sketch"))
         if level < depth:
-            # Sets that agree in a sampled entry share a shingle there, but for one in 255.
-            entry = F.pmod(F.xxhash64("path", F.lit(level)), F.lit(SKETCH)).cast("int")
-            value = F.substring(F.col("sketch"), entry + 1, F.lit(1))
-            rows = large.select(F.xxhash64("path", value, F.lit(level)).alias("path"), "sid", "sketch")
-        else:
-            blocks = F.ceil(F.col("n") / bucket).cast("bigint")
-            own = F.pmod(F.xxhash64("sid"), blocks)
-            pairs = large.withColumn("_own", own).withColumn("_other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
-            done.append(pairs.select(F.xxhash64("path", F.least("_own", "_other"), F.greatest("_own", "_other")).alias("path"), "sid", "sketch"))
+            # Sets that agree in one of the sampled entries share a shingle there, but for one in 255.
+            first = F.pmod(F.xxhash64("path", F.lit(level)), F.lit(SKETCH)).cast("int")
+            step = F.lit(2) * F.pmod(F.xxhash64("path", F.lit(level), F.lit("step")), F.lit(SKETCH // 2)).cast("int") + 1
+            entries = F.array(*[F.pmod(first + step * k, F.lit(SKETCH)) for k in range(ENTRIES)])
+            spread = large.where(~whole).withColumn("_entry", F.explode(entries))
+            value = F.substring(F.col("sketch"), F.col("_entry") + 1, F.lit(1))
+            rows = spread.select(F.xxhash64("path", "_entry", value, F.lit(level)).alias("path"), "sid", "sketch", F.col("n").alias("above"))
     return _all(done)
 
 
@@ -301,7 +324,7 @@ def join(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL
 
     ``text_key`` is the digest of the text; ``keep`` is the (doc_id, text_key) that represents the class, the smallest.
     """
-    rows = written(_sets(docs, similarity, runs_for(recall, similarity)), "shingle-sets")
+    rows = written(_sets(docs, similarity, runs_for(recall, similarity, depth)), "shingle-sets")
     own = F.struct("doc_id", "text_key")
     sets = written(rows.where("sid is not null").groupBy("sid").agg(
         F.first("paths").alias("paths"), F.first("sketch").alias("sketch"), F.min(_nulls_last(own)).alias("least"),

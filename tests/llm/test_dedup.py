@@ -1,5 +1,6 @@
 """Exact copies, near copies and repeated strings against brute force."""
 
+import random
 from collections import Counter
 
 import numpy as np
@@ -105,6 +106,32 @@ def test_runs_follow_recall():
     assert missed <= 0.1 * 400
 
 
+def test_runs_count_splits_and_margin():
+    """The promised recall holds with the chosen path, the deepest splits and the sketches taken together."""
+    for depth in range(4):
+        runs, whole = chosen_path.runs_for(chosen_path.RECALL, 0.8, depth), np.arange(chosen_path.SKETCH + 1)
+        draws = np.random.default_rng(depth).binomial(chosen_path.SKETCH, 0.8, 2_000_000)
+        parted = 1 - (64 - whole) * (63 - whole) / (64 * 63)
+        missed = np.where(whole < (0.8 - chosen_path.MARGIN) * 64, 1.0, np.exp(-runs * parted**depth))
+        assert missed[draws].mean() <= 1 - chosen_path.RECALL
+
+
+def test_recall_in_split_buckets(spark):
+    """Pairs barely above the threshold around one hot passage, with splits taken."""
+    draw = random.Random(8)
+    passage = [f"p{i}" for i in range(150)]
+    rows = []
+    for i in range(40):
+        own = [f"o{i}x{k}" for k in range(60)]
+        other = list(own)
+        for k in draw.sample(range(2, 58, 5), 4):
+            other[k] = f"n{i}x{k}"
+        rows += [(2 * i, " ".join(passage + own)), (2 * i + 1, " ".join(passage + other))]
+    got = chosen_path.join(frame(spark, rows), bucket=16).collect()
+    assert sorted(links(rows)) == [(2 * i, 2 * i + 1) for i in range(40)]
+    assert [r.doc_id for r in got if r.class_size != 2] == []
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 50), (50, 77), (3, 3), (200 + 1, 200)] + [(300, i) for i in range(301, 340)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
