@@ -2,8 +2,9 @@
 
 Strong parts are reported wherever they stand: ``assign`` (a secret-like name with a value of eight
 characters or more), ``access`` (an access identifier) and ``hex`` (32 or more hexadecimal digits).
-Weak parts mean nothing alone: a named ``user`` identifier, a short or unnamed ``pass`` value, a
-long mixed ``token`` and an ``endpoint`` (address with a host). They are reported only where
+Weak parts mean nothing alone: a named ``user`` identifier, a ``pass`` value (four characters under
+a weaker name, any value under a secret-like name that ``assign`` leaves), a long mixed ``token`` and
+an ``endpoint`` (address with a host). Names may follow a prefix that ends in ``_`` or ``-``. They are reported only where
 complementary parts stand within ``reach`` code points of each other in one text, the scope:
 
 * an identifier with a secret (weak or strong) in scope,
@@ -36,11 +37,13 @@ HEX = "[0-9a-f]+"
 STRONG = ("assign", "access", "hex")
 # Weak parts by kind: role and pattern.
 WEAK = {
-    "user": ("id", "(?<![A-Za-z0-9_])(?i:user(?:name)?|login|account(?:_id)?|client_?id|access_?key_?id)[\"']?\\x20*[:=]\\x20*[\"']?"
+    "user": ("id", "(?<![A-Za-z0-9])(?i:user(?:name)?|login|account(?:_id)?|client_?id|access_?key_?id)[\"']?\\x20*[:=]\\x20*[\"']?"
                    "[A-Za-z0-9@._-]{3,}"),
-    "pass": ("secret", "(?<![A-Za-z0-9_])(?i:pwd|pass|passphrase|credential|auth)[\"']?\\x20*[:=]\\x20*[\"']?[^\\x20\"'\\x09-\\x0D]{4,}"),
-    "token": ("secret", "(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]{0,39}[0-9])(?=[A-Z0-9+/_=-]{0,39}[a-z])(?=[a-z0-9+/_=-]{0,39}[A-Z])"
-                        "[A-Za-z0-9+/_-]{40}={0,2}(?![A-Za-z0-9+/_=-])"),
+    "pass": ("secret", "(?<![A-Za-z0-9])(?:(?i:pwd|pass|passphrase|credential|auth)[\"']?\\x20*[:=]\\x20*[\"']?[^\\x20\"'\\x09-\\x0D]{4,}"
+                       "|(?i:password|passwd|secret|token|api[_-]?key)[\"']?\\x20*[:=]\\x20*[\"']?[^\\x20\"'\\x09-\\x0D]+)"),
+    # A stretch with slashes can be the path of an address: over 40 characters it must not follow a host.
+    "token": ("secret", "(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?=[A-Z0-9+/_=-]*[a-z])(?=[a-z0-9+/_=-]*[A-Z])"
+                        "(?:[A-Za-z0-9+_-]{24,}|[A-Za-z0-9+/_-]{40}|(?<![.])(?!//)[A-Za-z0-9+/_-]{41,})={0,2}(?![A-Za-z0-9+/_=-])"),
     "endpoint": ("place", "(?<![A-Za-z0-9])(?:[a-z][a-z0-9+.-]{1,15}://[A-Za-z0-9][^\\x20\"'<>\\x09-\\x0D]*"
                           "|(?i:host|endpoint|server)[\"']?\\x20*[:=]\\x20*[\"']?[A-Za-z0-9][A-Za-z0-9.:-]+)"),
 }

@@ -68,6 +68,25 @@ def test_secret_spans(spark):
     assert secret_links.scan(frame(spark, rows).limit(0)).count() == 0
 
 
+def test_ordinary_credentials(spark):
+    """Pairs written by hand, with what must be reported."""
+    key, long = "AKIA" + "Q7" * 8, "aB3" * 20
+    pairs = [
+        ("user=admin password=hunter2", ["user=admin", "password=hunter2"]),
+        ("login: bob / secret: abc1234", ["login: bob", "secret: abc1234"]),
+        (f"{key} secret=short", [key, "secret=short"]),
+        ("password=Pa$$w0rd99 user=bob", ["password=Pa$$w0rd99", "user=bob"]),
+        ("DB_USER=admin DB_PASS=hunter2xyz host=db.example.org", ["USER=admin", "PASS=hunter2xyz", "host=db.example.org"]),
+        ("db-user: eve api-key: x1", ["user: eve", "api-key: x1"]),
+        (f"login=carol {long}", ["login=carol", long]),
+        (f"login=carol {long[:30]}", ["login=carol", long[:30]]),
+        (f"login=carol {long[:40]}", ["login=carol", long[:40]]),
+        ("password=hunter2", []), ("token: abc", []), (long, []), ("superuser=admin compass=hunter2", []),
+        ("https://www.example.org/News/2020/A-long-way-to-the-Sea-and-back-again", [])]
+    got = secret_links.scan(frame(spark, list(enumerate(t for t, _ in pairs)))).collect()
+    assert {r.doc_id: [pairs[r.doc_id][0][s.start:s.end] for s in r.spans] for r in got} == {i: e for i, (_, e) in enumerate(pairs)}
+
+
 def test_redacted(spark):
     docs = frame(spark, ROWS)
     clean = secret_links.redact(docs)
