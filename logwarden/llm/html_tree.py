@@ -2,14 +2,16 @@
 
 Markup is read into a tree of flat lists. Page furniture (menus, page headers and footers, sidebars,
 notices, adverts, forms, scripts, styles, comment sections) is cut out by element, role and the
-words of its class and id. Every paragraph passes points for its length and its commas to its parent
+words of its class and id; words alone do not cut what holds an article, a main part or most of the
+paragraph text, nor what is also named as content. Every paragraph passes points for its length and its commas to its parent
 in full, to the grandparent by half and further up by less; a container's points are discounted by
 the share of its text that is link text. The best container is kept, together with those of its
-siblings that score well or are plain prose. Its blocks are written in page order.
+siblings that score well or are plain prose. Its blocks are written in page order; lists of links
+stay where they stand between other blocks.
 
 Defined cases: null or empty html gives an empty text; markup that stops anywhere, stray end tags
 and unclosed elements are accepted; a page without a scoring container falls back to its article,
-main part or body; repeated rows are read one by one; other columns of the input are not touched.
+main part or body, and a page that is empty after that is read again without cuts by words; repeated rows are read one by one; other columns of the input are not touched.
 """
 
 from __future__ import annotations
@@ -59,6 +61,9 @@ WORDS = frozenset(
     "subscription signup login signin register search searchform form widget widgets hidden invisible paywall "
     "disclaimer copyright legal".split())
 HEADER_WORDS = frozenset("header head sitehead siteheader pageheader".split())
+REMARKS = frozenset("comment comments commentlist disqus respond replies reply discussion".split())
+# Words that make a name speak of the layout around an element: has-sidebar, page-with-banner.
+LAYOUT = frozenset("has no with without layout".split())
 LIKELY = frozenset("article body content entry main page post text blog story".split())
 TAG = re.compile(r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z)|<[!?][^>]*(?:>|\Z)|</[^>]*(?:>|\Z)", re.S)
 LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(>|\Z)", re.S)
@@ -157,9 +162,37 @@ def _words(attributes: dict[str, str]) -> set[str]:
     return {w.lower() for w in SPLIT_NAME.split(f"{attributes.get('class', '')} {attributes.get('id', '')}") if w}
 
 
-def _cut(page: Page) -> tuple[list[bool], list[float]]:
+def _furniture_words(attributes: dict[str, str]) -> set[str]:
+    """Words of class and id that speak of furniture; none where one name says content and nothing else."""
+    names = [{w.lower() for w in SPLIT_NAME.split(name) if w} for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".split()]
+    if any(name and name <= LIKELY for name in names):
+        return set()
+    return {w for name in names if not name & LAYOUT for w in name & (WORDS | HEADER_WORDS)}
+
+
+def _weights(page: Page) -> tuple[list[int], list[bool]]:
+    """Per element: characters of paragraphs, or of all text on a page without them, and whether an article or main part lies in it."""
+    n = len(page.tags)
+    prose, text, holds = [0] * n, [0] * n, [False] * n
+    for at in range(n - 1, -1, -1):
+        if page.tags[at] in FURNITURE:
+            continue
+        for child in page.children[at]:
+            if isinstance(child, str):
+                text[at] += len(" ".join(child.split()))
+            else:
+                text[at] += text[child]
+                prose[at] += prose[child]
+                holds[at] |= holds[child] or page.tags[child] in ("article", "main")
+        if page.tags[at] in ("p", "pre", "blockquote"):
+            prose[at] = text[at]
+    return prose if prose[0] else text, holds
+
+
+def _cut(page: Page, by_words: bool = True) -> tuple[list[bool], list[float]]:
     """Which elements are furniture, or lie in it, and the points that a container starts with."""
     n = len(page.tags)
+    weights: tuple[list[int], list[bool]] | None = None
     gone, start = [False] * n, [0.0] * n
     inside = [False] * n  # an article or main part
     heading = [False] * n  # holds a headline
@@ -182,9 +215,14 @@ def _cut(page: Page) -> tuple[list[bool], list[float]]:
             words = _words(named)
             style = named.get("style", "").replace(" ", "").lower()
             if tag not in ("html", "body", "article", "main"):
-                gone[at] |= (named.get("role", "").lower() in ROLES or bool(words & WORDS) or "hidden" in named
-                             or named.get("aria-hidden") == "true" or "display:none" in style or "visibility:hidden" in style
-                             or bool(words & HEADER_WORDS) and not (inside[parent] and heading[at]))
+                gone[at] |= (named.get("role", "").lower() in ROLES or "hidden" in named
+                             or named.get("aria-hidden") == "true" or "display:none" in style or "visibility:hidden" in style)
+                found = _furniture_words(named) if by_words and not gone[at] and words & (WORDS | HEADER_WORDS) else set()
+                if found & WORDS or found and not (inside[parent] and heading[at]):
+                    prose, holds = weights = weights or _weights(page)
+                    most = 2 * prose[at] > prose[0] and not found & REMARKS
+                    # Comments can outgrow the article, and may be articles themselves.
+                    gone[at] = not (most or holds[at] and not found & REMARKS)
             elif tag == "article" and words & {"comment", "comments", "reply", "ad", "ads", "advert", "promo", "sponsored", "related"}:
                 gone[at] = True
             if named.get("role", "").lower() in ("main", "article"):
@@ -268,11 +306,16 @@ def _blocks(page: Page, gone: list[bool], tops: list[int]) -> list[str]:
     size, linked, _, _ = _measure(page, gone)
     out: list[str] = []
     run: list[str] = []
+    held: list[str] = []  # blocks of link lists since the last other block
+    lists = 0
 
     def end() -> None:
         text = " ".join("".join(run).split())
-        if text:
-            out.append(text)
+        if text and lists:
+            held.append(text)
+        elif text:
+            out.extend([*held, text] if out else [text])
+            held.clear()
         run.clear()
 
     for top in tops:
@@ -281,6 +324,8 @@ def _blocks(page: Page, gone: list[bool], tops: list[int]) -> list[str]:
             item = walk.pop()
             if item is None:
                 end()
+            elif item is walk:
+                lists -= 1
             elif isinstance(item, str):
                 run.append(item)
             else:
@@ -291,7 +336,9 @@ def _blocks(page: Page, gone: list[bool], tops: list[int]) -> list[str]:
                     run.append(" " if tag == "br" else "")
                     continue
                 if item != top and tag in ("ul", "ol", "table", "div", "section", "dl") and linked[item] > 0.8 * size[item] > 0:
-                    continue  # a list of links
+                    end()
+                    lists += 1
+                    walk.append(walk)
                 if tag in BLOCKS:
                     end()
                     walk.append(None)
@@ -305,8 +352,12 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     page = Page(html)
-    gone, start = _cut(page)
-    return "\n".join(_blocks(page, gone, _chosen(page, gone, start)))
+    for by_words in (True, False):
+        gone, start = _cut(page, by_words)
+        blocks = _blocks(page, gone, _chosen(page, gone, start))
+        if blocks:
+            break
+    return "\n".join(blocks)
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -264,6 +264,29 @@ def test_main_text(html, text):
     assert html_tree.main_text(html) == text
 
 
+LONG = ("Long words, many of them, stand here. " * 6).strip()
+
+
+@pytest.mark.parametrize("name", ["class='content has-sidebar'", "class=no-sidebar", "class=layout-sidebar", "class='page-with-banner'", "id=legal-news"])
+def test_wrappers_named_like_furniture(name):
+    body = f"{FURNITURE}<div {name}><p>{LONG}</p><p>{LONG}</p><div class=sidebar><p>Aside, and short, it goes.</p></div></div>{SIDE}"
+    assert html_tree.main_text(f"<body>{body}</body>") == f"{LONG}\n{LONG}"
+    body = f"{FURNITURE}<div {name}><article><p>{LONG}</p></article></div>{SIDE}"
+    assert html_tree.main_text(f"<body>{body}</body>") == LONG
+
+
+def test_pages_of_word_cuts_only():
+    assert html_tree.main_text("<body><div class=comments><p>All, that is here, are remarks.</p></div></body>") == "All, that is here, are remarks."
+    long = f"<div class=post-comments><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div>"
+    assert html_tree.main_text(f"<body><div class=entry><p>{LONG} End.</p></div>{long}</body>") == f"{LONG} End."
+
+
+def test_link_lists_between_blocks():
+    links = "<ul><li><a href=/1>Source one</a><li><a href=/2>Source two</a></ul>"
+    html = f"<body><article>{links}<p>{LONG}</p>{links}<p>{LONG}</p>{links}</article></body>"
+    assert html_tree.main_text(html) == f"{LONG}\nSource one\nSource two\n{LONG}"
+
+
 def test_pages_in_depth(spark):
     deep = "<div>" * 30000 + "<p>Deep, inside, of everything, there is text." + "</div>" * 30000
     pages = spark.createDataFrame([(1, "u", deep, 3), (2, None, None, 4), (2, None, None, 4), (None, "v", "<p>a</p><p>b</p>", 5)],
