@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logwarden.llm import (bitmap_bpe, bwt_dedup, chosen_path, factor_quality, feistel_shards, html_tree, lexical_packing, line_rules,
-                           secret_links, stream_dedup)
+from logwarden.llm import (bit_whitening, bitmap_bpe, bwt_dedup, chosen_path, factor_quality, feistel_shards, html_tree, lexical_packing,
+                           line_rules, merkle_manifest, secret_links, simhash_trie, stream_dedup)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -119,6 +119,70 @@ def op10_html_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_tree.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_bit_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    model = bit_whitening.fit(rows)
+    white = bit_whitening.whiten(rows.select("vec_id", "embedding"), model)
+    explained = F.array(*[F.lit(float(v / model.total)) for v in model.values]).cast("array<double>")
+    return white.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened")).select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n).cast("bigint").alias("n"), "deviation", "whitened",
+        F.get(explained, F.col("at")).alias("explained"), F.lit(model.identity_error).alias("identity_error"))
+
+
+def op12_merkle_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    others = [docs[c] for c in merkle_manifest.FIELDS[:-1]]
+    tampered = F.coalesce(F.crc32(docs["doc_id"].cast("string").cast("binary")) % 2 == 0, F.lit(False)) & docs["text"].contains("\n")
+    rows = docs.select("doc_id", "source", merkle_manifest.leaf([*others, docs["text"]]).alias("sound"),
+                       F.when(tampered, merkle_manifest.leaf([*others, F.replace(docs["text"], F.lit("\n"), F.lit(""))])).alias("changed"))
+    proofs = merkle_manifest.build(rows, F.col("sound")).proofs()
+    folded = proofs.withColumn("folded_root", merkle_manifest.fold(F.coalesce("changed", "leaf"), F.col("siblings")))
+    return folded.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle_manifest.proof_text(F.col("siblings")).cast("binary"), 256).alias("proof_sha256"),
+                         "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op13_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_trie.classes(table(spark, sf_dir, "documents"))
+
+
+def _op12_sql() -> str:
+    def field(value: str) -> str:
+        return f"coalesce(strlen({value}) || ':' || {value}, '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(field(v) for v in ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text)) + ")"
+
+    # CRC-32 of the decimal digits, bit by bit.
+    steps = "list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0])))"
+    crc = f"xor(list_reduce({steps}, lambda c, e: xor(xor(c, e) >> 1, (xor(c, e) & 1) * 3988292384::BIGINT)), 4294967295::BIGINT)"
+    return f"""
+WITH RECURSIVE hashed AS (SELECT doc_id, source, {leaf('text')} AS leaf,
+        CASE WHEN {crc} % 2 = 0 THEN {leaf("replace(text, chr(10), '')")} ELSE {leaf('text')} END AS claimed FROM documents),
+leaves AS (SELECT *, row_number() OVER w - 1 AS place, count(*) OVER (PARTITION BY source) AS n FROM hashed
+        WINDOW w AS (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf)),
+low AS (SELECT source, 0 AS level, place, leaf AS node, n FROM leaves
+        UNION ALL SELECT source, level + 1, place // 3, sha256(string_agg(node, '' ORDER BY place)), (n + 2) // 3
+        FROM low WHERE n > 1 GROUP BY source, level, place // 3, n),
+subs AS (SELECT source, node AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place, count(*) OVER () AS n FROM low WHERE n = 1),
+high AS (SELECT 0 AS level, place, subroot AS node, n FROM subs
+        UNION ALL SELECT level + 1, place // 3, sha256(string_agg(node, '' ORDER BY place)), (n + 2) // 3
+        FROM high WHERE n > 1 GROUP BY level, place // 3, n),
+lowruns AS (SELECT source, level, place // 3 AS run, list(node ORDER BY place) AS l FROM low WHERE n > 1 GROUP BY source, level, place // 3),
+highruns AS (SELECT level, place // 3 AS run, list(node ORDER BY place) AS l FROM high WHERE n > 1 GROUP BY level, place // 3),
+climb AS (SELECT doc_id, source, leaf, 0 AS level, place, claimed AS folded, '' AS proof FROM leaves
+        UNION ALL SELECT doc_id, c.source, leaf, c.level + 1, place // 3,
+            sha256(array_to_string(l[:place % 3] || [folded] || l[place % 3 + 2:], '')), proof || array_to_string(l[:place % 3] || l[place % 3 + 2:], '')
+        FROM climb c JOIN lowruns r ON r.source IS NOT DISTINCT FROM c.source AND r.level = c.level AND r.run = c.place // 3),
+ended AS (SELECT *, max(level) OVER (PARTITION BY source) AS last FROM climb),
+over AS (SELECT doc_id, leaf, subroot, 0 AS level, s.place, folded, proof FROM ended e JOIN subs s ON s.source IS NOT DISTINCT FROM e.source
+            WHERE level = last
+        UNION ALL SELECT doc_id, leaf, subroot, c.level + 1, place // 3,
+            sha256(array_to_string(l[:place % 3] || [folded] || l[place % 3 + 2:], '')), proof || array_to_string(l[:place % 3] || l[place % 3 + 2:], '')
+        FROM over c JOIN highruns r ON r.level = c.level AND r.run = c.place // 3)
+SELECT doc_id, leaf, subroot, node AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = node AS verified
+FROM over JOIN high ON high.n = 1 WHERE over.level = (SELECT max(level) FROM over)"""
+
+
 QUERIES = {
     "op1_factor_quality": op1_factor_quality,
     "op2_secret_links": op2_secret_links,
@@ -130,10 +194,14 @@ QUERIES = {
     "op8_bitmap_bpe": op8_bitmap_bpe,
     "op9_lexical_packing": op9_lexical_packing,
     "op10_html_tree": op10_html_tree,
+    "op11_bit_whitening": op11_bit_whitening,
+    "op12_merkle_checkpoints": op12_merkle_checkpoints,
+    "op13_simhash_trie": op13_simhash_trie,
 }
 
 ORACLES = {
     "op3_stream_dedup": OP3_SQL,
     "op5_line_rules": _op5_sql(),
     "op6_chosen_path": OP6_SQL,
+    "op12_merkle_checkpoints": _op12_sql(),
 }
