@@ -1,15 +1,15 @@
-"""Autoencoder trained where the rows are.
-
-Rows are dealt into shards by hash and stay there, on disk, for all epochs. In each epoch
-every shard runs mini-batch Adam over its rows, starting from the same broadcast state, and
-the states (weights and Adam moments) are averaged by row count: parameter averaging once
-per epoch, with as many shards as the caller names, at any size of the table. Shards stream
-in Arrow batches, so a task never holds more than one batch of rows.
+"""Autoencoder trained by synchronous gradient descent.
+
+Rows are dealt into blocks by hash and packed, one block a row, on disk; a block belongs to one global
+batch. Each step is one job: every task sums the gradient over the blocks of the batch that it holds, the
+sums of all tasks are added in a tree, and one Adam step moves the weights. Gradients are added as
+integers (units of 2 ** -40, in two limbs), so their sum is the same in any order: the trained network
+does not depend on partitions, cores or Arrow batches. A batch is ``1 / steps`` of the table, so the number
+of jobs stays fixed and every core takes part, whatever the size. All rows are used in every epoch.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logwarden.common import kept, row_hash
+from logwarden.common import portable_hash, portable_number, work_path
 from logwarden.detectors.base import RAW, Detector, Model
 from logwarden.operators.scaling import Scale, fit_scale
 
@@ -27,8 +27,11 @@ HIDDEN = (64, 32, 16)
 EPOCHS, BATCH, LEARNING_RATE = 100, 32, 1e-3
 BETA1, BETA2, EPSILON = 0.9, 0.999, 1e-8
 
-SHARDS = 8
-STATE_SCHEMA = "shard int, rows bigint, state array<double>"
+STEPS = 2  # global batches, and so Adam steps, per epoch
+BLOCK_ROWS = 2048
+LIMB = 40  # binary places of a summed gradient
+PART_SCHEMA = "part int, sums array<bigint>"
+FAN_IN = 64  # task sums that one step of the tree adds
 
 
 def layer_sizes(inputs: int, hidden: Sequence[int]) -> list[int]:
@@ -52,10 +55,10 @@ class Network:
 
     @classmethod
     def initial(cls, sizes: Sequence[int], seed: int) -> Network:
-        rng = np.random.default_rng(seed)
-        parts = [rng.uniform(-1, 1, a * b + b) / np.sqrt(a)
-                 for a, b in zip(sizes[:-1], sizes[1:], strict=True)]
-        return cls(sizes, np.concatenate(parts).astype(np.float32))
+        """Uniform weights from portable hashes of their places."""
+        bound = np.concatenate([np.full(a * b + b, 1 / np.sqrt(a)) for a, b in zip(sizes[:-1], sizes[1:], strict=True)])
+        draws = np.array([portable_number(i, seed=seed) for i in range(len(bound))]) / 2.0**52
+        return cls(sizes, (2 * draws - 1) * bound)
 
     def activations(self, x: np.ndarray) -> list[np.ndarray]:
         out = [x]
@@ -70,18 +73,24 @@ class Network:
         """Mean squared reconstruction error per row."""
         return np.mean((x - self.activations(x)[-1]) ** 2, axis=1, dtype=np.float64)
 
-    def loss_and_gradient(self, x: np.ndarray) -> tuple[float, np.ndarray]:
+    def summed(self, x: np.ndarray) -> tuple[float, np.ndarray]:
+        """Squared errors of all cells added up, and the gradient of that sum."""
         values = self.activations(x)
         wrong = values[-1] - x
         grad = np.empty_like(self.flat)
         parts = Network(self.sizes, grad).layers
-        back = wrong * np.asarray(2.0 / wrong.size, dtype=wrong.dtype)
+        back = wrong * 2.0
         for i in range(len(self.layers) - 1, -1, -1):
             parts[i][0][...] = values[i].T @ back
             parts[i][1][...] = back.sum(axis=0)
             if i:
                 back = (back @ self.layers[i][0].T) * (values[i] > 0)
-        return float(np.mean(wrong**2, dtype=np.float64)), grad
+        return float(np.sum(wrong**2, dtype=np.float64)), grad
+
+    def loss_and_gradient(self, x: np.ndarray) -> tuple[float, np.ndarray]:
+        """The mean squared error of all cells, and its gradient."""
+        loss, grad = self.summed(x)
+        return loss / x.size, grad / x.size
 
 
 class AdamState:
@@ -89,8 +98,8 @@ class AdamState:
 
     def __init__(self, sizes: Sequence[int], state: np.ndarray):
         n = Network.length(sizes)
-        self.net = Network(sizes, state[:n].astype(np.float32))
-        self.first, self.second = state[n:2 * n].astype(np.float32), state[2 * n:3 * n].astype(np.float32)
+        self.net = Network(sizes, state[:n].copy())
+        self.first, self.second = state[n:2 * n].copy(), state[2 * n:3 * n].copy()
         self.steps = float(state[3 * n])
 
     @staticmethod
@@ -98,94 +107,130 @@ class AdamState:
         n = len(net.flat)
         return np.concatenate([net.flat, np.zeros(2 * n + 1)]).astype(np.float64)
 
+    def move(self, grad: np.ndarray, rate: float) -> None:
+        self.steps += 1
+        self.first += (1 - BETA1) * (grad - self.first)
+        self.second += (1 - BETA2) * (grad * grad - self.second)
+        slope = self.first / (1 - BETA1**self.steps)
+        width = np.sqrt(self.second / (1 - BETA2**self.steps)) + EPSILON
+        self.net.flat -= rate * slope / width
+
     def step(self, batch: np.ndarray, rate: float) -> float:
         loss, grad = self.net.loss_and_gradient(batch)
-        self.steps += 1
-        self.first += np.float32(1 - BETA1) * (grad - self.first)
-        self.second += np.float32(1 - BETA2) * (grad * grad - self.second)
-        slope = self.first / np.float32(1 - BETA1**self.steps)
-        width = np.sqrt(self.second / np.float32(1 - BETA2**self.steps)) + np.float32(EPSILON)
-        self.net.flat -= np.float32(rate) * slope / width
+        self.move(grad, rate)
         return loss
 
     def vector(self) -> np.ndarray:
-        return np.concatenate([self.net.flat, self.first, self.second, [self.steps]]).astype(np.float64)
+        return np.concatenate([self.net.flat, self.first, self.second, [self.steps]])
+
+
+def to_limbs(values: np.ndarray) -> np.ndarray:
+    """Whole parts and binary places as integers, whose sums are exact."""
+    if not np.all(np.abs(values) < 2.0**52):
+        raise ValueError("training diverged: a gradient is not finite")
+    whole = np.floor(values)
+    return np.concatenate([whole, np.rint((values - whole) * 2.0**LIMB)]).astype(np.int64)
+
+
+def carried(limbs: np.ndarray) -> np.ndarray:
+    """The same value with binary places below one, so that long sums cannot overflow."""
+    whole, places = limbs[:len(limbs) // 2], limbs[len(limbs) // 2:]
+    return np.concatenate([whole + (places >> LIMB), places & ((1 << LIMB) - 1)])
+
+
+def from_limbs(limbs: np.ndarray) -> np.ndarray:
+    return limbs[:len(limbs) // 2] + limbs[len(limbs) // 2:] / 2.0**LIMB
 
 
-def _epoch_task(sizes, shared, names, batch_rows, rate, seed, epoch):
-    """One pass over the shards of a partition: one row per shard, state and mean batch loss."""
+def _gradient_task(sizes: Sequence[int], flat: np.ndarray):
+    """Rows, loss and gradient summed over the blocks of a task, in limbs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_shards: dict[int, list] = {}
-        for number, batch in enumerate(batches):
-            owners = batch.column("shard").to_numpy()
-            x = np.column_stack([batch.column(c).to_numpy() for c in names]).astype(np.float32, copy=False)
-            for shard in np.unique(owners):
-                mine = open_shards.setdefault(int(shard), [AdamState(sizes, shared.value), 0, 0, 0.0])
-                rows = x[owners == shard]
-                rows = rows[np.random.default_rng([seed, epoch, shard, number]).permutation(len(rows))]
-                for at in range(0, len(rows), batch_rows):
-                    mine[3] += mine[0].step(rows[at:at + batch_rows], rate)
-                    mine[2] += 1
-                mine[1] += len(rows)
-        for shard, (state, rows, steps, loss) in sorted(open_shards.items()):
-            vector = np.append(state.vector(), loss / steps)
-            yield pa.RecordBatch.from_pydict({
-                "shard": pa.array([shard], pa.int32()), "rows": pa.array([rows], pa.int64()),
-                "state": pa.array([vector], pa.list_(pa.float64()))})
+        net, total, part = Network(sizes, flat), None, 0
+        for batch in batches:
+            for block, cells in zip(batch.column("block").to_pylist(), batch.column("cells"), strict=True):
+                x = cells.values.to_numpy(zero_copy_only=False).reshape(-1, sizes[0])
+                loss, grad = net.summed(x)
+                limbs = to_limbs(np.concatenate([[len(x), loss], grad]))
+                total, part = limbs if total is None else carried(total + limbs), block
+        if total is not None:
+            yield pa.RecordBatch.from_pydict({"part": pa.array([part % (1 << 20)], pa.int32()),
+                                              "sums": pa.array([total], pa.list_(pa.int64()))})
     return run
 
 
 def _add(table: pa.Table) -> pa.Table:
-    """The row-weighted sum of some shard states, in shard order."""
-    table = table.sort_by("shard")
-    rows = table.column("rows").to_numpy()
-    states = table.column("state").combine_chunks().values.to_numpy().reshape(len(rows), -1)
-    total = np.zeros(states.shape[1])
-    for n, state in zip(rows, states, strict=True):
-        total += n * state
-    return pa.table({"part": table.column("part")[:1], "rows": pa.array([int(rows.sum())], pa.int64()),
-                     "state": pa.array([total], pa.list_(pa.float64()))})
-
-
-def train(table: DataFrame, names: Sequence[str], row_id: str, hidden: Sequence[int], epochs: int,
-          batch_rows: int, rate: float, seed: int, shards: int) -> tuple[Network, list[float]]:
-    """Train on every row of ``(row_id, names...)``; gives the network and the loss per epoch.
+    """The sum of some task sums."""
+    return pa.table({"part": table.column("part")[:1], "sums": pa.array([_total(table)], pa.list_(pa.int64()))})
+
+
+def _total(table: pa.Table) -> np.ndarray:
+    rows = table.column("sums").combine_chunks()
+    return carried(rows.flatten().to_numpy().reshape(len(rows), -1).sum(axis=0))
+
+
+def _tree_sum(sums: DataFrame, tasks: int) -> np.ndarray:
+    """All task sums added, level by level; at most ``FAN_IN`` rows come to the driver."""
+    while tasks > FAN_IN:
+        tasks = -(-tasks // FAN_IN)
+        sums = sums.groupBy(F.pmod(F.hash("part"), F.lit(tasks)).alias("above")).applyInArrow(_add, PART_SCHEMA)
+    return from_limbs(_total(sums.toArrow()))
+
 
-    States are added in two levels, so about the square root of their number comes to the driver.
+def batch_count(rows: int, steps: int, batch_rows: int) -> int:
+    """Global batches per epoch; none is smaller than ``batch_rows`` on average."""
+    return max(1, min(steps, rows // batch_rows))
+
+
+def _packed(table: DataFrame, names: Sequence[str], row_id: str, batches: int, blocks: int, seed: int) -> list[tuple[DataFrame, int]]:
+    """One table of packed blocks per global batch, and in how many tasks it is read.
+
+    Rows stand in the order of their ids within a block; blocks are dealt out evenly to the partitions.
     """
     spark = table.sparkSession
-    keyed = table.select(F.pmod(row_hash(row_id, seed=seed), F.lit(shards)).cast("int").alias("shard"),
-                         row_hash(row_id, seed=seed + 1).alias("_h"), row_id,
-                         *[F.col(c).cast("float").alias(c) for c in names])
-    dealt = kept(keyed.repartitionById(shards, F.col("shard"))
-                 .sortWithinPartitions("shard", "_h", row_id).select("shard", *names))
-    parts = math.isqrt(shards - 1) + 1
+    per_batch = -(-blocks // batches)
+    parts = min(per_batch, max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    row = F.struct(F.col(row_id), F.array(*[F.col(c).cast("double") for c in names]).alias("x"))
+    block = F.pmod(portable_hash(row_id, seed=seed), F.lit(blocks)).cast("int").alias("block")
+    packed = table.groupBy(block).agg(F.sort_array(F.collect_list(row)).alias("rows")).select(
+        F.pmod("block", F.lit(batches)).alias("batch"), "block", F.flatten(F.transform("rows", lambda r: r["x"])).alias("cells"))
+    path = work_path(spark, "training")
+    dealt = packed.repartitionById(parts, F.pmod(F.floor(F.col("block") / batches), F.lit(parts)).cast("int"))
+    dealt.write.partitionBy("batch").parquet(path)
+    found = []
+    for batch in range(batches):
+        part = spark.read.schema("block int, cells array<double>").option("recursiveFileLookup", "true").parquet(f"{path}/batch={batch}")
+        found.append((part, part.rdd.getNumPartitions()))
+    return found
+
+
+def train(table: DataFrame, names: Sequence[str], row_id: str, hidden: Sequence[int], epochs: int, batch_rows: int, rate: float, seed: int,
+          steps: int = STEPS, shards: int | None = None) -> tuple[Network, list[float]]:
+    """Train on every row of ``(row_id, names...)``; gives the network and the loss per epoch.
+
+    ``shards`` is the number of blocks that the rows are packed into; by default a block has about ``BLOCK_ROWS``.
+    The loss of an epoch is the mean over its rows, each under the weights its batch was met with.
+    """
+    n = table.count()
+    if not n:
+        raise ValueError("cannot fit an empty table")
+    batches = batch_count(n, steps, batch_rows)
+    blocks = shards or batches * -(-n // (batches * BLOCK_ROWS))
+    batches = min(batches, blocks)
     sizes = layer_sizes(len(names), hidden)
-    state = AdamState.start(Network.initial(sizes, seed))
+    state = AdamState(sizes, AdamState.start(Network.initial(sizes, seed)))
+    packed = _packed(table, names, row_id, batches, blocks, seed)
     history = []
-    try:
-        for epoch in range(epochs):
-            shared = spark.sparkContext.broadcast(state)
-            task = _epoch_task(sizes, shared, list(names), batch_rows, rate, seed, epoch)
-            states = dealt.mapInArrow(task, STATE_SCHEMA).withColumn("part", F.pmod("shard", F.lit(parts)))
-            sums = _add_all(states.groupBy("part").applyInArrow(_add, "part int, rows bigint, state array<double>").toArrow())
-            if sums is None:
-                raise ValueError("cannot fit an empty table")
-            state = sums[:-1]
-            history.append(float(sums[-1]))
-            shared.destroy()
-    finally:
-        dealt.unpersist()
-    return Network(sizes, state[:Network.length(sizes)].astype(np.float32)), history
-
-
-def _add_all(sums: pa.Table) -> np.ndarray | None:
-    """The mean state from the sums of the parts, in their order."""
-    rows, total = 0, None
-    for part in sums.sort_by("part").to_pylist():
-        vector = np.array(part["state"])
-        rows, total = rows + part["rows"], vector if total is None else total + vector
-    return None if total is None else total / rows
+    for _ in range(epochs):
+        seen = lost = 0.0
+        for part, tasks in packed:
+            if not tasks:
+                continue
+            sums = _tree_sum(part.mapInArrow(_gradient_task(sizes, state.net.flat.copy()), PART_SCHEMA), tasks)
+            rows, loss, grad = sums[0], sums[1], sums[2:]
+            state.move(grad / (rows * sizes[0]), rate)
+            seen, lost = seen + rows, lost + loss
+        history.append(float(lost / (seen * sizes[0])))
+    return Network(sizes, state.net.flat), history
 
 
 class AutoencoderModel(Model):
@@ -200,7 +245,7 @@ class AutoencoderModel(Model):
 
         @F.pandas_udf("double")
         def error(*columns: pd.Series) -> pd.Series:
-            x = np.column_stack([c.to_numpy(dtype=np.float32) for c in columns])
+            x = np.column_stack([c.to_numpy(dtype=np.float64) for c in columns])
             return pd.Series(Network(*shared.value).errors(x))
 
         return df.withColumn(out, error(*self.scale.scaled(self.inputs(on_null))))
@@ -218,7 +263,7 @@ class AutoencoderModel(Model):
     @classmethod
     def restore(cls, params, arrays):
         scale = Scale(tuple(params["features"]), tuple(params["means"]), tuple(params["stds"]))
-        return cls(scale, Network(params["sizes"], arrays["weights"].astype(np.float32)),
+        return cls(scale, Network(params["sizes"], arrays["weights"].astype(np.float64)),
                    params["history"], params["cut"])
 
 
@@ -226,20 +271,20 @@ class AutoencoderDetector(Detector):
     def __init__(self, features: Sequence[str] | None = None, contamination: float = 0.1,
                  row_id: str = "row_id", seed: int = 42, on_null: str = "error",
                  hidden_dims: Sequence[int] = HIDDEN, epochs: int = EPOCHS, batch_size: int = BATCH,
-                 learning_rate: float = LEARNING_RATE, shards: int = SHARDS):
+                 learning_rate: float = LEARNING_RATE, steps: int = STEPS, shards: int | None = None):
         super().__init__(features, contamination, row_id, seed, on_null)
-        if epochs < 1 or batch_size < 1 or shards < 1 or not hidden_dims:
-            raise ValueError("epochs, batch_size, shards and hidden_dims must be positive")
+        if min(epochs, batch_size, steps, shards or 1) < 1 or shards == 0 or not hidden_dims:
+            raise ValueError("epochs, batch_size, steps, shards and hidden_dims must be positive")
         self.hidden_dims, self.epochs, self.batch_size = tuple(hidden_dims), epochs, batch_size
-        self.learning_rate, self.shards = learning_rate, shards
+        self.learning_rate, self.steps, self.shards = learning_rate, steps, shards
 
     def learn(self, df: DataFrame) -> tuple[AutoencoderModel, DataFrame]:
         names = self.training_features(df)
         table = self.training_table(df, names, self.row_id)
-        scale = fit_scale(table, names)
+        scale = fit_scale(table, names).rounded()  # sums of doubles depend on their order in the last digits
         scaled = scale.scaled([F.col(c) for c in names])
         network, history = train(
             table.select(self.row_id, *[z.alias(c) for c, z in zip(names, scaled, strict=True)]), names,
             self.row_id, self.hidden_dims, self.epochs, self.batch_size, self.learning_rate,
-            self.seed, self.shards)
+            self.seed, self.steps, self.shards)
         return AutoencoderModel(scale, network, history), table

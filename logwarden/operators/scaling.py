@@ -22,6 +22,10 @@ class Scale:
         return [(v - F.lit(m)) / F.lit(s if s > 0 else 1.0)
                 for v, m, s in zip(values, self.means, self.stds, strict=True)]
 
+    def rounded(self, digits: int = 10) -> Scale:
+        """The same scale to so many significant digits, so that it does not depend on the order of the rows."""
+        return Scale(self.features, *[tuple(float(f"{x:.{digits}g}") for x in part) for part in (self.means, self.stds)])
+
 
 def fit_scale(df: DataFrame, features: Sequence[str]) -> Scale:
     parts = [f(c).alias(f"{n}{i}") for i, c in enumerate(features)

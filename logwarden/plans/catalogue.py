@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_PARTS = ("evaluation", "profiles", "privacy", "detection", "streams", "storage")
+_PARTS = ("evaluation", "profiles", "privacy", "detection", "training", "streams", "storage")
 
 
 def _merged(name: str) -> dict:
