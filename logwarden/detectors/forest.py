@@ -1,26 +1,36 @@
 """Isolation forest (Liu, Ting and Zhou 2008).
 
-Each tree needs only a few hundred rows. A pool of a fixed number of rows is chosen by hash on
-the cluster; every tree draws its own rows from it, and the trees grow in parallel. The finished
-forest, some hundred kilobytes, is broadcast for scoring in Arrow batches.
+Each tree needs only a few hundred rows. A hash deals every row to one tree, or to as many as a small
+table needs; of its rows a tree keeps those with the smallest hashes of its own. The count of rows
+tells how small these must be, so all others go before the shuffle. Trees grow where their rows
+are, in parallel, and only the finished forest comes to the driver; it is broadcast for scoring in Arrow batches.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logwarden.common import portable_hash, portable_number
+from logwarden.common import portable_hash, portable_number, written
 from logwarden.detectors.base import RAW, Detector, Model
 
 TREE_SCHEMA = "tree int, feature array<int>, threshold array<double>, path array<double>"
 _EULER = 0.5772156649
-POOL_SAMPLES = 64  # rows of the pool, in samples of one tree
+
+
+def candidates(max_samples: int) -> int:
+    """Rows a tree may expect to choose from, so many that fewer than it needs are out of the question."""
+    return 2 * max_samples + 40
+
+
+def copies(rows: int, n_trees: int, max_samples: int) -> int:
+    """To how many trees a row is dealt; to one, so that no two trees share a row, as soon as the table allows it."""
+    return min(n_trees, max(1, -(-n_trees * candidates(max_samples) // max(rows, 1))))
 
 
 def average_path(size: float) -> float:
@@ -120,28 +130,37 @@ class ForestDetector(Detector):
     def learn(self, df: DataFrame) -> tuple[ForestModel, DataFrame]:
         names = self.training_features(df)
         table = self.training_table(df, names, self.row_id)
-        # A fixed number of rows, those with the smallest hashes, at any size of the table.
-        hashed = table.withColumn("_h", portable_hash(self.row_id, seed=self.seed)).orderBy("_h", self.row_id)
-        pool = hashed.limit(POOL_SAMPLES * self.max_samples).select(*names).toPandas().to_numpy(dtype=np.float64)
-        if not len(pool):
+        n = table.count()
+        if not n:
             raise ValueError("cannot fit an empty table")
-        sample = min(self.max_samples, len(pool))
+        sample = min(self.max_samples, n)
         depth = max(1, math.ceil(math.log2(max(sample, 2))))
-        spark, seed = df.sparkSession, self.seed
-        shared = spark.sparkContext.broadcast(pool)
-
-        def grow(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for part in parts:
-                for tree in part["id"].tolist():
-                    # The pool is in random order; a tree takes neighbouring rows from a random place on.
-                    start = portable_number(tree, seed=seed) % len(shared.value)
-                    rows = np.take(shared.value, range(start, start + sample), axis=0, mode="wrap")
-                    grown = [p.tolist() for p in grow_tree(rows, tree, seed, depth)]
-                    yield pd.DataFrame([[tree, *grown]], columns=["tree", "feature", "threshold", "path"])
-
-        tasks = min(self.n_trees, spark.sparkContext.defaultParallelism)
+        seed, columns = self.seed, list(names)
+
+        def grow(rows: pd.DataFrame) -> pd.DataFrame:
+            tree = int(rows["_tree"].iloc[0])
+            grown = [p.tolist() for p in grow_tree(rows[columns].to_numpy(dtype=np.float64), tree, seed, depth)]
+            return pd.DataFrame([[tree, *grown]], columns=["tree", "feature", "threshold", "path"])
+
         # At most n_trees rows come to the driver.
-        trees = spark.range(0, self.n_trees, 1, tasks).mapInPandas(grow, TREE_SCHEMA).orderBy("tree").collect()
+        trees = self.samples(table, n, sample).groupBy("_tree").applyInPandas(grow, TREE_SCHEMA).orderBy("tree").collect()
         return ForestModel(names, np.array([t["feature"] for t in trees], dtype=np.int32),
                            np.array([t["threshold"] for t in trees]),
                            np.array([t["path"] for t in trees]), sample), table
+
+    def samples(self, table: DataFrame, rows: int, sample: int) -> DataFrame:
+        """``_tree``, ``_rank`` and the columns of the ``sample`` rows of every tree with its smallest ranks."""
+        deal = F.sequence(F.lit(0), F.lit(copies(rows, self.n_trees, sample) - 1))
+        tree = F.pmod(portable_hash(self.row_id, seed=self.seed) + F.col("_copy"), F.lit(self.n_trees)).cast("int")
+        dealt = table.withColumn("_copy", F.explode(deal)).withColumn("_tree", tree).drop("_copy")
+        ranked = dealt.withColumn("_rank", portable_hash(self.row_id, "_tree", seed=self.seed + 1))
+        pool = rows * copies(rows, self.n_trees, sample) / self.n_trees  # rows dealt to a tree, on average
+        bound = min(1.0, candidates(sample) / pool)
+        while True:
+            drawn = written(ranked.where(F.col("_rank") < F.lit(int(bound * 2**52))), "tree-samples")
+            sizes = drawn.groupBy("_tree").count().agg(F.count(F.lit(1)).alias("trees"), F.min("count").alias("least")).first()
+            if bound >= 1.0 or (sizes["trees"] == self.n_trees and sizes["least"] >= sample):
+                break
+            bound = min(1.0, 4 * bound)  # next to never: some tree found too few rows under the bound
+        place = F.row_number().over(Window.partitionBy("_tree").orderBy("_rank", self.row_id))
+        return drawn.withColumn("_place", place).where(F.col("_place") <= sample).drop("_place")

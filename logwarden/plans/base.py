@@ -99,6 +99,16 @@ dcut AS (SELECT {cut_sql('score', 'dev')} AS c),
 dscored AS (SELECT dev.*, CAST(score > c AS INTEGER) AS pred FROM dev, dcut)"""
 
 
+def forest_samples_sql(x: str, source: str, trees: int, samples: int, seed: int = 42) -> str:
+    """CTEs up to ``drawn``: the rows every tree grows from."""
+    return f"""sizes AS (SELECT least({samples}, count(*)) AS take,
+            CAST(least({trees}, greatest(1, ceil({trees} * (2 * least({samples}, count(*)) + 40) / count(*)::DOUBLE))) AS BIGINT) AS copies FROM {source}),
+        dealt AS (SELECT row_id, x, ({hash_sql('row_id', seed)} + copy) % {trees} AS tree
+            FROM (SELECT row_id, {x} AS x, unnest(range(copies)) AS copy FROM {source}, sizes) d),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY {hash_sql("(row_id || '|' || tree)", seed + 1)}, row_id) AS rn FROM dealt),
+        drawn AS (SELECT tree, row_id, x FROM ranked, sizes WHERE rn <= take)"""
+
+
 def forest_sql(features: list[str], source: str = "feats", trees: int = 100, samples: int = 256, seed: int = 42) -> str:
     """CTEs up to ``fscored``: the isolation forest, grown and walked with the same hashes. Needs WITH RECURSIVE."""
     depth = max(1, math.ceil(math.log2(samples)))
@@ -112,11 +122,8 @@ def forest_sql(features: list[str], source: str = "feats", trees: int = 100, sam
         SELECT tree, level, node, x, count(*) OVER w AS size, {low} AS lo, {high} AS hi FROM {{}} WINDOW w AS (PARTITION BY tree, node)) a) b) c"""
     inner = f"level < {depth} AND size > 1 AND len(varied) > 0"
     mean = f"CASE WHEN {{0}} <= 1 THEN 0 WHEN {{0}} = 2 THEN 1 ELSE 2 * (ln({{0}} - 1.0::DOUBLE) + 0.5772156649::DOUBLE) - 2 * ({{0}} - 1.0::DOUBLE) / {{0}} END"
-    return f"""pool AS (SELECT row_number() OVER (ORDER BY h, row_id) - 1 AS pos, {x} AS x FROM (
-            SELECT *, {hash_sql('row_id', seed)} AS h FROM {source} ORDER BY h, row_id LIMIT {64 * samples}) t),
-        sizes AS (SELECT count(*) AS pool, least({samples}, count(*)) AS take FROM pool),
-        starts AS (SELECT tree, {hash_sql('tree', seed)} % pool AS start, pool, take FROM range({trees}) r(tree), sizes),
-        grow AS (SELECT tree, 0 AS level, CAST(0 AS BIGINT) AS node, x FROM starts, pool p WHERE (pos - start + pool) % pool < take
+    return f"""{forest_samples_sql(x, source, trees, samples, seed)},
+        grow AS (SELECT tree, 0 AS level, CAST(0 AS BIGINT) AS node, x FROM drawn
             UNION ALL SELECT tree, level + 1, CASE WHEN x[f] <= cut THEN 2 * node + 1 ELSE 2 * node + 2 END, x
             FROM ({split.format('grow')}) s WHERE {inner}),
         nodes AS (SELECT DISTINCT tree, node, {inner} AS goes, f, cut, level + {mean.format('size')} AS path

@@ -10,7 +10,7 @@ from logwarden.detectors.linear import pca_points
 from logwarden.functions.features import micros
 from logwarden.operators import explain, profile
 from logwarden.operators.metrics import flag_metrics
-from logwarden.plans.base import FEATS, FEATURES, cut_sql, deviation_sql, forest_sql, hash_sql, log_features, r, rounded, table
+from logwarden.plans.base import FEATS, FEATURES, cut_sql, deviation_sql, forest_samples_sql, forest_sql, hash_sql, log_features, r, rounded, table
 
 LINES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 MONEY = ["qty", "price", "net", "gross"]
@@ -86,6 +86,13 @@ def isolation_forest(spark, sf_dir):
     return _shown(make_detector("isolation_forest", features=FEATURES).fit_score(log_features(spark, sf_dir)))
 
 
+def forest_samples(spark, sf_dir):
+    """The samples of a thousand small trees."""
+    lines = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("row_id"), "l_quantity")
+    detector = make_detector("isolation_forest", features=["l_quantity"], n_trees=1000, max_samples=8)
+    return detector.samples(lines, lines.count(), 8).select(F.col("_tree").cast("bigint").alias("tree"), "row_id")
+
+
 def _autoencoder(spark, sf_dir):
     return make_detector("autoencoder", features=FEATURES).fit(log_features(spark, sf_dir))
 
@@ -165,6 +172,7 @@ QUERIES = {
     "pca_2d": pca_2d,
     "linear_reconstruction": linear_reconstruction,
     "isolation_forest": isolation_forest,
+    "forest_samples": forest_samples,
     "autoencoder": autoencoder,
     "training_loss": lambda s, d: _autoencoder(s, d).loss_history(s),
     "sequence_detector": sequence_detector,
@@ -282,6 +290,8 @@ ORACLES = {
     "nested_explanation": f"""{_FLAGGED} SELECT row_id, string_agg(feature, '>' ORDER BY rank) AS features
         FROM ranked WHERE rank <= 3 GROUP BY row_id""",
     "feature_importance": f"{_FLAGGED} SELECT feature, {r('avg(abs(z_score))', 4)} AS importance FROM ranked GROUP BY feature",
+    "forest_samples": f"""WITH lines AS (SELECT l_orderkey * 8 + l_linenumber AS row_id, l_quantity FROM lineitem),
+        {forest_samples_sql('[l_quantity]', 'lines', 1000, 8)} SELECT tree, row_id FROM drawn""",
     "isolation_forest": f"WITH RECURSIVE {FEATS.lstrip()}, {forest_sql(FEATURES)} SELECT row_id, {r('score')} AS score, pred FROM fscored",
     "sequence_linear": f"""WITH RECURSIVE {FEATS.lstrip()},
         two AS (SELECT row_id, user_id, ts, value, epoch_us(ts) / 8.64e10::DOUBLE AS day FROM feats),

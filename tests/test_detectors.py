@@ -70,6 +70,18 @@ def test_forest_invariants(spark, table, sizes):
     assert again == scored
 
 
+def test_forest_samples(spark):
+    """A thousand trees draw a thousand samples that share no row; few rows are dealt to several trees."""
+    detector = make_detector("isolation_forest", n_trees=1000, max_samples=8)
+    rows = spark.range(60_000).withColumnRenamed("id", "row_id").withColumn("x", F.col("row_id") % 7)
+    drawn = detector.samples(rows, 60_000, 8).collect()
+    assert len(drawn) == 8000 and len({r.row_id for r in drawn}) == 8000 and len({r._tree for r in drawn}) == 1000
+    few = detector.samples(rows.limit(300), 300, 8).groupBy("_tree").count().collect()
+    assert len(few) == 1000 and {r["count"] for r in few} == {8}
+    alone = detector.samples(rows.limit(3), 3, 3).groupBy("_tree").count().collect()
+    assert len(alone) == 1000 and {r["count"] for r in alone} == {3}
+
+
 def test_gradient_by_finite_differences():
     sizes = layer_sizes(3, (4, 2))
     assert sizes == [3, 4, 2, 2, 4, 3]
