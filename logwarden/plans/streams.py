@@ -67,7 +67,7 @@ def _windows(update: bool, late: bool = False, **settings):
         windows = jobs.alert_windows(_flagged_stream(spark, sf_dir, late), **settings)
         path = work_path(spark, "stream-windows")
         if update:
-            jobs.finished(jobs.upsert_stream(windows, path))
+            jobs.finished(jobs.upsert_stream(windows, path, ["start", "end"], every=3))
             out = jobs.latest_table(spark, path, windows.schema, ["start", "end"])
         else:
             jobs.finished(jobs.append_stream(windows, path))
@@ -76,11 +76,37 @@ def _windows(update: bool, late: bool = False, **settings):
     return run
 
 
-def stream_recent(spark, sf_dir):
-    recent = jobs.recent_stream(_flagged_stream(spark, sf_dir), "user_id", keep=RECENT)
+def _recent(spark, sf_dir, **settings):
+    recent = jobs.recent_stream(_flagged_stream(spark, sf_dir), "user_id", keep=RECENT, **settings)
     path = work_path(spark, "stream-recent")
-    jobs.finished(jobs.upsert_stream(recent, path))
-    return jobs.latest_table(spark, path, recent.schema, ["user_id"]).select("user_id", "rows", "flagged")
+    jobs.finished(jobs.upsert_stream(recent, path, ["user_id"]))
+    return jobs.recent_table(spark, path, recent.schema, "user_id").select("user_id", "rows", "flagged")
+
+
+def stream_recent(spark, sf_dir):
+    return _recent(spark, sf_dir)
+
+
+def stream_recent_expiring(spark, sf_dir):
+    """Users who have been silent for half a day when the stream ends are forgotten."""
+    return _recent(spark, sf_dir, expire="12 hours", delay="1 hour")
+
+
+def _label_rows(events):
+    """A label for most events, minutes to hours after them; some come too late, some never."""
+    minutes = (F.col("event_id") % 7) * 40
+    when = F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), minutes, F.lit(0))
+    return events.where(F.col("event_id") % 5 != 0).select(
+        F.col("event_id").alias("row_id"), when.alias("label_ts"), (F.col("event_type") == "error").cast("int").alias("label"))
+
+
+def stream_late_labels(spark, sf_dir):
+    """Flags of the event stream joined with a stream of labels; rows of the first days also come behind the watermark."""
+    scored = _flagged_stream(spark, sf_dir, late=True).select("row_id", "ts", "pred")
+    joined = jobs.label_stream(scored, _label_rows(_replayed(spark, sf_dir, late=True)))
+    path = work_path(spark, "stream-labels")
+    jobs.finished(jobs.append_stream(joined, path))
+    return jobs.appended_table(spark, path, joined.schema).select("row_id", "pred", "label")
 
 
 def stream_privacy(spark, sf_dir):
@@ -99,6 +125,8 @@ QUERIES = {
     "stream_closed_windows": _windows(False, length="1 day", delay="1 hour"),
     "stream_late_rows": _windows(False, late=True, length="1 day", delay="1 hour"),
     "stream_recent": stream_recent,
+    "stream_recent_expiring": stream_recent_expiring,
+    "stream_late_labels": stream_late_labels,
     "stream_privacy": stream_privacy,
 }
 
@@ -119,6 +147,17 @@ ORACLES = {
         SELECT date_trunc('day', ts)::TIMESTAMP AS "start", date_trunc('day', ts)::TIMESTAMP + INTERVAL 1 DAY AS "end", {_COUNTS}
         FROM intime GROUP BY 1, 2
         HAVING date_trunc('day', any_value(ts))::TIMESTAMP + INTERVAL 1 DAY <= (SELECT max(ts) FROM scored) - INTERVAL 1 HOUR""",
+    "stream_recent_expiring": f"""WITH {SCORED}, n AS (SELECT *, max(ts) OVER (PARTITION BY user_id) AS last_ts,
+            row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, row_id DESC) AS rn FROM scored)
+        SELECT user_id, count(*) AS "rows", count(*) FILTER (pred = 1) AS flagged FROM n
+        WHERE rn <= {RECENT} AND last_ts + INTERVAL 12 HOURS > (SELECT max(ts) FROM scored) - INTERVAL 1 HOUR GROUP BY user_id""",
+    "stream_late_labels": f"""WITH {SCORED}, first AS (SELECT min(ts) AS t FROM scored),
+        intime AS (SELECT scored.* FROM scored, first WHERE NOT (row_id % 10 = 0 AND date_diff('day', t, ts) < {SLICE_DAYS})),
+        labels AS (SELECT row_id, label, ts + CAST(row_id % 7 * 40 AS INTEGER) * INTERVAL 1 MINUTE AS label_ts FROM intime WHERE row_id % 5 <> 0),
+        mark AS (SELECT least((SELECT max(ts) FROM scored), (SELECT max(ts + CAST(event_id % 7 * 40 AS INTEGER) * INTERVAL 1 MINUTE) FROM events
+            WHERE event_id % 5 <> 0)) - INTERVAL 1 HOUR AS w)
+        SELECT s.row_id, s.pred, l.label FROM intime s LEFT JOIN labels l ON l.row_id = s.row_id AND l.label_ts <= s.ts + INTERVAL 3 HOURS, mark
+        WHERE l.row_id IS NOT NULL OR s.ts + INTERVAL 3 HOURS < w""",
     "stream_recent": f"""WITH {SCORED}, n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, row_id DESC) AS rn
         FROM scored) SELECT user_id, count(*) AS "rows", count(*) FILTER (pred = 1) AS flagged FROM n WHERE rn <= {RECENT}
         GROUP BY user_id""",

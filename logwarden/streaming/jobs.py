@@ -3,10 +3,15 @@
 Each job takes a streaming table and a folder, runs until the query stops, and leaves a
 table that ``spark.read`` can use. Model cut-offs come from the fitted model, never from the
 micro-batch. Checkpoints live beside the table, so a restarted job goes on where it was.
+
+Tables of changed rows keep one folder per micro-batch; every few of them are merged into a snapshot,
+and a manifest, put in place by one rename, says which snapshot and which newer folders count.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -14,9 +19,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.query import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from logwarden.common import settings
 from logwarden.detectors.base import Model
 from logwarden.detectors.sequence import SequenceModel
 from logwarden.functions.features import micros
@@ -25,6 +31,10 @@ from logwarden.functions.pii import anonymise, redact
 BATCH = "_batch"
 RECENT_ROWS = 100
 HELD_ROWS = 100_000  # rows that a task holds while it looks for the last ones
+EXPIRE = "90 days"  # silence after which an entity is forgotten
+COMPACT_EVERY = 8  # micro-batches between two snapshots of an upsert table
+STATE_STORE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+               "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}
 
 
 def stream_table(spark: SparkSession, folder: str, schema: T.StructType, files: str = "*.parquet",
@@ -47,13 +57,20 @@ def append_stream(df: DataFrame, path: str) -> StreamingQuery:
             .option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start())
 
 
-def upsert_stream(df: DataFrame, path: str) -> StreamingQuery:
-    """Write each micro-batch of changed rows to its own folder, so that a repeated batch replaces itself."""
+def upsert_stream(df: DataFrame, path: str, keys: list[str] | None = None, every: int = COMPACT_EVERY) -> StreamingQuery:
+    """Write each micro-batch of changed rows to its own folder, so that a repeated batch replaces itself.
+
+    With ``keys`` every ``every``-th micro-batch merges what is there into a snapshot, so that readers never meet
+    more than that many folders. State, where the job has any, lives in RocksDB.
+    """
     def save(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/table/{BATCH}={number}")
+        if keys and number - Manifest.read(batch.sparkSession, path).upto >= every:
+            compact(batch.sparkSession, path, df.schema, keys, number)
 
-    return (df.writeStream.outputMode("update").foreachBatch(save)
-            .option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start())
+    with settings(df.sparkSession, STATE_STORE):  # a query keeps the settings it was started with
+        return (df.writeStream.outputMode("update").foreachBatch(save)
+                .option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start())
 
 
 def finished(query: StreamingQuery) -> None:
@@ -64,15 +81,119 @@ def appended_table(spark: SparkSession, path: str, schema: T.StructType) -> Data
     return spark.read.schema(schema).parquet(f"{path}/table")
 
 
-def latest_table(spark: SparkSession, path: str, schema: T.StructType, keys: list[str | Column]) -> DataFrame:
-    """The newest version of every key of an upsert table."""
-    versions = spark.read.schema(T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])) \
-        .option("basePath", f"{path}/table").parquet(f"{path}/table")
-    names = [f.name for f in schema.fields]
+class Files:
+    """Folder listing, small files and renames in whatever file system the path is in."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.jvm = spark._jvm
+        self.system = self.at(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def at(self, path: str) -> Any:
+        return self.jvm.org.apache.hadoop.fs.Path(path)
+
+    def names(self, folder: str) -> list[str]:
+        if not self.system.exists(self.at(folder)):
+            return []
+        return sorted(s.getPath().getName() for s in self.system.listStatus(self.at(folder)))
+
+    def text(self, path: str) -> str:
+        stream = self.system.open(self.at(path))
+        try:
+            return self.jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def place(self, path: str, text: str) -> None:
+        """A file that appears whole or not at all: written aside, then renamed."""
+        aside = f"{path}.{uuid.uuid4().hex}.tmp"
+        stream = self.system.create(self.at(aside))
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        if not self.system.rename(self.at(aside), self.at(path)):
+            self.remove(aside)  # a repeated batch finds the manifest of its number in place
+
+    def remove(self, path: str) -> None:
+        self.system.delete(self.at(path), True)
+
+
+class Manifest:
+    """Which snapshot holds all micro-batches up to which number; -1 and none before the first one."""
+
+    def __init__(self, upto: int, snapshot: str | None):
+        self.upto, self.snapshot = upto, snapshot
+
+    @classmethod
+    def read(cls, spark: SparkSession, path: str) -> Manifest:
+        """The newest one in place. One that is swept away while it is read was followed by a newer."""
+        files = Files(spark, path)
+        names = [n for n in files.names(f"{path}/manifest") if n.endswith(".json")]
+        if not names:
+            return cls(-1, None)
+        told = json.loads(files.text(f"{path}/manifest/{names[-1]}"))
+        return cls(told["upto"], told["snapshot"])
+
+    def write(self, spark: SparkSession, path: str) -> None:
+        Files(spark, path).place(f"{path}/manifest/{self.upto:012d}.json", json.dumps({"upto": self.upto, "snapshot": self.snapshot}))
+
+
+def _versions(spark: SparkSession, path: str, schema: T.StructType, manifest: Manifest, upto: int | None = None) -> DataFrame:
+    """The snapshot's rows and those of newer micro-batches, each with the number of its micro-batch."""
+    fields = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
+    numbers = sorted(int(n.split("=")[1]) for n in Files(spark, path).names(f"{path}/table") if n.startswith(f"{BATCH}="))
+    newer = [n for n in numbers if n > manifest.upto and (upto is None or n <= upto)]
+    parts = [spark.createDataFrame([], fields)]
+    if manifest.snapshot:
+        parts.append(spark.read.schema(fields).parquet(f"{path}/{manifest.snapshot}"))
+    if newer:
+        read = spark.read.schema(fields).option("basePath", f"{path}/table")
+        parts.append(read.parquet(*[f"{path}/table/{BATCH}={n}" for n in newer]))
+    out = parts[-1] if len(parts) == 2 else parts[0]
+    return parts[1].unionByName(parts[2]) if len(parts) == 3 else out
+
+
+def _newest(versions: DataFrame, names: list[str], keys: list[str | Column]) -> DataFrame:
     newest = versions.groupBy(*keys).agg(F.max_by(F.struct(*names), BATCH).alias("_row"))
     return newest.select(*[F.col("_row")[n].alias(n) for n in names])
 
 
+def compact(spark: SparkSession, path: str, schema: T.StructType, keys: list[str], upto: int) -> None:
+    """Merge all micro-batches up to ``upto`` into a snapshot.
+
+    Readers see the old manifest until the new one is renamed into place; a crash before that leaves an unused
+    folder, a crash after it leaves folders that nobody reads. What the manifest before this one needed is
+    swept only now, so that a reader that has just opened it still finds its files.
+    """
+    before = Manifest.read(spark, path)
+    if upto <= before.upto:
+        return
+    names = [f.name for f in schema.fields]
+    snapshot = f"snapshots/{upto:012d}-{uuid.uuid4().hex}"
+    _newest(_versions(spark, path, schema, before, upto), [*names, BATCH], list(keys)).write.parquet(f"{path}/{snapshot}")
+    Manifest(upto, snapshot).write(spark, path)
+    files, now = Files(spark, path), Manifest.read(spark, path)
+    for name in files.names(f"{path}/table"):
+        if name.startswith(f"{BATCH}=") and int(name.split("=")[1]) <= before.upto:
+            files.remove(f"{path}/table/{name}")
+    for name in files.names(f"{path}/manifest"):
+        if name < f"{before.upto:012d}.json":
+            files.remove(f"{path}/manifest/{name}")
+    wanted = {m.snapshot for m in (before, now)}
+    for name in files.names(f"{path}/snapshots"):
+        if f"snapshots/{name}" not in wanted and int(name.split("-")[0]) <= now.upto:
+            files.remove(f"{path}/snapshots/{name}")
+
+
+def latest_table(spark: SparkSession, path: str, schema: T.StructType, keys: list[str | Column]) -> DataFrame:
+    """The newest version of every key of an upsert table."""
+    versions = _versions(spark, path, schema, Manifest.read(spark, path))
+    return _newest(versions, [f.name for f in schema.fields], keys)
+
+
+def recent_table(spark: SparkSession, path: str, schema: T.StructType, entity: str) -> DataFrame:
+    """The newest row of every entity that has not been forgotten."""
+    return latest_table(spark, path, schema, [entity]).where(F.col("rows") > 0)
+
+
 def score_stream(stream: DataFrame, model: Model, on_null: str = "error") -> DataFrame:
     """The batch scoring path on a stream; sequence models need rows of several batches."""
     if not row_wise(model):
@@ -111,42 +232,80 @@ def _last_rows(keep: int, entity: str) -> Callable[[Iterator[pd.DataFrame]], Ite
     return trim
 
 
-def recent_stream(scored: DataFrame, entity: str, time: str = "ts", row_id: str = "row_id",
-                  keep: int = RECENT_ROWS, expire: str | None = None) -> DataFrame:
+class RecentEvents(StatefulProcessor):
+    """The last events of an entity as list state: appended to, and cut when twice too long.
+
+    A timer at the end of the silence that is allowed forgets the entity and says so by a row that counts nothing.
+    """
+
+    def __init__(self, entity: str, keep: int, silence: int | None):
+        self.entity, self.keep, self.silence = entity, keep, silence
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.events = handle.getListState("events", "at bigint, row_id bigint, pred bigint")
+
+    def _row(self, key: tuple[Any, ...], last: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame({self.entity: [key[0]], "rows": [len(last)], "flagged": [sum(e[2] for e in last)],
+                             "last_at": [last[-1][0] if last else None]}).astype({"last_at": "Int64"})
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        new = sorted(tuple(map(int, r)) for frame in rows for r in frame[["at", "row_id", "pred"]].itertuples(index=False))[-self.keep:]
+        held = [tuple(e) for e in self.events.get()]
+        last = sorted(held + new)[-self.keep:]
+        if len(held) + len(new) > 2 * self.keep:
+            self.events.put(last)
+        else:
+            self.events.appendList(new)
+        if self.silence is not None:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(max(last[-1][0] // 1000 + self.silence, timerValues.getCurrentWatermarkInMs() + 1))
+        yield self._row(key, last)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.events.clear()
+        yield self._row(key, [])
+
+    def close(self) -> None:
+        pass
+
+
+def recent_stream(scored: DataFrame, entity: str, time: str = "ts", row_id: str = "row_id", keep: int = RECENT_ROWS,
+                  expire: str | None = EXPIRE, delay: str = "10 minutes") -> DataFrame:
     """Flagged rows among each entity's last ``keep`` events, updated with every micro-batch.
 
-    Before the shuffle each task keeps only the last ``keep`` rows per entity, so an entity with
-    most of the rows sends few of them. State per entity is ``keep`` rows. With ``expire`` an entity
-    that has been silent for that interval of event time is forgotten.
+    Before the shuffle each task keeps only the last ``keep`` rows per entity, so an entity with most of the rows
+    sends few of them. State per entity is at most twice ``keep`` events. An entity that has been silent for
+    ``expire`` of event time is forgotten, with a last row that counts none; None keeps all. (State that ages by the
+    clock needs processing time, in which a query that should read what is there and stop never stops.) Start it
+    with ``upsert_stream``.
     """
-    slim = event_time(scored, time).select(entity, micros(time).alias("at"), F.col(row_id).alias("row_id"),
+    slim = event_time(scored, time).select(entity, micros(time).alias("at"), F.col(row_id).cast("bigint").alias("row_id"),
                                            F.col("pred").cast("bigint").alias("pred"))
     trimmed = slim.mapInPandas(_last_rows(keep, entity), slim.schema)
     silence = pd.Timedelta(expire).value // 1_000_000 if expire else None
     if expire:
-        trimmed = trimmed.withColumn("event_time", F.timestamp_micros("at")).withWatermark("event_time", expire)
-    kind = slim.schema[entity].dataType
-    output = T.StructType([T.StructField(entity, kind), T.StructField("rows", T.LongType()),
+        trimmed = trimmed.withColumn("event_time", F.timestamp_micros("at")).withWatermark("event_time", delay)
+    output = T.StructType([T.StructField(entity, slim.schema[entity].dataType), T.StructField("rows", T.LongType()),
                            T.StructField("flagged", T.LongType()), T.StructField("last_at", T.LongType())])
-    state_type = "at array<bigint>, row_id array<bigint>, pred array<bigint>"
-    columns = ["at", "row_id", "pred"]
-
-    def update(key: tuple[Any, ...], frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        held = pd.DataFrame(dict(zip(columns, state.get, strict=True))) if state.exists else pd.DataFrame(
-            {c: pd.Series(dtype="int64") for c in columns})
-        for frame in frames:
-            held = pd.concat([held, frame[columns]]).sort_values(["at", "row_id"]).tail(keep)
-        state.update(tuple([int(v) for v in held[c]] for c in columns))
-        if silence is not None:
-            state.setTimeoutTimestamp(max(int(held["at"].max()) // 1000 + silence, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({entity: [key[0]], "rows": [len(held)], "flagged": [int(held["pred"].sum())],
-                            "last_at": [int(held["at"].max())]})
-
-    return trimmed.groupBy(entity).applyInPandasWithState(update, output, state_type, "update",
-                                                          GroupStateTimeout.EventTimeTimeout if expire else GroupStateTimeout.NoTimeout)
+    return trimmed.groupBy(entity).transformWithStateInPandas(RecentEvents(entity, keep, silence), output, "update",
+                                                              "eventTime" if expire else "none")
+
+
+def label_stream(scored: DataFrame, labels: DataFrame, horizon: str = "3 hours", delay: str = "1 hour", time: str = "ts",
+                 row_id: str = "row_id", label_time: str = "label_ts") -> DataFrame:
+    """Scored rows with the label that arrives for them, at most ``horizon`` of event time after them.
+
+    A row whose label does not come in time is given out with a null label once the watermark has passed its
+    horizon; both sides forget what can meet nothing any more. Rows and labels behind the watermark are dropped.
+    ``labels``: ``row_id, label_ts, label``.
+    """
+    left = event_time(scored, time).withWatermark(time, delay)
+    right = event_time(labels, label_time).select(F.col(row_id).alias("_labelled"), F.col(label_time).alias("_label_ts"), "label")
+    right = right.withWatermark("_label_ts", delay)
+    within = (F.col("_labelled") == F.col(row_id)) & (F.col("_label_ts") >= F.col(time)) & (F.col("_label_ts") <= F.col(time) + F.expr(f"INTERVAL {horizon}"))
+    return left.join(right, within, "leftOuter").drop("_labelled", "_label_ts")
 
 
 def private_stream(stream: DataFrame, texts: tuple[str, ...] = (), user_ids: str | None = "user_id",
