@@ -1,8 +1,9 @@
 """Values of the next or previous rows of the same entity, also when one entity is huge.
 
 A window per entity puts every row of an entity into one task. Entities above a row limit
-are therefore cut into time ranges; each range borrows the few rows it needs from the
-ranges beside it, so the result is exactly that of the plain window.
+are therefore cut into ranges of (time, row_id), so that rows of one time can be parted too; each
+range borrows the few rows it needs from the ranges beside it, so the result is exactly that of
+the plain window. Rows without an entity are an entity of their own, as they are to a window.
 """
 
 from __future__ import annotations
@@ -20,38 +21,44 @@ SAMPLE_PER_PIECE = 200
 _PIECE, _TIME, _BORROWED = "_piece", "_time", "_borrowed"
 
 
-def large_entities(df: DataFrame, entity: str, time: str, limit: int | None = None) -> DataFrame | None:
-    """``_entity, _cuts``: times that cut every entity above the limit into pieces of about that size.
+def _mark(time: str, row_id: str | None) -> Column:
+    """A row's place in the order of its entity."""
+    return F.struct(micros(time).alias("at"), (F.col(row_id) if row_id else F.lit(0)).alias("id"))
 
-    The limit does not depend on the table. The cuts are every so-many-th of the times that a hash
+
+def large_entities(df: DataFrame, entity: str, time: str, limit: int | None = None, row_id: str | None = None) -> DataFrame | None:
+    """``_entity, _marks, _cuts``: places (and their times) that cut every entity above the limit into pieces of about that size.
+
+    The limit does not depend on the table. The cuts are every so-many-th of the places that a hash
     picks, about ``SAMPLE_PER_PIECE`` a piece, so finding them sorts a small part of the rows. None
-    where no entity is large.
+    where no entity is large. Without ``row_id`` rows of one time stay together.
     """
     floor = limit or LARGE_ENTITY_ROWS
     sizes = df.groupBy(F.col(entity).alias("_entity")).agg(F.count(F.lit(1)).alias("_rows"))
-    large = written(sizes.where(F.col("_rows") > floor).where("_entity is not null"), "large-entities")
+    large = written(sizes.where(F.col("_rows") > floor), "large-entities")
     if large.isEmpty():
         return None
     step = max(1, floor // SAMPLE_PER_PIECE)
     every = max(1, floor // step)
-    timed = df.select(F.col(entity).alias("_entity"), micros(time).alias("_at"))
-    picked = timed.where(F.pmod(F.xxhash64("_entity", "_at"), F.lit(step)) == 0).join(large.select("_entity"), "_entity")
-    place = F.row_number().over(Window.partitionBy("_entity").orderBy("_at"))
+    marked = df.select(F.col(entity).alias("_entity"), _mark(time, row_id).alias("_mark"))
+    picked = marked.where(F.pmod(F.xxhash64("_entity", "_mark"), F.lit(step)) == 0)
+    picked = picked.join(large.select(F.col("_entity").alias("_large")), F.col("_entity").eqNullSafe(F.col("_large")), "leftsemi")
+    place = F.row_number().over(Window.partitionBy("_entity").orderBy("_mark"))
     cuts = picked.withColumn("_n", place).where(F.col("_n") % every == 0).groupBy("_entity").agg(
-        F.array_sort(F.collect_set("_at")).alias("_cuts"))
-    return written(cuts, "entity-cuts")
+        F.array_sort(F.collect_set("_mark")).alias("_marks"))
+    return written(cuts.withColumn("_cuts", F.transform("_marks", lambda m: m["at"])), "entity-cuts")
 
 
-def _with_pieces(df: DataFrame, entity: str, time: str, limit: int | None) -> tuple[DataFrame, bool]:
-    cuts = large_entities(df, entity, time, limit)
+def _with_pieces(df: DataFrame, entity: str, time: str, row_id: str, limit: int | None) -> tuple[DataFrame, bool]:
+    cuts = large_entities(df, entity, time, limit, row_id)
     timed = df.withColumn(_TIME, micros(time))
     if cuts is None:
         return timed.withColumn(_PIECE, F.lit(0)), False
-    passed = F.size(F.filter("_cuts", lambda c: c <= F.col(_TIME)))
+    passed = F.size(F.filter("_marks", lambda m: m <= _mark(time, row_id)))
     # Spark broadcasts the cuts if their files are small enough.
-    placed = timed.join(cuts, F.col(entity) == F.col("_entity"), "left")
-    return (placed.withColumn(_PIECE, F.when(F.col("_cuts").isNull(), -1).otherwise(passed))
-            .drop("_entity", "_cuts")), True
+    placed = timed.join(cuts.drop("_cuts"), F.col(entity).eqNullSafe(F.col("_entity")), "left")
+    return (placed.withColumn(_PIECE, F.when(F.col("_marks").isNull(), -1).otherwise(passed))
+            .drop("_entity", "_marks")), True
 
 
 def with_neighbours(df: DataFrame, entity: str, time: str, row_id: str, take: Mapping[str, Sequence[tuple]],
@@ -61,7 +68,7 @@ def with_neighbours(df: DataFrame, entity: str, time: str, row_id: str, take: Ma
     ``take`` maps an output column to ``(source column, distance)``; a distance beyond the
     entity's rows gives null. ``reach`` is the largest distance.
     """
-    placed, split = _with_pieces(df, entity, time, limit)
+    placed, split = _with_pieces(df, entity, time, row_id, limit)
     order = [F.col(_TIME), F.col(row_id)]
     rows = placed.withColumn(_BORROWED, F.lit(False))
     if split:

@@ -59,6 +59,29 @@ def test_pieces_keep_their_size_when_the_table_grows(spark, times):
         assert max(b - a for a, b in zip(edges, edges[1:])) / 3 < 3 * 400
 
 
+@pytest.mark.parametrize("kind", ["one time", "no entity"])
+def test_pieces_of_equal_times_and_null_entities(spark, kind):
+    """Nearly all rows of one entity at one time, or without an entity: the plain windows, in bounded pieces."""
+    from pyspark.sql import Window
+
+    from logwarden.operators.neighbours import _with_pieces
+
+    odd = F.col("id") % 100 == 0
+    user = F.when(odd, F.col("id") % 7) if kind == "no entity" else F.when(odd, F.col("id") % 7).otherwise(50)
+    second = F.lit(5) if kind == "one time" else F.col("id") % 11
+    rows = spark.range(4000).select(F.col("id").alias("row_id"), user.alias("user_id"), F.timestamp_seconds(second).alias("ts"),
+                                    F.col("id").cast("double").alias("v")).repartition(5).persist()
+    placed, split = _with_pieces(rows, "user_id", "ts", "row_id", 60)
+    assert split and placed.groupBy("user_id", "_piece").count().agg(F.max("count")).first()[0] < 3 * 60
+    order = Window.partitionBy("user_id").orderBy("ts", "row_id")
+    plain = rows.select("row_id", *[F.lead("v", k).over(order).alias(f"v__{k}") for k in (1, 2)])
+    wide, _ = sequence_table(rows, ["v"], "user_id", "ts", "row_id", 3, "first", 60)
+    assert sorted(wide.select("row_id", "v__1", "v__2").collect()) == sorted(plain.collect())
+    gap = previous_gap_seconds(rows, "user_id", "ts", "row_id", limit=60)
+    before = rows.select("row_id", F.coalesce(F.col("ts").cast("double") - F.lag("ts").over(order).cast("double"), F.lit(0.0)).alias("gap"))
+    assert sorted(gap.select("row_id", "gap").collect()) == sorted(before.collect())
+
+
 def test_bad_arguments(events):
     with pytest.raises(ValueError):
         sequence_table(events, ["v"], "user_id", "ts", "row_id", 1)
