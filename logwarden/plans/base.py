@@ -126,7 +126,7 @@ def forest_sql(features: list[str], source: str = "feats", trees: int = 100, sam
         grow AS (SELECT tree, 0 AS level, CAST(0 AS BIGINT) AS node, x FROM drawn
             UNION ALL SELECT tree, level + 1, CASE WHEN x[f] <= cut THEN 2 * node + 1 ELSE 2 * node + 2 END, x
             FROM ({split.format('grow')}) s WHERE {inner}),
-        nodes AS (SELECT DISTINCT tree, node, {inner} AS goes, f, cut, level + {mean.format('size')} AS path
+        nodes AS (SELECT DISTINCT tree, node, {inner} AS goes, f, cut, size, level + {mean.format('size')} AS path
             FROM ({split.format('(SELECT *, level AS l FROM grow)')}) s),
         walk AS (SELECT row_id, {x} AS x, tree, CAST(0 AS BIGINT) AS node FROM {source}, range({trees}) r(tree)
             UNION ALL SELECT row_id, x, w.tree, CASE WHEN x[f] <= cut THEN 2 * w.node + 1 ELSE 2 * w.node + 2 END

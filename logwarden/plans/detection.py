@@ -10,10 +10,11 @@ from logwarden.detectors.linear import pca_points
 from logwarden.functions.features import micros
 from logwarden.operators import explain, profile
 from logwarden.operators.metrics import flag_metrics
-from logwarden.plans.base import FEATS, FEATURES, cut_sql, deviation_sql, forest_samples_sql, forest_sql, hash_sql, log_features, r, rounded, table
+from logwarden.plans.base import FEATS, FEATURES, STREAM_FEATURES, cut_sql, deviation_sql, forest_samples_sql, forest_sql, hash_sql, log_features, r, rounded, table
 
 LINES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 MONEY = ["qty", "price", "net", "gross"]
+TREES = 12
 
 
 def _scored(spark, sf_dir) -> DataFrame:
@@ -152,6 +153,14 @@ def shapley_explain(spark, sf_dir):
     return rounded(explain.explain(rows, asked, "shapley", model))
 
 
+def tree_explain(spark, sf_dir):
+    """Exact contributions of the features of a small forest for the first flagged rows."""
+    rows = log_features(spark, sf_dir)
+    model = make_detector("isolation_forest", features=STREAM_FEATURES, n_trees=TREES).fit(rows)
+    asked = profile.explain_candidates(model.score(rows)).select("row_id")
+    return rounded(explain.explain(rows, asked, "tree", model))
+
+
 QUERIES = {
     "contamination_flags": lambda s, d: _shown(_scored(s, d)),
     "deviation_metrics": lambda s, d: rounded(flag_metrics(_scored(s, d)).select(
@@ -180,6 +189,7 @@ QUERIES = {
     "learned_checks": learned_checks,
     "sequence_autoencoder": sequence_autoencoder,
     "shapley_explain": shapley_explain,
+    "tree_explain": tree_explain,
 }
 
 
@@ -271,6 +281,27 @@ def _shapley_sql() -> str:
             'Shapley' AS method FROM mean"""
 
 
+def _tree_shapley_sql(features: list[str], trees: int) -> str:
+    """Shapley values of the forest by all sets of three features: known splits are followed, the others weighed by their rows."""
+    mean = "CASE WHEN take <= 1 THEN 1 WHEN take = 2 THEN 1 ELSE 2 * (ln(take - 1.0::DOUBLE) + 0.5772156649::DOUBLE) - 2 * (take - 1.0::DOUBLE) / take END"
+    parts = " UNION ALL ".join(
+        f"""SELECT a.row_id, '{f}' AS feature, -sum((CASE bit_count(a.mask) WHEN 1 THEN 1 / 6.0::DOUBLE ELSE 1 / 3.0::DOUBLE END) * (b.v - a.v)) AS c
+        FROM val a JOIN val b ON a.row_id = b.row_id AND b.mask = a.mask + {1 << i} WHERE (a.mask >> {i}) & 1 = 0 GROUP BY a.row_id""" for i, f in enumerate(features))
+    return f"""WITH RECURSIVE {FEATS.lstrip()}, {forest_sql(features, trees=trees)},
+        asked AS (SELECT row_id, [{', '.join(f'CAST({f} AS DOUBLE)' for f in features)}] AS x FROM feats
+            WHERE row_id IN (SELECT row_id FROM fscored WHERE pred = 1 ORDER BY row_id LIMIT 10)),
+        follow AS (SELECT row_id, x, CAST(mask AS BIGINT) AS mask, tree, CAST(0 AS BIGINT) AS node, 1.0::DOUBLE AS w
+                FROM asked, range({1 << len(features)}) m(mask), range({trees}) r(tree)
+            UNION ALL SELECT row_id, x, mask, w.tree, c.node, w * CASE WHEN (mask >> CAST(k.f - 1 AS BIGINT)) & 1 = 1 THEN 1.0::DOUBLE ELSE c.size / k.size::DOUBLE END
+            FROM follow w JOIN nodes k ON w.tree = k.tree AND w.node = k.node AND k.goes JOIN nodes c ON c.tree = k.tree AND (c.node - 1) // 2 = k.node
+            WHERE c.node > 0 AND ((mask >> CAST(k.f - 1 AS BIGINT)) & 1 = 0 OR c.node = CASE WHEN x[k.f] <= k.cut THEN 2 * k.node + 1 ELSE 2 * k.node + 2 END)),
+        val AS (SELECT row_id, mask, sum(w.w * path) / {trees} / any_value({mean}) AS v FROM follow w
+            JOIN nodes k ON w.tree = k.tree AND w.node = k.node AND NOT k.goes, sizes GROUP BY row_id, mask),
+        phi AS ({parts})
+        SELECT row_id, CAST(row_number() OVER (PARTITION BY row_id ORDER BY abs(c) DESC, feature) AS INTEGER) AS rank, feature, {r('c')} AS contribution,
+            {r('abs(c)')} AS importance, {r('sum(c) OVER (PARTITION BY row_id)')} AS prediction_score, 'Tree Shapley' AS method FROM phi"""
+
+
 _PAIR = ["a", "b", "c", "d"]
 _Z2 = " + ".join(f"(({c} - m{i}) / s{i}) * (({c} - m{i}) / s{i})" for i, c in enumerate(MONEY))
 
@@ -309,6 +340,7 @@ ORACLES = {
         UNION ALL SELECT 'loss_below_mean_predictor', 1 UNION ALL SELECT 'forest_planted', planted FROM c
         {' '.join(f"UNION ALL SELECT '{m}_flagged', flagged FROM c" for m in ('forest', 'autoencoder', 'ensemble'))}""",
     "shapley_explain": _shapley_sql(),
+    "tree_explain": _tree_shapley_sql(STREAM_FEATURES, TREES),
     "ensemble_soft": _SOFT,
     "ensemble_batch_cut": _SOFT,
     "ensemble_hard": f"""{_VOTES} SELECT row_id, {r('score')} AS score,

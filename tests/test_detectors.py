@@ -82,6 +82,36 @@ def test_forest_samples(spark):
     assert len(alone) == 1000 and {r["count"] for r in alone} == {3}
 
 
+def test_tree_contributions_by_enumeration():
+    """Against the definition: every set of known features, every path weighed by its rows."""
+    from itertools import combinations
+    from math import factorial
+
+    from logwarden.detectors.forest import node_covers, tree_contributions
+
+    x = np.random.default_rng(5).integers(0, 9, (60, 4)).astype(float)
+    tree = grow_tree(x, 3, 1, 5)
+    cover = node_covers(x, *tree[:2])
+    feature, threshold, path = tree
+
+    def value(row, known, node=0):
+        if node >= len(threshold):
+            return path[node - len(threshold)]
+        sides = [2 * node + 1, 2 * node + 2]
+        if feature[node] in known or cover[sides[1]] == 0:
+            return value(row, known, sides[int(row[feature[node]] > threshold[node])])
+        return sum(cover[s] / cover[node] * value(row, known, s) for s in sides if cover[s])
+
+    got = tree_contributions(x[:5], *tree, cover)
+    for row, phi in zip(x[:5], got):
+        for i in range(4):
+            others = [j for j in range(4) if j != i]
+            expect = sum(factorial(k) * factorial(3 - k) / 24 * (value(row, {*s, i}) - value(row, set(s)))
+                         for k in range(4) for s in combinations(others, k))
+            assert phi[i] == pytest.approx(expect, abs=1e-12)
+        assert phi.sum() == pytest.approx(mean_path(row[None], feature[None], threshold[None], path[None])[0] - value(row, set()))
+
+
 def test_gradient_by_finite_differences():
     sizes = layer_sizes(3, (4, 2))
     assert sizes == [3, 4, 2, 2, 4, 3]
