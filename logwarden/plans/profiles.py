@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from logwarden.common import written
 from logwarden.functions import features as ft
-from logwarden.operators import inject, profile, quality
+from logwarden.operators import inject, profile, quality, sketches
 from logwarden.operators.scaling import fit_scale
 from logwarden.operators.neighbours import sequence_table
 from logwarden.plans.base import (
@@ -73,7 +74,34 @@ def _ntz(df, *names):
     return df.withColumns({n: F.col(n).cast("timestamp_ntz") for n in names})
 
 
+def _daily(spark, sf_dir):
+    """Sketches per day, stored and read back."""
+    events = table(spark, sf_dir, "events")
+    return events, written(sketches.daily_sketches(events, "ts", ["value"], ["user_id", "event_id"]), "daily-sketches")
+
+
+def sketched_cut(spark, sf_dir):
+    """The cut-off of all days from stored sketches, and whether its rank is as near as stated."""
+    events, daily = _daily(spark, sf_dir)
+    cut = sketches.sketch_cut(daily, "value", 0.1)
+    # The value itself takes a range of ranks; the nearer end counts.
+    seen = events.agg(F.count("value").alias("n"), F.count_if(F.col("value") < cut).alias("below"), F.count_if(F.col("value") <= cut).alias("upto"))
+    off = F.greatest(F.lit(0.0), F.col("below") / F.col("n") - 0.9, 0.9 - F.col("upto") / F.col("n"))
+    days = daily.agg(F.count(F.lit(1)).alias("days"), F.sum("rows").alias("rows"))
+    return days.crossJoin(seen).select("days", "rows", (off <= sketches.rank_error()).alias("within"))
+
+
+def sketched_distinct(spark, sf_dir):
+    """Distinct users and events of all days from stored sketches, and whether they lie within four standard errors."""
+    events, daily = _daily(spark, sf_dir)
+    exact = events.agg(*[F.countDistinct(c).alias(c) for c in ("user_id", "event_id")]).unpivot([], ["user_id", "event_id"], "column", "exact")
+    near = F.abs(F.col("estimate") - F.col("exact")) <= F.col("exact") * (4 * sketches.distinct_error())
+    return exact.join(sketches.sketch_distinct(daily, ["user_id", "event_id"]), "column").select("column", "exact", near.alias("within"))
+
+
 QUERIES = {
+    "sketched_cut": sketched_cut,
+    "sketched_distinct": sketched_distinct,
     "derive_features": derive_features,
     "host_features": host_features,
     "clamp_bounds": clamp_bounds,
@@ -198,6 +226,9 @@ _CHECK_ROWS = " UNION ALL ".join(f"""SELECT '{n}' AS "column", count(*) FILTER (
                                  for n, x in _CHECKS.items())
 
 ORACLES = {
+    "sketched_cut": "SELECT count(DISTINCT CAST(ts AS DATE)) AS days, CAST(count(*) AS BIGINT) AS rows, true AS within FROM events",
+    "sketched_distinct": """SELECT 'user_id' AS "column", count(DISTINCT user_id) AS exact, true AS within FROM events
+        UNION ALL SELECT 'event_id', count(DISTINCT event_id), true FROM events""",
     "derive_features": f"WITH {FEATS} SELECT row_id, user_id, {r('value')} AS value, {r('k')} AS k, {r('hour')} AS hour, {r('gap')} AS gap FROM feats",
     "host_features": f"""WITH {HOST_EVENTS} SELECT row_id, {r('cpu_usage / (memory_usage + 1e-6::DOUBLE)')} AS cpu_memory_ratio,
         {r('bytes_sent + bytes_received')} AS network_activity,
