@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logwarden.common import kept
+from logwarden.common import kept, written
 from logwarden.detectors.base import RAW, Detector, Model, check_contamination
 from logwarden.operators.buckets import add_bucket
 from logwarden.operators.quantiles import contamination_cut, ranked_values
@@ -75,6 +75,7 @@ class EnsembleModel(Model):
         else:
             cut = self.cut
             if self.threshold_on == "batch":
+                wide = written(wide, "ensemble")  # the search takes several passes, the members score once
                 cut = contamination_cut(wide, score, self.contamination)
             flag = (F.col(score) > F.lit(cut)).cast("int")
         return self._drop_members(wide.withColumn(pred, flag))

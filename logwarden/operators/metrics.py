@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logwarden.common import ratio, require_columns, written
-from logwarden.functions.features import is_class
+from logwarden.functions.features import class_of, is_class
 from logwarden.operators.buckets import add_bucket
 from logwarden.operators.curves import CurveTargets, curve_metrics, score_steps
 
@@ -130,7 +130,7 @@ def alerts_by_day(scored: DataFrame, time: str = "ts", analysts: int = ANALYST_H
         scored.groupBy(day.alias("day"))
         .agg(F.count(F.lit(1)).alias("events"),
              F.count_if(F.col("pred") == 1).alias("alerts"),
-             F.count_if((F.col("pred") == 1) & (F.col("label") == 1)).alias("true_alerts"))
+             F.count_if((class_of("label") == 1) & (F.col("pred") == 1)).alias("true_alerts"))
         .withColumn("alerts_per_analyst", F.col("alerts") / F.lit(float(analysts)))
         .withColumn("over_limit", (F.col("alerts") > max_alerts).cast("int"))
     )
@@ -147,7 +147,9 @@ def precision_at_k(scored: DataFrame, ks: Sequence[int] = PRECISION_K) -> DataFr
     """``precision_at_<k>`` for every requested k; short tables divide by their row count."""
     if not ks or min(ks) < 1:
         raise ValueError("k must be at least 1")
-    top = top_scored(scored.select("row_id", "label", "score"), max(ks))
+    # Checked before the top is taken, so in every row.
+    checked = scored.select("row_id", class_of("label").alias("label"), "score")
+    top = top_scored(checked, max(ks))
     hits = [F.count_if((F.col("rank") <= k) & (F.col("label") == 1)).alias(f"h{k}") for k in ks]
     return top.agg(F.count(F.lit(1)).alias("rows"), *hits).select(*[
         ratio(F.col(f"h{k}"), F.least(F.lit(k), F.col("rows"))).alias(f"precision_at_{k}") for k in ks])
@@ -175,7 +177,7 @@ def threshold_sweep(scored: DataFrame, thresholds: Sequence[float] | None = None
         raise ValueError("a threshold must be a number")
     grid = sorted({t for t in asked if math.isfinite(t)})
     spark = scored.sparkSession
-    placed = add_bucket(scored.select(F.col("score").cast("double").alias("score"), "label"), "score", grid, "gap")
+    placed = add_bucket(scored.select(F.col("score").cast("double").alias("score"), class_of("label").alias("label")), "score", grid, "gap")
     # Below all finite thresholds is level 0, at infinity the last one.
     gaps = placed.withColumn("gap", F.when(F.col("score") == math.inf, F.lit(len(grid) + 1)).otherwise(F.col("gap")))
     counts = gaps.groupBy("gap").agg(F.count_if(F.col("label") == 1).alias("pos"),

@@ -41,7 +41,7 @@ def class_counts(df: DataFrame, label: str = "label") -> DataFrame:
 
 def key_figures(scored: DataFrame) -> DataFrame:
     """Rows, true anomalies, detected anomalies and their shares, in one aggregate."""
-    rows, true, found = F.count(F.lit(1)), F.count_if(F.col("label") == 1), F.count_if(F.col("pred") == 1)
+    rows, true, found = F.count(F.lit(1)), F.count_if(class_of("label") == 1), F.count_if(F.col("pred") == 1)
     right = F.count_if(F.col("label") == F.col("pred"))
     return scored.agg(rows.alias("rows"), true.alias("anomalies"), ratio(true, rows).alias("anomaly_share"),
                       found.alias("detected"), ratio(found, rows).alias("detected_share"),
@@ -120,7 +120,7 @@ def recent_rows(df: DataFrame, n: int = RECENT_ROWS, time: str = "ts", row_id: s
 
 def recent_activity(scored: DataFrame, n: int = RECENT_ROWS, time: str = "ts") -> DataFrame:
     """Flagged and true anomalies among the latest n rows by event time."""
-    rows, found, true = F.count(F.lit(1)), F.count_if(F.col("pred") == 1), F.count_if(F.col("label") == 1)
+    rows, found, true = F.count(F.lit(1)), F.count_if(F.col("pred") == 1), F.count_if(class_of("label") == 1)
     return recent_rows(scored, n, time).agg(
         rows.alias("rows"), found.alias("flagged"), true.alias("anomalies"), ratio(true, rows).alias("anomaly_rate"),
         F.when(found > 0, "ALERT").otherwise("NORMAL").alias("status"))

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from logwarden.common import written
+from logwarden.detectors import make_detector
 from logwarden.functions import features as ft
 from logwarden.operators import inject, profile, quality, sketches
+from logwarden.operators.metrics import precision_at_k
 from logwarden.operators.scaling import fit_scale
 from logwarden.operators.neighbours import sequence_table
 from logwarden.plans.base import (
@@ -99,6 +101,26 @@ def sketched_distinct(spark, sf_dir):
     return exact.join(sketches.sketch_distinct(daily, ["user_id", "event_id"]), "column").select("column", "exact", near.alias("within"))
 
 
+def refused_parameters(spark, sf_dir):
+    """Which of the values found in the order lines are refused as which parameter."""
+    values = [r["v"] for r in table(spark, sf_dir, "lineitem").select(
+        ((F.col("l_discount") * 100).cast("int") / 2 - 1.0).alias("v")).distinct().orderBy("v").collect()]  # eleven discounts
+    scored = scored_events(spark, sf_dir)
+    uses = {"contamination": lambda v: make_detector("deviation", contamination=v), "trees": lambda v: make_detector("isolation_forest", n_trees=v),
+            "samples": lambda v: make_detector("isolation_forest", max_samples=v),
+            "sequence_length": lambda v: sequence_table(scored, ["score"], "user_id", "ts", "row_id", int(v)), "k": lambda v: precision_at_k(scored, [int(v)])}
+
+    def refused(use, value: float) -> bool:
+        try:
+            use(value)
+        except ValueError:
+            return True
+        return False
+
+    kind = "value double, " + ", ".join(f"{name} boolean" for name in uses)
+    return spark.createDataFrame([(v, *[refused(use, v) for use in uses.values()]) for v in values], kind)
+
+
 QUERIES = {
     "sketched_cut": sketched_cut,
     "sketched_distinct": sketched_distinct,
@@ -119,6 +141,9 @@ QUERIES = {
     "key_figures": lambda s, d: rounded(profile.key_figures(scored_events(s, d))),
     "distinct_counts": lambda s, d: profile.distinct_counts(table(s, d, "events"), ["user_id", "event_type"]),
     "validate_table": lambda s, d: quality.validate_table(host_lineitem(s, d)),
+    "validate_missing_column": lambda s, d: quality.validate_table(host_lineitem(s, d).drop("cpu_usage")),
+    "validate_no_numbers": lambda s, d: quality.validate_table(table(s, d, "events").select("event_type", "ts")),
+    "refused_parameters": refused_parameters,
     "missing_values": lambda s, d: quality.missing_cells(host_lineitem(s, d)),
     "iqr_outliers": lambda s, d: rounded(quality.iqr_outliers(log_features(s, d), FEATURES), 4),
     "iqr_outlier_rows": lambda s, d: _outlier_rows(s, d),
@@ -225,6 +250,15 @@ _CHECK_ROWS = " UNION ALL ".join(f"""SELECT '{n}' AS "column", count(*) FILTER (
     count(*) FILTER (isinf({x})) AS infinite, count(*) FILTER ({x} < 0) AS negative FROM lineitem"""
                                  for n, x in _CHECKS.items())
 
+def _findings_sql(columns: list[str]) -> str:
+    return f"""WITH {HOST_LINEITEM}, i AS ({_iqr_sql(columns, 'host')}),
+        nul AS (SELECT CAST({' + '.join(f'count(*) FILTER ({c} IS NULL)' for c in columns)} AS BIGINT) AS n FROM host)
+        SELECT 'warning' AS severity, 'missing_values' AS "check", CAST(NULL AS VARCHAR) AS "column", n,
+            'Found ' || n || ' missing values' AS detail FROM nul WHERE n > 0
+        UNION ALL SELECT 'warning', 'outliers', "column", outliers, 'Found ' || outliers || ' outliers in column ' || "column"
+            FROM i WHERE outliers > 0"""
+
+
 ORACLES = {
     "sketched_cut": "SELECT count(DISTINCT CAST(ts AS DATE)) AS days, CAST(count(*) AS BIGINT) AS rows, true AS within FROM events",
     "sketched_distinct": """SELECT 'user_id' AS "column", count(DISTINCT user_id) AS exact, true AS within FROM events
@@ -256,12 +290,16 @@ ORACLES = {
         {r('count(*) FILTER (pred = label)::DOUBLE / count(*)')} AS accuracy FROM scored""",
     "distinct_counts": """SELECT count(DISTINCT user_id) AS distinct_user_id, count(DISTINCT event_type) AS distinct_event_type
         FROM events""",
-    "validate_table": f"""WITH {HOST_LINEITEM}, i AS ({_iqr_sql(_HOST, 'host')}),
-        nul AS (SELECT CAST({' + '.join(f'count(*) FILTER ({c} IS NULL)' for c in _HOST)} AS BIGINT) AS n FROM host)
-        SELECT 'warning' AS severity, 'missing_values' AS "check", CAST(NULL AS VARCHAR) AS "column", n,
-            'Found ' || n || ' missing values' AS detail FROM nul WHERE n > 0
-        UNION ALL SELECT 'warning', 'outliers', "column", outliers, 'Found ' || outliers || ' outliers in column ' || "column"
-            FROM i WHERE outliers > 0""",
+    "validate_table": _findings_sql(_HOST),
+    "validate_missing_column": _findings_sql([c for c in _HOST if c != "cpu_usage"])
+    + " UNION ALL SELECT 'error', 'required_column', 'cpu_usage', 1, 'Missing required column: cpu_usage'",
+    "validate_no_numbers": """SELECT 'error' AS severity, 'required_column' AS "check", c AS "column", CAST(1 AS BIGINT) AS n,
+            'Missing required column: ' || c AS detail FROM (SELECT unnest(['cpu_usage', 'memory_usage']) AS c) t
+        UNION ALL SELECT 'warning', 'numeric_columns', NULL, 0, 'No numeric columns found'
+        UNION ALL SELECT 'warning', 'missing_values', NULL, n, 'Found ' || n || ' missing values' FROM (
+            SELECT count(*) FILTER (event_type IS NULL) + count(*) FILTER (ts IS NULL) AS n FROM events) m WHERE n > 0""",
+    "refused_parameters": """SELECT v AS "value", v <= 0 OR v >= 1 AS contamination, v < 1 AS trees, v < 2 AS samples, v < 2 AS sequence_length, v < 1 AS k
+        FROM (SELECT DISTINCT CAST(l_discount * 100 AS INTEGER) / 2 - 1.0::DOUBLE AS v FROM lineitem) t""",
     "missing_values": f"""WITH {HOST_LINEITEM}
         SELECT CAST({' + '.join(f'count(*) FILTER ({c} IS NULL)' for c in _HOST)} AS BIGINT) AS missing FROM host""",
     "iqr_outliers": f"""WITH {FEATS}, i AS ({_iqr_sql(FEATURES, 'feats')}) SELECT "column", {r('q1', 4)} AS q1, {r('q3', 4)} AS q3,

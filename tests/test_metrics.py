@@ -1,4 +1,6 @@
 import pytest
+from pyspark.sql import functions as F
+
 
 from logwarden.operators import metrics
 from tests.test_curves import scored
@@ -48,3 +50,16 @@ def test_confusion_matrix_has_all_cells(spark):
     cells = {(r["label"], r["pred"]): r["n"]
              for r in metrics.confusion_matrix(scored(spark, LABEL, [0.0] * 10, [0] * 10)).collect()}
     assert cells == {(0, 0): 6, (0, 1): 0, (1, 0): 4, (1, 1): 0}
+
+
+def test_labels_outside_the_classes_are_refused(spark):
+    from logwarden.operators import profile
+    from logwarden.operators.metrics import alerts_by_day, precision_at_k, threshold_sweep
+
+    for wrong in (2, None):
+        rows = spark.createDataFrame([(1, 0, 5.0), (2, 1, 4.0), (3, wrong, 0.5)], "row_id long, label int, score double")
+        rows = rows.withColumn("pred", F.lit(1)).withColumn("ts", F.timestamp_seconds("row_id"))
+        for use in (lambda d: precision_at_k(d, [1]), lambda d: threshold_sweep(d, [1.0]), alerts_by_day, profile.key_figures, profile.recent_activity):
+            with pytest.raises(Exception, match="label is not 0 or 1"):
+                use(rows).collect()
+            assert use(rows.where("label in (0, 1)")).count() == 1
