@@ -17,6 +17,7 @@ main part or body, and a page that is empty after that is read again without cut
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -65,8 +66,9 @@ REMARKS = frozenset("comment comments commentlist disqus respond replies reply d
 # Words that make a name speak of the layout around an element: has-sidebar, page-with-banner.
 LAYOUT = frozenset("has no with without layout".split())
 LIKELY = frozenset("article body content entry main page post text blog story".split())
-TAG = re.compile(r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z)|<[!?][^>]*(?:>|\Z)|</[^>]*(?:>|\Z)", re.S)
-LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(>|\Z)", re.S)
+TAG = re.compile(r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)|<[!?][^>]*(?:>|\Z)|</[^>]*(?:>|\Z)", re.S)
+CLOSED = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
+STOP = re.compile("[>\"']")
 ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 SPLIT_NAME = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])")
 COMMAS = re.compile("[,،、，]")
@@ -78,8 +80,36 @@ class Page:
 
     def __init__(self, html: str):
         self.tags, self.parents, self.attributes, self.children = ["#root"], [-1], [""], [[]]
+        self._last: dict[str, int] | None = None  # where the last quote of each kind stands, once a tag did not end
+        self._stray: set[int] = set()  # opening quotes from which no tag end is reached
+        self._open_tags: Counter[str] = Counter()
         self._read(html)
 
+    def _tag_end(self, html: str, spot: int) -> int:
+        """Where the tag ends whose attributes begin at ``spot``.
+
+        That is after the first ``>`` outside quotes; without one, as when a quote never ends, after the first of all,
+        so that the quote does not swallow the page. Quotes found to lead nowhere are remembered, and no quote is
+        tried twice, so a page of open quotes takes time in proportion to its length.
+        """
+        if self._last is None:
+            found = CLOSED.match(html, spot)
+            if found:
+                return found.end()
+            self._last = {q: html.rfind(q) for q in "\"'"}
+        at, passed = spot, []
+        while (stop := STOP.search(html, at)) is not None:
+            at = stop.start()
+            if html[at] == ">":
+                return at + 1
+            if at in self._stray or at >= self._last[html[at]]:
+                break
+            passed.append(at)
+            at = html.find(html[at], at + 1) + 1
+        self._stray.update(passed)
+        first = html.find(">", spot)
+        return first + 1 if first >= 0 else len(html)
+
     def _open(self, tag: str, attributes: str, parent: int) -> int:
         self.tags.append(tag)
         self.parents.append(parent)
@@ -103,13 +133,12 @@ class Page:
             name = found.group(2)
             if name is None:
                 continue
-            if not found.group(4) and found.group(3).count('"') + found.group(3).count("'") > 0:
-                # A quote that never ends must not swallow the page.
-                found = LOOSE_TAG.match(html, found.start()) or found
-                spot = found.end()
+            begin, spot = spot, self._tag_end(html, spot)
+            attributes = html[begin:spot - 1] if html[spot - 1] == ">" and spot > begin else html[begin:spot]
             tag = name.lower()
             if found.group(1):
-                self._close(stack, tag)
+                if self._open_tags[tag]:
+                    self._close(stack, tag)
                 continue
             if tag in ENDS:
                 ended, stop = ENDS[tag]
@@ -118,19 +147,19 @@ class Page:
                     if open_tag in stop:
                         break
                     if open_tag in ended:
-                        del stack[depth:]
+                        self._pop(stack, depth)
                         if tag != "tr":
                             break
             if tag in CLOSES_P:
                 for depth in range(len(stack) - 1, 0, -1):
                     open_tag = tags[stack[depth]]
                     if open_tag == "p":
-                        del stack[depth:]
+                        self._pop(stack, depth)
                         break
                     if open_tag in BLOCKS:
                         break
-            at = self._open(tag, found.group(3), stack[-1])
-            if tag in VOID or found.group(3).endswith("/") and tag not in BLOCKS:
+            at = self._open(tag, attributes, stack[-1])
+            if tag in VOID or attributes.endswith("/") and tag not in BLOCKS:
                 continue
             if tag in RAW:
                 if lower is None:
@@ -138,15 +167,21 @@ class Page:
                 end = lower.find("</" + tag, spot)
                 spot = len(html) if end < 0 else end
             stack.append(at)
+            self._open_tags[tag] += 1
         if spot < len(html):
             children[stack[-1]].append(unescape(html[spot:]))
 
+    def _pop(self, stack: list[int], depth: int) -> None:
+        for at in stack[depth:]:
+            self._open_tags[self.tags[at]] -= 1
+        del stack[depth:]
+
     def _close(self, stack: list[int], tag: str) -> None:
         block = tag in BLOCKS
         for depth in range(len(stack) - 1, 0, -1):
             open_tag = self.tags[stack[depth]]
             if open_tag == tag:
-                del stack[depth:]
+                self._pop(stack, depth)
                 return
             if not block and open_tag in BLOCKS:
                 return  # an inline end tag stays within its block
@@ -170,12 +205,24 @@ def _furniture_words(attributes: dict[str, str]) -> set[str]:
     return {w for name in names if not name & LAYOUT for w in name & (WORDS | HEADER_WORDS)}
 
 
-def _weights(page: Page) -> tuple[list[int], list[bool]]:
-    """Per element: characters of paragraphs, or of all text on a page without them, and whether an article or main part lies in it."""
+def _page_forms(page: Page) -> frozenset[int]:
+    """Forms that stand around the article, as on pages built as one form: most of the paragraphs, or an article, lie in them."""
+    forms = frozenset(at for at, tag in enumerate(page.tags) if tag == "form")
+    if not forms:
+        return forms
+    prose, holds = _weights(page, forms)
+    return frozenset(at for at in forms if 2 * prose[at] > prose[0] or holds[at])
+
+
+def _weights(page: Page, forms: frozenset[int] = frozenset()) -> tuple[list[int], list[bool]]:
+    """Per element: characters of paragraphs, or of all text on a page without them, and whether an article or main part lies in it.
+
+    ``forms`` are read like any container.
+    """
     n = len(page.tags)
     prose, text, holds = [0] * n, [0] * n, [False] * n
     for at in range(n - 1, -1, -1):
-        if page.tags[at] in FURNITURE:
+        if page.tags[at] in FURNITURE and at not in forms:
             continue
         for child in page.children[at]:
             if isinstance(child, str):
@@ -193,6 +240,7 @@ def _cut(page: Page, by_words: bool = True) -> tuple[list[bool], list[float]]:
     """Which elements are furniture, or lie in it, and the points that a container starts with."""
     n = len(page.tags)
     weights: tuple[list[int], list[bool]] | None = None
+    forms = _page_forms(page)
     gone, start = [False] * n, [0.0] * n
     inside = [False] * n  # an article or main part
     heading = [False] * n  # holds a headline
@@ -204,7 +252,7 @@ def _cut(page: Page, by_words: bool = True) -> tuple[list[bool], list[float]]:
     for at in range(1, n):
         tag, parent = page.tags[at], page.parents[at]
         inside[at] = inside[parent] or tag in ("article", "main")
-        if gone[parent] or tag in FURNITURE:
+        if gone[parent] or tag in FURNITURE and at not in forms:
             gone[at] = True
             continue
         if tag == "header":
@@ -219,7 +267,7 @@ def _cut(page: Page, by_words: bool = True) -> tuple[list[bool], list[float]]:
                              or named.get("aria-hidden") == "true" or "display:none" in style or "visibility:hidden" in style)
                 found = _furniture_words(named) if by_words and not gone[at] and words & (WORDS | HEADER_WORDS) else set()
                 if found & WORDS or found and not (inside[parent] and heading[at]):
-                    prose, holds = weights = weights or _weights(page)
+                    prose, holds = weights = weights or _weights(page, forms)
                     most = 2 * prose[at] > prose[0] and not found & REMARKS
                     # Comments can outgrow the article, and may be articles themselves.
                     gone[at] = not (most or holds[at] and not found & REMARKS)
