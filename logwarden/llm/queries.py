@@ -50,7 +50,9 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))"""
 def op4_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = bwt_dedup.remove(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
-                        F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+                        F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+                        # A cut can part the bytes of a character; what is left of it shows as U+FFFD.
+                        F.make_valid_utf8(F.col("kept").cast("string")).alias("kept_text"))
 
 
 def op5_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
