@@ -8,7 +8,8 @@ an ``endpoint`` (address with a host). Names may follow a prefix that ends in ``
 complementary parts stand within ``reach`` code points of each other in one text, the scope:
 
 * an identifier with a secret (weak or strong) in scope,
-* a weak secret with an identifier or an endpoint in scope,
+* a weak secret with an identifier or an endpoint in scope; where its value may be an ordinary word (up to 16
+  letters, no digit, symbol or mixed case), only with an identifier, as prose has words beside addresses,
 * an endpoint with both an identifier and a secret in scope.
 
 Parts become intervals of code points. Each interval, widened by the reach, is put into bins of
@@ -23,6 +24,8 @@ it and not reported again; positions are code points, ends exclusive.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,33 +50,44 @@ WEAK = {
     "endpoint": ("place", "(?<![A-Za-z0-9])(?:[a-z][a-z0-9+.-]{1,15}://[A-Za-z0-9][^\\x20\"'<>\\x09-\\x0D]*"
                           "|(?i:host|endpoint|server)[\"']?\\x20*[:=]\\x20*[\"']?[A-Za-z0-9][A-Za-z0-9.:-]+)"),
 }
-
+# A named value that may well be an ordinary word: letters of one case, or capitalised, up to sentence marks.
+PLAIN_VALUE = "[:=]\\x20*[\"']?[(\\[]?(?:\\p{Lu}?[\\p{Ll}\\p{Lo}\\p{M}'\u2019-]{0,15}|\\p{Lu}{1,16})[.,;:!?)\\]]*$"
+CHUNK = 1024
 
 PART = "struct<start:bigint,rank:int,end:bigint,kind:string,role:string>"
 
 
-def _spans(text: Column, pattern: str, rank: int, kind: str, role: str, keep=None) -> Column:
-    """All matches of a pattern as structs of start, rank, end, kind, role; ``keep`` judges a matched string.
+def _running(values: Column, add: Callable[[Column, Column], Column]) -> Column:
+    """Running totals of an array. Each step doubles how far a total reaches, so n values take n log n work."""
+    steps = F.array(*[F.lit(1 << k) for k in range(31)])
+    return let(values, lambda v: F.aggregate(
+        F.filter(steps, lambda w: w < F.size(v)), v,
+        lambda s, w: F.transform(s, lambda x, i: F.when(i >= w, add(F.get(s, i - w), x)).otherwise(x))))
+
+
+def _spans(text: Column, pattern: str, rank: int, kind: str, role: Callable[[Column], Column],
+           keep: Callable[[Column], Column] | None = None) -> Column:
+    """All matches of a pattern as structs of start, rank, end, kind, role; ``role`` and ``keep`` judge a matched string.
 
-    The text between matches comes from splitting at the pattern, so starts are running lengths.
+    The text between matches comes from splitting at the pattern, so ends are running lengths.
     """
     empty = F.array().cast(f"array<{PART}>")
 
-    def part(s: Column, x: Column) -> Column:
-        start = s["at"] + x["gap"]
-        return F.struct(start.alias("start"), F.lit(rank).alias("rank"), (start + x["size"]).alias("end"),
-                        F.lit(kind).alias("kind"), F.lit(role).alias("role"))
-
     def placed(found: Column) -> Column:
         def lay(gaps: Column) -> Column:
-            sizes = F.transform(found, lambda m, i: F.struct(
-                F.length(F.get(gaps, i)).cast("bigint").alias("gap"), F.length(m).cast("bigint").alias("size"),
-                (keep(m) if keep else F.lit(True)).alias("ok")))
-            return F.aggregate(
-                sizes, F.struct(F.lit(0).cast("bigint").alias("at"), empty.alias("out")),
-                lambda s, x: F.struct((s["at"] + x["gap"] + x["size"]).alias("at"),
-                                      F.when(x["ok"], F.concat(s["out"], F.array(part(s, x)))).otherwise(s["out"]).alias("out")),
-                lambda s: s["out"])
+            sizes = F.transform(found, lambda m, i: (F.length(F.get(gaps, i)) + F.length(m)).cast("bigint"))
+
+            def parts_at(ends: Column) -> Column:
+                def part(m: Column, i: Column) -> Column:
+                    end = F.get(ends, i)
+                    made = F.struct((end - F.length(m)).alias("start"), F.lit(rank).alias("rank"), end.alias("end"),
+                                    F.lit(kind).alias("kind"), role(m).alias("role"))
+                    return F.when(keep(m), made) if keep else made
+
+                made = F.transform(found, part)
+                return (F.array_compact(made) if keep else made).cast(f"array<{PART}>")
+
+            return let(_running(sizes, lambda a, b: a + b), parts_at)
 
         return F.when(F.size(found) > 0, let(F.split(text, pattern, -1), lay)).otherwise(empty)
 
@@ -82,12 +96,18 @@ def _spans(text: Column, pattern: str, rank: int, kind: str, role: str, keep=Non
 
 def parts(text: Column) -> Column:
     """All strong and weak parts of a text; the rank is the place of the kind in the lists above."""
+    def always(role: str) -> Callable[[Column], Column]:
+        return lambda m: F.lit(role)
+
+    def word_or(role: str) -> Callable[[Column], Column]:
+        return lambda m: F.when(m.rlike(PLAIN_VALUE), F.lit("word")).otherwise(F.lit(role))
+
     # Maximal runs of 32 digits, or 16 characters, are what the open patterns match and keep.
     strong = [
-        _spans(text, ASSIGN, 0, "assign", "secret", lambda m: F.length(F.regexp_extract(m, ASSIGN, 2)) >= 8),
-        _spans(text, ACCESS.replace("]+", "]{12,}"), 1, "access", "id"),
-        _spans(text, HEX.replace("]+", "]{32,}"), 2, "hex", "secret")]
-    weak = [_spans(text, pattern, len(STRONG) + k, kind, role) for k, (kind, (role, pattern)) in enumerate(WEAK.items())]
+        _spans(text, ASSIGN, 0, "assign", always("secret"), lambda m: F.length(F.regexp_extract(m, ASSIGN, 2)) >= 8),
+        _spans(text, ACCESS.replace("]+", "]{12,}"), 1, "access", always("id")),
+        _spans(text, HEX.replace("]+", "]{32,}"), 2, "hex", always("secret"))]
+    weak = [_spans(text, pattern, len(STRONG) + k, kind, word_or(role) if kind == "pass" else always(role)) for k, (kind, (role, pattern)) in enumerate(WEAK.items())]
     return F.concat(*strong, *weak)
 
 
@@ -108,13 +128,13 @@ def _linked(rows: DataFrame, reach: int) -> DataFrame:
         return F.coalesce(F.col("p.start") - left < distance, F.lit(False)) | F.coalesce(right - F.col("p.end") < distance, F.lit(False))
 
     seen = spread.select("doc_id", "digest", "p", near(F.col("p.role") == "id", reach + 1).alias("by_id"),
-                         near(F.col("p.role") == "secret", reach + 1).alias("by_secret"),
+                         near(F.col("p.role").isin("secret", "word"), reach + 1).alias("by_secret"),
                          near(F.col("p.role") == "place", reach + 1).alias("by_place"),
                          near(F.col("p.rank") < len(STRONG), 0).alias("inside"))
     # Intervals within reach of each other share a bin; what one bin shows holds for the part.
     whole = seen.groupBy("doc_id", "digest", "p").agg(*[F.bool_or(c).alias(c) for c in ("by_id", "by_secret", "by_place", "inside")])
     role = F.col("p.role")
-    complete = (F.when(role == "id", F.col("by_secret")).when(role == "secret", F.col("by_id") | F.col("by_place"))
+    complete = (F.when(role == "id", F.col("by_secret")).when(role == "word", F.col("by_id")).when(role == "secret", F.col("by_id") | F.col("by_place"))
                 .otherwise(F.col("by_id") & F.col("by_secret")))
     return whole.select("doc_id", "digest", "p", ((F.col("p.rank") < len(STRONG)) | (complete & ~F.col("inside"))).alias("linked"))
 
@@ -148,17 +168,26 @@ def redact(docs: DataFrame, mark: str = "[REDACTED]", reach: int = REACH) -> Dat
     met = own.join(found.hint("shuffle_hash"), own["doc_id"].eqNullSafe(found[own_id]) & (own[digest] == found[own_digest]), "left")
     spans = found[own_spans]
 
-    def cleaned(spans: Column) -> Column:
-        start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
-        def step(s: Column, x: Column) -> Column:
-            gap = F.substring(text, (s["at"] + 1).cast("int"), (x["start"] - s["at"]).cast("int"))
-            fresh = (x["start"] >= s["at"]) & ((x["start"] > s["at"]) | (F.size(s["out"]) == 0))
-            return F.struct(F.greatest(s["at"], x["end"]).alias("at"),
-                            F.when(fresh, F.concat(s["out"], F.array(gap, F.lit(mark)))).otherwise(s["out"]).alias("out"))
-        return F.aggregate(spans, start, step, lambda s: F.concat(
-            F.array_join(s["out"], ""), F.substring(text, (s["at"] + 1).cast("int"), F.lit(2**31 - 1))))
-
-    clean = F.when(spans.isNull(), docs["text"]).otherwise(cleaned(spans))
+    def cleaned(chunks: Column) -> Column:
+        size = F.lit(CHUNK).cast("bigint")
+
+        def stretch(start: Column, end: Column) -> Column:
+            """Code points start to end; only the chunks they lie in are read."""
+            first, last = F.call_function("div", start, size), F.call_function("div", end, size)
+            near = F.array_join(F.slice(chunks, (first + 1).cast("int"), (last - first + 1).cast("int")), "")
+            return F.substring(near, (start - first * size + 1).cast("int"), (end - start).cast("int"))
+
+        def marked(ends: Column) -> Column:
+            # A run of spans that overlap or touch becomes one mark; the text before each run stays.
+            fresh = F.array_compact(F.transform(spans, lambda x, i: F.when((i == 0) | (x["start"] > F.get(ends, i - 1)), F.struct(
+                F.when(i == 0, F.lit(0)).otherwise(F.get(ends, i - 1)).cast("bigint").alias("from"), x["start"].alias("to")))))
+            kept = F.transform(fresh, lambda g: F.concat(stretch(g["from"], g["to"]), F.lit(mark)))
+            tail = stretch(F.get(ends, F.size(ends) - 1), F.length(text).cast("bigint"))
+            return F.concat(F.array_join(kept, ""), tail)
+
+        return let(_running(F.transform(spans, lambda x: x["end"]), F.greatest), marked)
+
+    clean = F.when(spans.isNull(), docs["text"]).otherwise(let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0)), cleaned))
     size = F.when(spans.isNull(), docs["n_chars"]).otherwise(F.length(clean)) if "n_chars" in docs.columns else None
     return met.select([clean.alias(c) if c == "text" else size.cast(dict(docs.dtypes)[c]).alias(c) if c == "n_chars" else docs[c]
                        for c in docs.columns])
