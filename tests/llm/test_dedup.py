@@ -45,6 +45,40 @@ def test_exact_state_continues(spark, tmp_path):
     assert [(bytes(r["_digest"]), r.keep.doc_id, r.group_size) for r in hit] == [(b"a", 9, 2)]
 
 
+@pytest.mark.parametrize("weak", [False, True])
+def test_exact_calls_continue(spark, tmp_path, weak):
+    """Three inputs, one of them twice, against plain groups of all rows so far; also with digests that collide."""
+    settings = {"digest": lambda t: F.unhex(F.substring(F.sha2(t.cast("binary"), 256), 1, 2))} if weak else {}
+    state, seen = str(tmp_path / "state"), {}
+
+    def call(name):
+        path = str(tmp_path / name)
+        got = stream_dedup.flagged(stream_dedup.groups(spark.read.parquet(path), state, 1, **settings)).collect()
+        same, largest = Counter(), {}
+        for rows in seen.values():
+            for i, t in rows:
+                same[t or ""] += 1
+                largest[t or ""] = max(largest.get(t or "", -1), low(i))
+        expect = Counter((low(i), largest[t or ""], same[t or ""]) for i, t in seen[name])
+        assert Counter((low(r.doc_id), low(r.keep_id), r.group_size) for r in got) == expect
+
+    for name, rows in (("a", ROWS[:30]), ("b", ROWS[20:]), ("c", [(500 + low(i), t) for i, t in ROWS[5:25]])):
+        frame(spark, rows).repartition(2).write.parquet(str(tmp_path / name))
+        seen[name] = rows
+        call(name)
+    call("b")
+    call("a")
+
+
+def test_exact_calls_without_files(spark, tmp_path):
+    state = str(tmp_path / "state")
+    first = stream_dedup.deduplicate(frame(spark, [(1, "a"), (2, "a"), (3, "b")]), state)
+    assert sorted(r.doc_id for r in first.collect()) == [2, 3]
+    later = stream_dedup.deduplicate(frame(spark, [(0, "a"), (9, "b"), (4, "c")]), state)
+    assert sorted(r.doc_id for r in later.collect()) == [4, 9]
+    assert stream_dedup.deduplicate(frame(spark, ROWS).limit(0), state).count() == 0
+
+
 def test_exact_stays(spark):
     docs = frame(spark, ROWS)
     kept = stream_dedup.deduplicate(docs)
