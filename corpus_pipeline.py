@@ -1,4 +1,11 @@
-"""The text pipeline: stages in order, each reading the whole result of the one before."""
+"""The text pipeline: stages in order, each reading the whole result of the one before.
+
+Defined cases: a null text counts as empty in every stage and stays null in what a stage hands on;
+rows with a null doc_id are scored, compared and packed like others, and stay only where no row with
+an id stays for them; of rows equal in doc_id and text one stays; empty tables give empty results;
+without labels of both classes the classifier gives every document the smoothed share of good labels,
+one half if there are none; extra columns are handed on as they are, whatever their names, to the last stage.
+"""
 
 from __future__ import annotations
 
