@@ -1,16 +1,23 @@
 """Packing of documents into training windows by lexical retrieval.
 
 Documents are tokenised once and their ids written. Document frequencies over the whole corpus, one
-number per vocabulary entry, give the BM25 weights. A hash of the document deals the rows into
-shards of about ``shard_tokens`` ids; each shard holds an inverted index of its documents. A window
+number per vocabulary entry, give the BM25 weights. Documents are dealt into shards by content: a
+min-hash weighted by these picks one telling term of each document, terms lie on a line as long as
+their documents together, and the line is cut into shards of about ``shard_tokens``, so documents
+with the same term meet and a term of any share of the corpus spreads over as many shards as it
+needs. Each shard holds an inverted index of its documents. A window
 starts with a seed document; the index returns the unused documents nearest to it, which fill the
 window in order of their score. The document that no longer fits is cut, and its rest is the next
 seed. Where nothing similar is left, the next unused document is taken, so windows are full; what
 remains at the end of a shard is written as sequences whose lengths are powers of two.
 
+A seed asks with its ``QUERY_TERMS`` most telling terms; the ``POOL`` best documents are scored
+again over all their terms, and any others with a score follow in the order of the first.
+
 Defined cases: null text counts as empty and is packed as its end token alone; a document longer
 than a window fills windows of its own, and its rest is packed like any document; repeated rows are
-packed one by one; an empty table gives no rows; other columns of the input are not touched.
+packed one by one, and spread over shards by their places in the table; an empty table gives no
+rows; other columns of the input are not touched.
 """
 
 from __future__ import annotations
@@ -20,6 +27,7 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -33,7 +41,10 @@ from logwarden.llm.tables import small_batches, whole_text
 WINDOW = 4096
 END = 2
 SHARD_TOKENS = 1 << 23
+ROW_SHARE = 32  # what a row adds to a shard beside its ids, so short rows are not too many
 QUERY_TERMS = 24
+POOL = 64
+SHARPNESS = 2.0  # the power of the inverse document frequency that weighs the min-hash
 K1, B = 1.2, 0.75
 CACHED = 600_000  # chunks kept per generation and worker
 LONGEST_CACHED = 48
@@ -118,7 +129,7 @@ def tokens(path: str) -> Tokens:
 
 
 def tokenised(docs: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
-    """``doc_id, ids, n_tokens`` of every row, and per task how many documents hold each id, both read from the shared folder."""
+    """``doc_id, place, ids, n_tokens`` of every row, and per task how many documents hold each id, both read from the shared folder."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokens(path)
@@ -129,7 +140,7 @@ def tokenised(docs: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
             kind = batch.column(0).type
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                ids = [own.encode(text) for text in part.column(1).to_pylist()]
+                ids = [own.encode(text) for text in part.column(2).to_pylist()]
                 sizes = [len(i) // width for i in ids]
                 # Every (document, id) once: sorted together, a document's number in the upper half.
                 both = np.frombuffer(b"".join(ids), own.kind) + (np.repeat(np.arange(len(ids), dtype=np.uint64), sizes) << np.uint64(32))
@@ -137,23 +148,24 @@ def tokenised(docs: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
                 fresh = both[np.append(True, both[1:] != both[:-1])]
                 seen += np.bincount((fresh & np.uint64(0xFFFFFFFF)).astype(np.int64), minlength=own.size)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(ids, pa.binary()), pa.array(sizes, pa.int64()), pa.nulls(len(ids), pa.binary())],
-                    ["doc_id", "ids", "n_tokens", "seen"])
+                    [part.column(0), part.column(1), pa.array(ids, pa.binary()), pa.array(sizes, pa.int64()), pa.nulls(len(ids), pa.binary())],
+                    ["doc_id", "place", "ids", "n_tokens", "seen"])
         if kind is not None:
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(1, kind), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64()), pa.array([seen.tobytes()], pa.binary())],
-                ["doc_id", "ids", "n_tokens", "seen"])
+                [pa.nulls(1, kind), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64()), pa.array([seen.tobytes()], pa.binary())],
+                ["doc_id", "place", "ids", "n_tokens", "seen"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    shape = f"doc_id {kind}, ids binary, n_tokens bigint, seen binary"
+    shape = f"doc_id {kind}, place bigint, ids binary, n_tokens bigint, seen binary"
     place = work_path(docs.sparkSession, "tokens")
-    small_batches(docs).select(docs["doc_id"], whole_text(docs).alias("t")).mapInArrow(run, shape).write.option("compression", "zstd").parquet(place)
+    texts = small_batches(docs).select(docs["doc_id"], F.monotonically_increasing_id().alias("place"), whole_text(docs).alias("t"))
+    texts.mapInArrow(run, shape).write.option("compression", "zstd").parquet(place)
     found = docs.sparkSession.read.schema(shape).parquet(place)
     return found.where("seen is null").drop("seen"), found.where("seen is not null").select("seen")
 
 
-def corpus_weights(rows: DataFrame, seen: DataFrame, size: int) -> tuple[np.ndarray, int, float]:
-    """Inverse document frequencies of the whole corpus, its ids, and the mean length of a document."""
+def corpus_weights(rows: DataFrame, seen: DataFrame, size: int) -> tuple[np.ndarray, float]:
+    """Inverse document frequencies of the whole corpus, and the mean length of a document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
@@ -171,7 +183,7 @@ def corpus_weights(rows: DataFrame, seen: DataFrame, size: int) -> tuple[np.ndar
     idf = np.zeros(size, np.float32)
     docs = found["docs"].to_numpy(np.float64)
     idf[found["id"].to_numpy(np.int64)] = np.log1p((n - docs + 0.5) / (docs + 0.5))
-    return idf, ids, ids / max(n, 1)
+    return idf, ids / max(n, 1)
 
 
 class Index:
@@ -209,6 +221,28 @@ class Index:
         return np.bincount(np.concatenate([self.docs[c] for c in cuts]),
                            weights=np.concatenate([self.gain[c] for c in cuts]), minlength=self.n)
 
+    def whole_scores(self, doc: int, others: np.ndarray) -> np.ndarray:
+        """Scores of ``others`` over every term of ``doc``."""
+        cuts = [slice(self.bounds[o], self.bounds[o + 1]) for o in others]
+        asked = np.zeros(len(self.starts), bool)
+        asked[self.term[self.bounds[doc]:self.bounds[doc + 1]]] = True
+        gains = np.where(asked[np.concatenate([self.term[c] for c in cuts])], np.concatenate([self.worth[c] for c in cuts]), 0)
+        return np.bincount(np.repeat(np.arange(len(others)), [c.stop - c.start for c in cuts]), weights=gains, minlength=len(others))
+
+    def nearest(self, doc: int, unused: np.ndarray) -> Iterator[int]:
+        """Unused documents that share a telling term with ``doc``, nearest first."""
+        score = self.scores(doc)
+        found = np.flatnonzero((score > 0) & unused)
+        if not len(found):
+            return
+        if len(found) > POOL:
+            parted = np.argpartition(-score[found], POOL - 1)
+            found, rest = found[parted[:POOL]], found[parted[POOL:]]
+        else:
+            rest = found[:0]
+        yield from found[np.lexsort((found, -self.whole_scores(doc, found)))].tolist()
+        yield from rest[np.lexsort((rest, -score[rest]))].tolist()
+
 
 def pack_shard(docs: list[np.ndarray], idf: np.ndarray, mean: float, window: int = WINDOW) -> list[tuple[int, int, int, int, int]]:
     """Pieces ``(document, start, length, sequence, offset)`` of one shard."""
@@ -226,6 +260,12 @@ def pack_shard(docs: list[np.ndarray], idf: np.ndarray, mean: float, window: int
     current: list[tuple[int, int, int]] = []  # document, start, length
     filled = 0
     carried: tuple[int, int, int] | None = None
+
+    def ahead(most: int) -> Iterator[int]:
+        # Read only once the nearest are used up; each document has an id at least.
+        left = order[spot:]
+        yield from left[unused[left]][:most].tolist()
+
     while True:
         if carried is None:
             while spot < len(order) and not unused[order[spot]]:
@@ -237,17 +277,8 @@ def pack_shard(docs: list[np.ndarray], idf: np.ndarray, mean: float, window: int
             carried = (seed, len(docs[seed]) - int(rest[seed]), int(rest[seed]))
         seed = carried[0]
         current, filled, carried = [carried], carried[2], None
-        if filled < window and unused.any():
-            score = index.scores(seed)
-            found = np.flatnonzero((score > 0) & unused)
-            # No more than window candidates can be needed: each has a token at least.
-            if len(found) > window:
-                found = found[np.argpartition(-score[found], window - 1)[:window]]
-            near = found[np.lexsort((found, -score[found]))]
-            ahead = order[spot:][unused[order[spot:]]][:window - filled]
-            for doc in (*near.tolist(), *ahead.tolist()):
-                if filled == window:
-                    break
+        if filled < window:
+            for doc in chain(index.nearest(seed, unused), ahead(window - filled)):
                 if not unused[doc]:
                     continue
                 unused[doc] = False
@@ -257,6 +288,8 @@ def pack_shard(docs: list[np.ndarray], idf: np.ndarray, mean: float, window: int
                 filled += taken
                 if taken < size:
                     carried = (doc, start + taken, size - taken)
+                if filled == window:
+                    break
         if filled < window:
             break
         offset = 0
@@ -280,11 +313,65 @@ def pack_shard(docs: list[np.ndarray], idf: np.ndarray, mean: float, window: int
     return out
 
 
+def term_order(idf: np.ndarray, sharpness: float = SHARPNESS) -> np.ndarray:
+    """The place of every term in one random order in which telling terms tend to come first.
+
+    The first term of a document in this order is its weighted min-hash: two documents have it in common
+    with the chance that is the weighted share of their common terms.
+    """
+    mixed = (np.arange(len(idf), dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        mixed = (mixed ^ (mixed >> np.uint64(shift))) * np.uint64(factor)
+    drawn = ((mixed ^ (mixed >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) + 1
+    weight = np.maximum(idf.astype(np.float64), 0) ** sharpness
+    weight[END] = 0
+    late = np.divide(-np.log(drawn / 2.0**53), weight, out=np.full(len(idf), np.inf), where=weight > 0)
+    places = np.empty(len(idf), np.int32)
+    places[np.argsort(late, kind="stable")] = np.arange(len(idf), dtype=np.int32)
+    return places
+
+
+def first_places(ids: pa.Array, places: np.ndarray, kind: np.dtype) -> np.ndarray:
+    """The least place of the terms of every document."""
+    wide = np.int64 if pa.types.is_large_binary(ids.type) else np.int32
+    starts = np.frombuffer(ids.buffers()[1], wide)[ids.offset:ids.offset + len(ids) + 1].astype(np.int64) // kind.itemsize
+    flat = np.frombuffer(ids.buffers()[2], kind, count=int(starts[-1]))[starts[0]:]
+    return np.minimum.reduceat(places[flat], starts[:-1] - starts[0]) if len(ids) else np.empty(0, np.int32)
+
+
+def dealt(rows: DataFrame, idf: np.ndarray, kind: np.dtype, shard_tokens: int) -> DataFrame:
+    """``rows`` with ``shard``: documents of one telling term side by side, shards of nearly equal size."""
+    places = rows.sparkSession.sparkContext.broadcast(term_order(idf))
+
+    @F.arrow_udf("int")
+    def term(ids: pa.Array) -> pa.Array:
+        return pa.array(first_places(ids, places.value, kind), pa.int32())
+
+    size = F.col("n_tokens") + ROW_SHARE
+    # One row per vocabulary entry at most, whatever the corpus.
+    found = rows.select(term("ids").alias("term"), size.alias("size")).groupBy("term").agg(F.sum("size").alias("size")).toPandas()
+    sizes = np.zeros(len(idf), np.float64)
+    sizes[found["term"].to_numpy(np.int64)] = found["size"].to_numpy(np.float64)
+    total = sizes.sum()
+    shards = max(1, math.ceil(total / shard_tokens))
+    line = rows.sparkSession.sparkContext.broadcast((np.cumsum(sizes) - sizes, sizes))
+
+    @F.arrow_udf("bigint")
+    def shard(ids: pa.Array, along: pa.Array) -> pa.Array:
+        found = first_places(ids, places.value, kind)
+        starts, lengths = line.value
+        spot = starts[found] + lengths[found] * along.to_numpy(zero_copy_only=False)
+        return pa.array(np.minimum((spot * (shards / total)).astype(np.int64), shards - 1), pa.int64())
+
+    # Where a row lies among those of its term; equal rows are told apart by their written places.
+    along = F.pmod(F.xxhash64("doc_id", "ids", "place"), F.lit(1 << 53)) / F.lit(float(1 << 53))
+    return rows.withColumn("shard", shard("ids", along))
+
+
 def pack(docs: DataFrame, path: str, shard_tokens: int = SHARD_TOKENS, window: int = WINDOW) -> DataFrame:
     """``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset`` for every piece of every document."""
     rows, seen = tokenised(docs, path)
-    idf, total, mean = corpus_weights(rows, seen, tokens(path).size)
-    shards = max(1, math.ceil(total / shard_tokens))
+    idf, mean = corpus_weights(rows, seen, tokens(path).size)
     weights = docs.sparkSession.sparkContext.broadcast(idf)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -303,5 +390,5 @@ def pack(docs: DataFrame, path: str, shard_tokens: int = SHARD_TOKENS, window: i
             "ids_crc32": pa.array(crc, pa.int64()), "doc_tokens": pa.array(whole, pa.int64()),
             "sequence_id": pa.array([(shard << 32) + s for s in sequence], pa.int64()), "offset": pa.array(offset, pa.int64())})
 
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "ids", F.lit(17)), F.lit(shards)).cast("bigint"))
-    return dealt.groupBy("shard").applyInArrow(run, f"doc_id {kind}, {PIECE}")
+    parts = dealt(rows, idf, tokens(path).kind, shard_tokens).select("doc_id", "ids", "shard")
+    return parts.groupBy("shard").applyInArrow(run, f"doc_id {kind}, {PIECE}")

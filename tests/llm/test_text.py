@@ -271,6 +271,83 @@ def test_neighbours_share_a_window():
     assert first > 0.9 * 4000
 
 
+def shard_of(seed, n, vocabulary=400, longest=20):
+    """Short documents of Zipf-like terms, with the weights of their corpus."""
+    draw = np.random.default_rng(seed)
+    docs = [np.append(np.minimum(10 + draw.zipf(1.3, draw.integers(1, longest)), vocabulary - 1), lexical_packing.END).astype(np.uint16) for _ in range(n)]
+    df = np.zeros(vocabulary)
+    for d in docs:
+        df[np.unique(d)] += 1
+    return docs, np.log1p((n - df + 0.5) / (df + 0.5)).astype(np.float32), sum(map(len, docs)) / n
+
+
+def plain_bm25(docs, idf, mean, seed):
+    scores = []
+    for d in docs:
+        tf = Counter(d.tolist())
+        norm = 1.2 * (1 - 0.75 + 0.75 * len(d) / mean)
+        scores.append(sum(float(idf[t]) * tf[t] * 2.2 / (tf[t] + norm) for t in set(docs[seed].tolist()) - {lexical_packing.END} if t in tf))
+    return scores
+
+
+def test_nearest_is_plain_bm25(monkeypatch):
+    """With a pool that holds the shard the order is that of plain BM25; with a small one its head holds exact scores too."""
+    docs, idf, mean = shard_of(3, 120)
+    index = lexical_packing.Index(docs, idf, mean)
+    monkeypatch.setattr(lexical_packing, "POOL", len(docs))
+    for seed in range(0, len(docs), 7):
+        unused = np.arange(len(docs)) % 3 != 1
+        unused[seed] = False
+        plain = plain_bm25(docs, idf, mean, seed)
+        found = list(index.nearest(seed, unused))
+        assert sorted(found) == [i for i in range(len(docs)) if unused[i] and plain[i] > 0]
+        assert [plain[i] for i in found] == pytest.approx(sorted((plain[i] for i in found), reverse=True), rel=1e-5)
+    monkeypatch.setattr(lexical_packing, "POOL", 5)
+    again = list(index.nearest(seed, unused))
+    assert sorted(again) == sorted(found)
+    assert again[:5] == [i for i in found if i in again[:5]]
+
+
+def test_asking_with_few_terms_scores_again_with_all(monkeypatch):
+    docs, idf, mean = shard_of(4, 80, longest=60)
+    index = lexical_packing.Index(docs, idf, mean)
+    monkeypatch.setattr(lexical_packing, "QUERY_TERMS", 4)
+    unused = np.ones(len(docs), bool)
+    for seed in range(0, len(docs), 5):
+        found = list(index.nearest(seed, unused))[:lexical_packing.POOL]
+        plain = plain_bm25(docs, idf, mean, seed)
+        assert index.whole_scores(seed, np.array(found)).tolist() == pytest.approx([plain[i] for i in found], rel=1e-5)
+        assert [plain[i] for i in found] == pytest.approx(sorted((plain[i] for i in found), reverse=True), rel=1e-5)
+
+
+def dealt(spark, texts, shard_tokens):
+    rows, seen = lexical_packing.tokenised(frame(spark, texts), WORD_BPE)
+    own = lexical_packing.tokens(WORD_BPE)
+    idf, _ = lexical_packing.corpus_weights(rows, seen, own.size)
+    return lexical_packing.dealt(rows, idf, own.kind, shard_tokens).collect()
+
+
+def test_shards_go_by_content_and_hot_rows_spread(spark):
+    """Documents of one subject share shards; equal rows, most of the table, spread over shards of even size."""
+    subjects = ["harbour vessel anchor sailor", "violin sonata orchestra cello", "enzyme protein genome bacteria", "glacier summit climber avalanche"]
+    draw = random.Random(2)
+    texts = [(i, " ".join(draw.choices(subjects[i % 4].split(), k=30))) for i in range(400)]
+    found = dealt(spark, texts, 4000)
+    by_shard = Counter((r["shard"], r["doc_id"] % 4) for r in found)
+    whole = Counter(r["shard"] for r in found)
+    assert len(whole) > 4
+    assert sum(max(by_shard[s, k] for k in range(4)) for s in whole) > 0.7 * len(texts)
+
+    hot = [(7, "the same words in every row")] * 600 + [(None, None)] * 600 + texts[:100]
+    found = dealt(spark, hot, 3000)
+    sizes = Counter()
+    for r in found:
+        sizes[r["shard"]] += r["n_tokens"] + lexical_packing.ROW_SHARE
+    assert len(found) == len(hot) and len(sizes) > 10
+    assert max(sizes.values()) < 2 * 3000
+    packed(hot, lexical_packing.pack(frame(spark, hot), WORD_BPE, 3000).collect())
+
+
 # Pages
 
 FURNITURE = """<header><a href=/>Site name</a></header><nav><ul><li><a href=/a>Home</a><li><a href=/b>News</a></ul></nav>
