@@ -224,10 +224,11 @@ class Index:
     def whole_scores(self, doc: int, others: np.ndarray) -> np.ndarray:
         """Scores of ``others`` over every term of ``doc``."""
         cuts = [slice(self.bounds[o], self.bounds[o + 1]) for o in others]
-        asked = np.zeros(len(self.starts), bool)
-        asked[self.term[self.bounds[doc]:self.bounds[doc + 1]]] = True
-        gains = np.where(asked[np.concatenate([self.term[c] for c in cuts])], np.concatenate([self.worth[c] for c in cuts]), 0)
-        return np.bincount(np.repeat(np.arange(len(others)), [c.stop - c.start for c in cuts]), weights=gains, minlength=len(others))
+        asked = np.zeros(len(self.starts), np.float32)
+        asked[self.term[self.bounds[doc]:self.bounds[doc + 1]]] = 1
+        gains = asked[np.concatenate([self.term[c] for c in cuts])] * np.concatenate([self.worth[c] for c in cuts])
+        # Every document has its end token, so no cut is empty.
+        return np.add.reduceat(gains, np.cumsum([0, *(c.stop - c.start for c in cuts[:-1])]))
 
     def nearest(self, doc: int, unused: np.ndarray) -> Iterator[int]:
         """Unused documents that share a telling term with ``doc``, nearest first."""
