@@ -1,7 +1,9 @@
 """Line-first cleaning: rules remove lines, then documents that lost too much text are rejected.
 
-A line fails when it is boilerplate (a fixed phrase in a short line), navigation (few words between
-separators, or a run of short items without sentence punctuation), or loaded with symbols. The
+A line fails when it is boilerplate (a fixed phrase in a short line, in one of four languages),
+navigation (few words between separators, or one of at least ``MENU_LINES`` short lines in a row, none
+of which ends with a mark; lines without a word do not count between them), loaded with symbols, or
+long without a mark at its end, unless the next line goes on in lower case as wrapped prose does. The
 remaining lines are the cleaned text. A document is rejected when the base rules fail, or when the
 removed lines hold more than ``max_lost`` of its word characters.
 
@@ -15,6 +17,9 @@ columns of the input are not touched.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,35 +30,59 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 SYMBOLS = "#*$%&|<>"
 MAX_LOST = 0.5
-# Phrases of page furniture, in lower case.
+# Phrases of page furniture, in lower case: English, German, French, Spanish.
 BOILERPLATE = (
     "all rights reserved", "cookie policy", "privacy policy", "terms of service", "terms of use", "accept cookies",
     "use cookies", "subscribe to our newsletter", "sign up for our newsletter", "javascript is disabled",
     "enable javascript", "click here to", "share on facebook", "share on twitter", "skip to content", "back to top",
     "powered by wordpress", "lorem ipsum",
+    "alle rechte vorbehalten", "datenschutzerklärung", "nutzungsbedingungen", "cookies akzeptieren", "newsletter abonnieren",
+    "zum seitenanfang", "auf facebook teilen",
+    "tous droits réservés", "politique de confidentialité", "mentions légales", "accepter les cookies", "haut de page",
+    "partager sur facebook",
+    "todos los derechos reservados", "política de privacidad", "aviso legal", "aceptar cookies", "volver arriba",
+    "compartir en facebook",
 )
+# A phrase starts where no letter from a to z stands before it.
+PHRASE = f"(?:^|[^a-z])(?:{'|'.join(BOILERPLATE)})"
 SEPARATORS = "[|»›•·]|\\x20>"
-ENDS = "[.!?,;:…。！？،؟।]"
+# A mark, and closing quotes, brackets and white space after it.
+ENDED = f"[.!?,;:…。！？،؟।][\"'”’»)\\]{WORD_GAP}]*\\z"
+GOES_ON = f"^[{WORD_GAP}]*\\p{{Ll}}"
 BOILERPLATE_WORDS = 40  # a longer line that mentions a phrase is prose about it
+LONG_WORDS = 12  # a line of so many words ends with a mark or goes on
+ITEM_WORDS = 4
+MENU_LINES = 4
 
 
-def _failing(line: Column) -> Column:
-    """Whether a line that has a word breaks a rule."""
+def _judged(line: Column, following: Column) -> Column:
+    """Whether a line that has a word breaks a rule by itself, and whether it could be an item of a menu."""
     def judged(words: Column) -> Column:
         # The cheap side of each test comes first, so the patterns run on few lines.
-        boilerplate = (words <= BOILERPLATE_WORDS) & F.lower(line).rlike("|".join(BOILERPLATE))
+        boilerplate = (words <= BOILERPLATE_WORDS) & F.lower(line).rlike(PHRASE)
         separators = F.regexp_count(line, F.lit(SEPARATORS))
         maybe = F.length(line) - F.length(F.translate(line, "|»›•·>", ""))
         navigation = (maybe >= 2) & (maybe * 4 >= words) & (separators >= 2) & (separators * 4 >= words)
         symbols = F.length(line) - F.length(F.translate(line, SYMBOLS, ""))
         loaded = symbols * 2 > words
-        # A run of words in which no sentence, clause or list ever ends is a menu or a dump of tags.
-        unended = (words >= 12) & ~line.rlike(ENDS)
-        return unended | loaded | navigation | boilerplate
+        unended = (words >= LONG_WORDS) & ~line.rlike(ENDED) & ~F.coalesce(following.rlike(GOES_ON), F.lit(False))
+        item = (words <= ITEM_WORDS) & ~line.rlike(ENDED)
+        return F.struct((unended | loaded | navigation | boilerplate).alias("alone"), item.alias("item"))
 
     return let(F.regexp_count(line, F.lit(f"[^{WORD_GAP}]+")), judged)
 
 
+def _in_menu(judged: Column, i: Column) -> Column:
+    """Whether line ``i`` is one of ``MENU_LINES`` items in a row."""
+    def item(k: int) -> Column:
+        return F.coalesce(F.get(judged, i + k)["rule"]["item"], F.lit(False))
+
+    def all_from(k: int) -> Column:
+        return reduce(and_, [item(k + j) for j in range(MENU_LINES)])
+
+    return item(0) & reduce(or_, [all_from(-k) for k in range(MENU_LINES)])
+
+
 def _repeated(words: Column) -> Column:
     """Words inside an eight-word window that the text has twice or more, the first included."""
 
@@ -88,9 +117,11 @@ def measures(text: Column) -> Column:
             return F.struct(F.size(w).cast("bigint").alias("n_words"), _repeated(w).alias("n_repeat_words"))
 
         def of_lines(found: Column) -> Column:
-            judged = F.transform(found, lambda line: F.struct(
+            alone = F.transform(found, lambda line, i: F.struct(
                 line.alias("line"), F.length(F.translate(line, " \t\n\u000b\f\r", "")).cast("bigint").alias("size"),
-                _failing(line).alias("bad")))
+                _judged(line, F.get(found, i + 1)).alias("rule")))
+            judged = let(alone, lambda a: F.transform(a, lambda x, i: F.struct(
+                x["line"].alias("line"), x["size"].alias("size"), (x["rule"]["alone"] | _in_menu(a, i)).alias("bad"))))
             return let(judged, lambda j: F.struct(
                 (F.size(found) - F.size(F.array_distinct(found))).cast("bigint").alias("n_dup_lines"),
                 F.size(found).cast("bigint").alias("n_lines"),

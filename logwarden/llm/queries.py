@@ -63,7 +63,8 @@ def op5_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _op5_sql() -> str:
     gap, word = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)", r"[^\x20\x09-\x0D]"
     symbols = line_rules.SYMBOLS
-    boilerplate = "|".join(line_rules.BOILERPLATE)
+    ended = line_rules.ENDED.replace("'", "''")
+    menu = line_rules.MENU_LINES - 1
     return f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT rid, doc_id, t, regexp_extract_all(t, '{word}+') AS ws FROM d),
@@ -71,11 +72,17 @@ wins AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, array_to_string(ws[i:i
          FROM w, unnest(generate_series(1, len(ws) - 7)) g(i)),
 cov AS (SELECT rid, CAST(sum(step) AS BIGINT) AS n FROM (SELECT rid, least(8, coalesce(
             lead(i) OVER (PARTITION BY rid ORDER BY i) - i, 8)) AS step FROM wins WHERE c > 1) x GROUP BY rid),
-lines AS (SELECT rid, line, len(regexp_extract_all(line, '{word}+')) AS n, length(translate(line, {gap}, '')) AS size,
+lines AS (SELECT rid, ord, line, lead(line) OVER (PARTITION BY rid ORDER BY ord) AS following, regexp_matches(line, '{ended}') AS ended,
+            len(regexp_extract_all(line, '{word}+')) AS n, length(translate(line, {gap}, '')) AS size,
             length(line) - length(translate(line, '{symbols}', '')) AS loads, len(regexp_extract_all(line, '{line_rules.SEPARATORS}')) AS seps
-          FROM (SELECT rid, unnest(string_split(t, chr(10))) AS line FROM d) l WHERE regexp_matches(line, '{word}')),
-judged AS (SELECT *, (n >= 12 AND NOT regexp_matches(line, '{line_rules.ENDS}')) OR loads * 2 > n OR (seps >= 2 AND seps * 4 >= n)
-            OR (n <= {line_rules.BOILERPLATE_WORDS} AND regexp_matches(lower(line), '{boilerplate}')) AS bad FROM lines),
+          FROM (SELECT rid, unnest(ls) AS line, generate_subscripts(ls, 1) AS ord FROM (SELECT rid, string_split(t, chr(10)) AS ls FROM d) x) l
+          WHERE regexp_matches(line, '{word}')),
+starts AS (SELECT *, count(*) FILTER (n <= {line_rules.ITEM_WORDS} AND NOT ended) OVER (
+            PARTITION BY rid ORDER BY ord ROWS BETWEEN CURRENT ROW AND {menu} FOLLOWING) = {line_rules.MENU_LINES} AS starts FROM lines),
+judged AS (SELECT *, (n >= {line_rules.LONG_WORDS} AND NOT ended AND NOT coalesce(regexp_matches(following, '{line_rules.GOES_ON}'), false))
+            OR loads * 2 > n OR (seps >= 2 AND seps * 4 >= n)
+            OR (n <= {line_rules.BOILERPLATE_WORDS} AND regexp_matches(lower(line), '{line_rules.PHRASE}'))
+            OR bool_or(starts) OVER (PARTITION BY rid ORDER BY ord ROWS BETWEEN {menu} PRECEDING AND CURRENT ROW) AS bad FROM starts),
 per AS (SELECT rid, count(*) - count(DISTINCT line) AS dup, coalesce(sum(size) FILTER (bad), 0) AS lost FROM judged GROUP BY rid),
 m AS (SELECT doc_id, len(ws) AS n_words, CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
         length(t) - length(translate(t, '{symbols}', '')) AS n_symbols, coalesce(dup, 0) AS n_dup_lines, coalesce(cov.n, 0) AS n_repeat_words,

@@ -6,8 +6,10 @@ import time
 from collections import Counter, defaultdict
 from zlib import crc32
 
+import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -161,6 +163,49 @@ def test_line_rules(spark):
     assert line_rules.judge(frame(spark, ROWS).limit(0)).count() == 0
 
 
+PROSE = "The harbour was quiet that morning, and nobody had seen the boats leave before dawn."
+MENU = ["Home", "About us", "Our products", "Contact", "Log in"]
+LINES = {  # lines, and the places of those that go
+    "menu": (MENU, {0, 1, 2, 3, 4}),
+    "menu around blank lines": (["Home", "", "About us", " ", "Products", "Contact"], {0, 2, 4, 5}),
+    "menu at the end": ([PROSE, PROSE, *MENU], {2, 3, 4, 5, 6}),
+    "three short lines": (["A title", "By its author", "Monday", PROSE], set()),
+    "short lines that end": (["Yes.", "No!", "Why?", "Well, then:", PROSE], set()),
+    "menu cut by a sentence": (["Home", "About us", "Contact", "It is here.", "Log in", "Help", "More"], set()),
+    "one comma does not free a line": (["one, two three four five six seven eight nine ten eleven twelve"], {0}),
+    "closing quotes": (["\u201cone two three four five six seven eight nine ten eleven twelve.\u201d)  "], set()),
+    "wrapped prose": (["one two three four five six seven eight nine ten eleven twelve", "thirteen fourteen, and so it ends."], set()),
+    "next line starts anew": (["one two three four five six seven eight nine ten eleven twelve", "Thirteen fourteen, and so it ends."], {0}),
+    "eleven words": (["one two three four five six seven eight nine ten eleven"], set()),
+    "other languages": (["Alle Rechte vorbehalten.", "Tous droits réservés.", "Todos los derechos reservados.", PROSE], {0, 1, 2}),
+    "inside a word": (["The xlorem ipsum of it.", "(lorem ipsum) it says."], {1}),
+}
+
+
+def test_lines_that_go(spark):
+    names = list(LINES)
+    got = line_rules.judge(frame(spark, [(i, "\n".join(LINES[name][0])) for i, name in enumerate(names)])).collect()
+    for r in got:
+        lines, gone = LINES[names[r.doc_id]]
+        stay = [line for i, line in enumerate(lines) if i not in gone and line.strip()]
+        assert (r.n_bad_lines, r.clean_text) == (len(gone), "\n".join(stay)), names[r.doc_id]
+
+
+def test_line_rules_equal_their_sql(spark):
+    """Verdicts on hand-made lines, in documents long enough to pass the base rules."""
+    words = " ".join(f"w{i}" for i in range(30)) + "."
+    rows = [(i, "\n".join([words[:n], *lines])) for i, (lines, _) in enumerate(LINES.values()) for n in (0, 40, 200)]
+    rows = [(100 * i + k, t) for k, (i, t) in enumerate(rows)] + ROWS
+    docs = frame(spark, rows)
+    got = line_rules.judge(docs).select("doc_id", "n_words", "base_failed", "kept")
+    documents = pa.table({"doc_id": [i for i, _ in rows], "text": [t for _, t in rows]})
+    with duckdb.connect() as base:
+        base.register("documents", documents)
+        told = base.execute(f"SELECT doc_id, n_words, base_failed, kept FROM ({queries.ORACLES['op5_line_rules']}) x").fetchall()
+    assert Counter(tuple(r) for r in got.collect()) == Counter(told)
+    assert {r[3] for r in told} == {True, False}
+
+
 # Sharding
 
 
