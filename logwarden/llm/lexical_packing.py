@@ -128,6 +128,11 @@ def tokens(path: str) -> Tokens:
     return _tokens[path]
 
 
+def forget() -> None:
+    """Free this worker's memory of chunks; it has done its work once the ids are written."""
+    _tokens.clear()
+
+
 def tokenised(docs: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
     """``doc_id, place, ids, n_tokens`` of every row, and per task how many documents hold each id, both read from the shared folder."""
 
@@ -193,14 +198,22 @@ class Index:
         self.n = len(docs)
         long = np.array([len(ids) for ids in docs])
         # (document, id) pairs in order; the end token tells nothing.
-        both = np.concatenate(docs) + (np.repeat(np.arange(self.n, dtype=np.uint64), long) << np.uint64(32))
+        both = np.repeat(np.arange(self.n, dtype=np.uint64), long)
+        both <<= np.uint64(32)
+        both |= np.concatenate(docs)
         both.sort()
-        cuts = np.append(np.flatnonzero(np.append(True, both[1:] != both[:-1])), len(both))
-        tf = np.diff(cuts).astype(np.float32)
-        both = both[cuts[:-1]]
-        own, term = (both >> np.uint64(32)).astype(np.int32), (both & np.uint64(0xFFFFFFFF)).astype(np.int32)
+        fresh = np.append(True, both[1:] != both[:-1])
+        cuts = np.flatnonzero(fresh)
+        tf = np.diff(cuts, append=len(both)).astype(np.float32)
+        both = both[fresh]
+        del cuts, fresh
+        own, term = (both >> np.uint64(32)).astype(np.int32), both.astype(np.uint32).astype(np.int32)
+        del both
         norm = (K1 * (1 - B + B * long / max(mean, 1.0))).astype(np.float32)
-        gain = idf[term] * tf * (K1 + 1) / (tf + norm[own])
+        gain = idf[term] * tf * np.float32(K1 + 1)
+        tf += norm[own]
+        gain /= tf
+        del tf
         gain[term == END] = 0
         # The terms that tell most about a document ask for its neighbours.
         self.bounds = np.searchsorted(own, np.arange(self.n + 1))
@@ -334,6 +347,7 @@ def term_order(idf: np.ndarray, sharpness: float = SHARPNESS) -> np.ndarray:
 
 def first_places(ids: pa.Array, places: np.ndarray, kind: np.dtype) -> np.ndarray:
     """The least place of the terms of every document."""
+    forget()
     wide = np.int64 if pa.types.is_large_binary(ids.type) else np.int32
     starts = np.frombuffer(ids.buffers()[1], wide)[ids.offset:ids.offset + len(ids) + 1].astype(np.int64) // kind.itemsize
     flat = np.frombuffer(ids.buffers()[2], kind, count=int(starts[-1]))[starts[0]:]
@@ -374,14 +388,14 @@ def pack(docs: DataFrame, path: str, shard_tokens: int = SHARD_TOKENS, window: i
     rows, seen = tokenised(docs, path)
     idf, mean = corpus_weights(rows, seen, tokens(path).size)
     weights = docs.sparkSession.sparkContext.broadcast(idf)
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    kind, width = docs.schema["doc_id"].dataType.simpleString(), tokens(path).kind
 
     def run(table: pa.Table) -> pa.Table:
-        own = tokens(path)
+        forget()
         shard = table.column("shard")[0].as_py()
         names, raw = table.column("doc_id"), table.column("ids").to_pylist()
         keyed = sorted(range(len(raw)), key=lambda i: (str(names[i].as_py()), raw[i]))
-        ids = [np.frombuffer(raw[i], own.kind) for i in keyed]
+        ids = [np.frombuffer(raw[i], width) for i in keyed]
         pieces = pack_shard(ids, weights.value, mean, window)
         doc, start, length, sequence, offset = (list(c) for c in zip(*pieces))
         crc = [crc32(ids[d][s:s + n].astype("<u4").tobytes()) for d, s, n in zip(doc, start, length)]
@@ -391,5 +405,5 @@ def pack(docs: DataFrame, path: str, shard_tokens: int = SHARD_TOKENS, window: i
             "ids_crc32": pa.array(crc, pa.int64()), "doc_tokens": pa.array(whole, pa.int64()),
             "sequence_id": pa.array([(shard << 32) + s for s in sequence], pa.int64()), "offset": pa.array(offset, pa.int64())})
 
-    parts = dealt(rows, idf, tokens(path).kind, shard_tokens).select("doc_id", "ids", "shard")
+    parts = dealt(rows, idf, width, shard_tokens).select("doc_id", "ids", "shard")
     return parts.groupBy("shard").applyInArrow(run, f"doc_id {kind}, {PIECE}")
