@@ -1,8 +1,9 @@
 """Packing of documents into training windows by lexical retrieval.
 
 Documents are tokenised once and their ids written. Document frequencies over the whole corpus, one
-number per vocabulary entry, give the BM25 weights. Documents are dealt into shards by content: a
-min-hash weighted by these picks one telling term of each document, terms lie on a line as long as
+number per vocabulary entry, give the BM25 weights. Documents are dealt into shards by content: of
+the ``SKETCH`` terms of each document that come first in a fixed random order, a min-hash weighted by
+these picks a telling one; terms lie on a line as long as
 their documents together, and the line is cut into shards of about ``shard_tokens``, so documents
 with the same term meet and a term of any share of the corpus spreads over as many shards as it
 needs. Each shard holds an inverted index of its documents. A window
@@ -44,6 +45,7 @@ SHARD_TOKENS = 1 << 23
 ROW_SHARE = 32  # what a row adds to a shard beside its ids, so short rows are not too many
 QUERY_TERMS = 24
 POOL = 64
+SKETCH = 16  # terms kept of a document to choose the telling one from
 SHARPNESS = 2.0  # the power of the inverse document frequency that weighs the min-hash
 K1, B = 1.2, 0.75
 CACHED = 600_000  # chunks kept per generation and worker
@@ -133,13 +135,34 @@ def forget() -> None:
     _tokens.clear()
 
 
+def term_order(idf: np.ndarray, sharpness: float = SHARPNESS) -> np.ndarray:
+    """The place of every term in one random order in which telling terms tend to come first.
+
+    The first term of a document in this order is its weighted min-hash: two documents have it in common
+    with the chance that is the weighted share of their common terms. The end token comes last.
+    """
+    mixed = (np.arange(len(idf), dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        mixed = (mixed ^ (mixed >> np.uint64(shift))) * np.uint64(factor)
+    drawn = ((mixed ^ (mixed >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) + 1
+    weight = np.maximum(idf.astype(np.float64), 0) ** sharpness
+    weight[END] = 0
+    late = np.divide(-np.log(drawn / 2.0**53), weight, out=np.full(len(idf), np.inf), where=weight > 0)
+    places = np.empty(len(idf), np.int32)
+    late[END] = np.inf
+    places[np.lexsort((np.arange(len(idf)) == END, late))] = np.arange(len(idf), dtype=np.int32)
+    return places
+
+
 def tokenised(docs: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
-    """``doc_id, place, ids, n_tokens`` of every row, and per task how many documents hold each id, both read from the shared folder."""
+    """``doc_id, place, ids, n_tokens, sketch`` of every row, and per task how many documents hold each id, both read from the shared folder."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokens(path)
         width = own.kind.itemsize
         seen = np.zeros(own.size, np.int64)
+        drawn = term_order(np.ones(own.size))
+        back = np.argsort(drawn).astype(own.kind)
         kind = None
         for batch in batches:
             kind = batch.column(0).type
@@ -147,21 +170,24 @@ def tokenised(docs: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
                 part = batch.slice(at, 256)
                 ids = [own.encode(text) for text in part.column(2).to_pylist()]
                 sizes = [len(i) // width for i in ids]
-                # Every (document, id) once: sorted together, a document's number in the upper half.
-                both = np.frombuffer(b"".join(ids), own.kind) + (np.repeat(np.arange(len(ids), dtype=np.uint64), sizes) << np.uint64(32))
+                # Every (document, id) once, in the random order: sorted together, a document's number in the upper half.
+                both = np.repeat(np.arange(len(ids), dtype=np.int64) << 32, sizes) + drawn[np.frombuffer(b"".join(ids), own.kind)]
                 both.sort()
                 fresh = both[np.append(True, both[1:] != both[:-1])]
-                seen += np.bincount((fresh & np.uint64(0xFFFFFFFF)).astype(np.int64), minlength=own.size)
+                places = fresh & 0xFFFFFFFF
+                seen += np.bincount(places, minlength=own.size)
+                terms, cuts = back[places], np.searchsorted(fresh, np.arange(len(ids) + 1) << 32).tolist()
+                sketch = [terms[a:min(a + SKETCH, b)].tobytes() for a, b in zip(cuts, cuts[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(ids, pa.binary()), pa.array(sizes, pa.int64()), pa.nulls(len(ids), pa.binary())],
-                    ["doc_id", "place", "ids", "n_tokens", "seen"])
+                    [part.column(0), part.column(1), pa.array(ids, pa.binary()), pa.array(sizes, pa.int64()), pa.array(sketch, pa.binary()),
+                     pa.nulls(len(ids), pa.binary())], ["doc_id", "place", "ids", "n_tokens", "sketch", "seen"])
         if kind is not None:
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(1, kind), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64()), pa.array([seen.tobytes()], pa.binary())],
-                ["doc_id", "place", "ids", "n_tokens", "seen"])
+                [pa.nulls(1, kind), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
+                 pa.array([seen[drawn].tobytes()], pa.binary())], ["doc_id", "place", "ids", "n_tokens", "sketch", "seen"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    shape = f"doc_id {kind}, place bigint, ids binary, n_tokens bigint, seen binary"
+    shape = f"doc_id {kind}, place bigint, ids binary, n_tokens bigint, sketch binary, seen binary"
     place = work_path(docs.sparkSession, "tokens")
     texts = small_batches(docs).select(docs["doc_id"], F.monotonically_increasing_id().alias("place"), whole_text(docs).alias("t"))
     texts.mapInArrow(run, shape).write.option("compression", "zstd").parquet(place)
@@ -327,26 +353,8 @@ def pack_shard(docs: list[np.ndarray], idf: np.ndarray, mean: float, window: int
     return out
 
 
-def term_order(idf: np.ndarray, sharpness: float = SHARPNESS) -> np.ndarray:
-    """The place of every term in one random order in which telling terms tend to come first.
-
-    The first term of a document in this order is its weighted min-hash: two documents have it in common
-    with the chance that is the weighted share of their common terms.
-    """
-    mixed = (np.arange(len(idf), dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-        mixed = (mixed ^ (mixed >> np.uint64(shift))) * np.uint64(factor)
-    drawn = ((mixed ^ (mixed >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) + 1
-    weight = np.maximum(idf.astype(np.float64), 0) ** sharpness
-    weight[END] = 0
-    late = np.divide(-np.log(drawn / 2.0**53), weight, out=np.full(len(idf), np.inf), where=weight > 0)
-    places = np.empty(len(idf), np.int32)
-    places[np.argsort(late, kind="stable")] = np.arange(len(idf), dtype=np.int32)
-    return places
-
-
 def first_places(ids: pa.Array, places: np.ndarray, kind: np.dtype) -> np.ndarray:
-    """The least place of the terms of every document."""
+    """The least place of the terms of every sketch; each holds a term at least."""
     forget()
     wide = np.int64 if pa.types.is_large_binary(ids.type) else np.int32
     starts = np.frombuffer(ids.buffers()[1], wide)[ids.offset:ids.offset + len(ids) + 1].astype(np.int64) // kind.itemsize
@@ -364,7 +372,7 @@ def dealt(rows: DataFrame, idf: np.ndarray, kind: np.dtype, shard_tokens: int) -
 
     size = F.col("n_tokens") + ROW_SHARE
     # One row per vocabulary entry at most, whatever the corpus.
-    found = rows.select(term("ids").alias("term"), size.alias("size")).groupBy("term").agg(F.sum("size").alias("size")).toPandas()
+    found = rows.select(term("sketch").alias("term"), size.alias("size")).groupBy("term").agg(F.sum("size").alias("size")).toPandas()
     sizes = np.zeros(len(idf), np.float64)
     sizes[found["term"].to_numpy(np.int64)] = found["size"].to_numpy(np.float64)
     total = sizes.sum()
@@ -380,7 +388,7 @@ def dealt(rows: DataFrame, idf: np.ndarray, kind: np.dtype, shard_tokens: int) -
 
     # Where a row lies among those of its term; equal rows are told apart by their written places.
     along = F.pmod(F.xxhash64("doc_id", "ids", "place"), F.lit(1 << 53)) / F.lit(float(1 << 53))
-    return rows.withColumn("shard", shard("ids", along))
+    return rows.withColumn("shard", shard("sketch", along))
 
 
 def pack(docs: DataFrame, path: str, shard_tokens: int = SHARD_TOKENS, window: int = WINDOW) -> DataFrame:
