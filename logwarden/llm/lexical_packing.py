@@ -174,12 +174,15 @@ def tokenised(docs: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
                 both = np.repeat(np.arange(len(ids), dtype=np.int64) << 32, sizes) + drawn[np.frombuffer(b"".join(ids), own.kind)]
                 both.sort()
                 fresh = both[np.append(True, both[1:] != both[:-1])]
-                places = fresh & 0xFFFFFFFF
-                seen += np.bincount(places, minlength=own.size)
-                terms, cuts = back[places], np.searchsorted(fresh, np.arange(len(ids) + 1) << 32).tolist()
-                sketch = [terms[a:min(a + SKETCH, b)].tobytes() for a, b in zip(cuts, cuts[1:])]
+                seen += np.bincount(fresh & 0xFFFFFFFF, minlength=own.size)
+                starts = np.searchsorted(fresh, np.arange(len(ids) + 1) << 32)
+                kept = np.minimum(np.diff(starts), SKETCH)
+                ends = np.cumsum(kept)
+                terms = back[fresh[np.arange(ends[-1]) + np.repeat(starts[:-1] - ends + kept, kept)] & 0xFFFFFFFF]
+                offsets = np.append(0, ends).astype(np.int32) * np.int32(width)
+                sketch = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(offsets), pa.py_buffer(terms)])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(ids, pa.binary()), pa.array(sizes, pa.int64()), pa.array(sketch, pa.binary()),
+                    [part.column(0), part.column(1), pa.array(ids, pa.binary()), pa.array(sizes, pa.int64()), sketch,
                      pa.nulls(len(ids), pa.binary())], ["doc_id", "place", "ids", "n_tokens", "sketch", "seen"])
         if kind is not None:
             yield pa.RecordBatch.from_arrays(
