@@ -29,6 +29,7 @@ BETA1, BETA2, EPSILON = 0.9, 0.999, 1e-8
 
 STEPS = 2  # global batches, and so Adam steps, per epoch
 BLOCK_ROWS = 2048
+PIECE_ROWS = 512  # rows whose layers are held at a time; with the default widths they fit a core's caches
 LIMB = 40  # binary places of a summed gradient
 PART_SCHEMA = "part int, sums array<bigint>"
 FAN_IN = 64  # task sums that one step of the tree adds
@@ -60,32 +61,13 @@ class Network:
         draws = np.array([portable_number(i, seed=seed) for i in range(len(bound))]) / 2.0**52
         return cls(sizes, (2 * draws - 1) * bound)
 
-    def activations(self, x: np.ndarray) -> list[np.ndarray]:
-        out = [x]
-        for i, (weight, bias) in enumerate(self.layers):
-            x = x @ weight + bias
-            if i < len(self.layers) - 1:
-                x = np.maximum(x, 0)
-            out.append(x)
-        return out
-
     def errors(self, x: np.ndarray) -> np.ndarray:
         """Mean squared reconstruction error per row."""
-        return np.mean((x - self.activations(x)[-1]) ** 2, axis=1, dtype=np.float64)
+        return Passes(self).errors(x.T)
 
     def summed(self, x: np.ndarray) -> tuple[float, np.ndarray]:
         """Squared errors of all cells added up, and the gradient of that sum."""
-        values = self.activations(x)
-        wrong = values[-1] - x
-        grad = np.empty_like(self.flat)
-        parts = Network(self.sizes, grad).layers
-        back = wrong * 2.0
-        for i in range(len(self.layers) - 1, -1, -1):
-            parts[i][0][...] = values[i].T @ back
-            parts[i][1][...] = back.sum(axis=0)
-            if i:
-                back = (back @ self.layers[i][0].T) * (values[i] > 0)
-        return float(np.sum(wrong**2, dtype=np.float64)), grad
+        return Passes(self).summed(x.T)
 
     def loss_and_gradient(self, x: np.ndarray) -> tuple[float, np.ndarray]:
         """The mean squared error of all cells, and its gradient."""
@@ -93,6 +75,59 @@ class Network:
         return loss / x.size, grad / x.size
 
 
+class Passes:
+    """Forward and backward passes of a network over pieces of ``PIECE_ROWS`` rows, given as columns.
+
+    The room for a piece is made once, and its layers stay in the caches. A last line of ones takes the biases
+    through the products: weights and bias of a layer stand one below the other in the flat vector.
+    """
+
+    def __init__(self, net: Network):
+        self.layers, at = [], 0
+        for a, b in zip(net.sizes[:-1], net.sizes[1:], strict=True):
+            self.layers.append(net.flat[at:at + (a + 1) * b].reshape(a + 1, b))
+            at += (a + 1) * b
+        self.forth = [np.ascontiguousarray(layer.T) for layer in self.layers]
+        self.values = [np.ones((width + 1, PIECE_ROWS)) for width in net.sizes]
+        self.backs = [np.empty((width, PIECE_ROWS)) for width in net.sizes]
+        self.alive = [np.empty((width, PIECE_ROWS), bool) for width in net.sizes]
+        self.parts = [np.empty_like(layer) for layer in self.layers]
+
+    def _wrong(self, x: np.ndarray) -> np.ndarray:
+        """Reconstruction minus input of a piece."""
+        n, last = x.shape[1], len(self.layers) - 1
+        self.values[0][:-1, :n] = x
+        for i, layer in enumerate(self.forth):
+            out = np.matmul(layer, self.values[i][:, :n], out=self.values[i + 1][:-1, :n])
+            if i < last:
+                np.maximum(out, 0.0, out=out)
+        return np.subtract(out, x, out=out)
+
+    def errors(self, x: np.ndarray) -> np.ndarray:
+        """Mean squared reconstruction error per column."""
+        out = np.empty(x.shape[1])
+        for at in range(0, len(out), PIECE_ROWS):
+            wrong = self._wrong(x[:, at:at + PIECE_ROWS])
+            out[at:at + PIECE_ROWS] = np.mean(wrong * wrong, axis=0)
+        return out
+
+    def summed(self, x: np.ndarray) -> tuple[float, np.ndarray]:
+        """Squared errors of all cells added up, and the gradient of that sum."""
+        loss, grads = 0.0, [np.zeros_like(layer) for layer in self.layers]
+        for at in range(0, x.shape[1], PIECE_ROWS):
+            wrong = self._wrong(x[:, at:at + PIECE_ROWS])
+            n = wrong.shape[1]
+            loss += float(np.sum(wrong * wrong))
+            back = np.multiply(wrong, 2.0, out=self.backs[-1][:, :n])
+            for i in range(len(self.layers) - 1, -1, -1):
+                values = self.values[i][:, :n]
+                grads[i] += np.matmul(values, back.T, out=self.parts[i])
+                if i:
+                    back = np.matmul(self.layers[i][:-1], back, out=self.backs[i][:, :n])
+                    back *= np.greater(values[:-1], 0.0, out=self.alive[i][:, :n])
+        return loss, np.concatenate([grad.ravel() for grad in grads])
+
+
 class AdamState:
     """Weights, both moments and the step count as one vector of doubles."""
 
@@ -145,11 +180,11 @@ def from_limbs(limbs: np.ndarray) -> np.ndarray:
 def _gradient_task(sizes: Sequence[int], flat: np.ndarray):
     """Rows, loss and gradient summed over the blocks of a task, in limbs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net, total, part = Network(sizes, flat), None, 0
+        passes, total, part = Passes(Network(sizes, flat)), None, 0
         for batch in batches:
             for block, cells in zip(batch.column("block").to_pylist(), batch.column("cells"), strict=True):
                 x = cells.values.to_numpy(zero_copy_only=False).reshape(-1, sizes[0])
-                loss, grad = net.summed(x)
+                loss, grad = passes.summed(x.T)
                 limbs = to_limbs(np.concatenate([[len(x), loss], grad]))
                 total, part = limbs if total is None else carried(total + limbs), block
         if total is not None:

@@ -99,7 +99,7 @@ def _autoencoder(spark, sf_dir):
 
 
 def autoencoder(spark, sf_dir):
-    return _shown(_autoencoder(spark, sf_dir).score(log_features(spark, sf_dir)))
+    return _shown(make_detector("autoencoder", features=FEATURES).fit_score(log_features(spark, sf_dir)))
 
 
 def sequence_detector(spark, sf_dir):

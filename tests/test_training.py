@@ -1,5 +1,7 @@
 """Synchronous training: the same network for any layout, and exact sums."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 
@@ -58,6 +60,31 @@ def test_against_plain_steps(spark, table):
     np.testing.assert_allclose(model.history, history, rtol=1e-9)
 
 
+def test_a_block_is_passed_in_pieces():
+    """The layers of a long block are never held whole, and its pieces add up to the plain gradient."""
+    sizes = layer_sizes(3, (64, 32, 16))
+    net = Network.initial(sizes, 5)
+    x = np.random.default_rng(2).normal(size=(20_011, 3))
+    tracemalloc.start()
+    loss, grad = net.summed(x)
+    wrong = net.errors(x)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8e6  # all layers of all rows take 37 MB forth and as much back
+    layers = [x]
+    for i, (weight, bias) in enumerate(net.layers):
+        layers.append(layers[-1] @ weight + bias)
+        if i < len(net.layers) - 1:
+            layers[-1] = np.maximum(layers[-1], 0)
+    back, parts = 2 * (layers[-1] - x), []
+    for i in range(len(net.layers) - 1, -1, -1):
+        parts = [layers[i].T @ back, back.sum(axis=0), *parts]
+        back = (back @ net.layers[i][0].T) * (layers[i] > 0)
+    np.testing.assert_allclose(grad, np.concatenate([p.ravel() for p in parts]), rtol=1e-9, atol=1e-7)
+    np.testing.assert_allclose(wrong, ((layers[-1] - x) ** 2).mean(axis=1), rtol=1e-12)
+    assert loss == pytest.approx(((layers[-1] - x) ** 2).sum(), rel=1e-12)
+
+
 def test_limbs_add_exactly():
     values = np.random.default_rng(1).normal(size=(40, 5)) * np.array([1e-9, 1.0, 1e6, 1e12, 1e3])
     limbs = [to_limbs(v) for v in values]
