@@ -3,7 +3,9 @@
 import numpy as np
 import pytest
 from pyspark.errors import StreamingQueryException
+from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import TimerValues
 
 from logwarden.common import work_path
 from logwarden.streaming import jobs
@@ -146,3 +148,43 @@ def test_labels_meet_rows_in_time(spark):
     got = {r["row_id"]: r["label"] for r in jobs.appended_table(spark, out, joined.schema).collect()}
     # 2: too late for the horizon; 3: before its row; 6: still open when the stream ends.
     assert got == {1: 1, 2: None, 3: None, 4: 1, 5: 0}
+
+
+class Held:
+    """A list state and timers in memory, with the number of calls."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls = [], [], 0
+
+    def getListState(self, name, schema):
+        return self
+
+    def get(self):
+        self.calls += 1
+        return iter(self.value)
+
+    def put(self, value):
+        self.calls += 1
+        self.value = value
+
+    def clear(self):
+        self.value = []
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.append(at)
+
+
+def test_an_entity_costs_few_state_calls():
+    """One read and one write a micro-batch, whatever came; the timer is set once and moves when it fires."""
+    held, recent = Held(), jobs.RecentEvents("user_id", 3, 1000)
+    recent.init(held)
+    come = Row("at", "row_id", "pred")
+    for batch in range(10):
+        rows = [come((batch * 100 + i) * 1000, batch * 100 + i, i % 2) for i in range(50)]
+        shown, = recent.handleInputRows((7,), iter(rows[::-1]), TimerValues(0, batch * 100))
+        assert tuple(shown) == (7, 3, 2, (batch * 100 + 49) * 1000)
+    assert held.calls == 21 and held.timers == [1049]
+    assert list(recent.handleExpiredTimer((7,), TimerValues(0, 1500), None)) == [] and held.timers[1:] == [1949]
+    gone, = recent.handleExpiredTimer((7,), TimerValues(0, 1949), None)
+    assert tuple(gone) == (7, 0, 0, None) and held.value == []
