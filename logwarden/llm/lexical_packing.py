@@ -33,6 +33,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,22 +51,38 @@ SHARPNESS = 2.0  # the power of the inverse document frequency that weighs the m
 K1, B = 1.2, 0.75
 CACHED = 600_000  # chunks kept per generation and worker
 LONGEST_CACHED = 48
-# Lower-case letters whose bytes and upper-case forms are the same in every version of Unicode.
-LETTERS = "abcdefghijklmnopqrstuvwxyzàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþ"
+STRETCH = 1 << 23  # bytes of text encoded at once
+STRETCH_ROWS = 1 << 12
+# Lower-case letters whose bytes and upper-case forms are the same in every version of Unicode; that of ß is SS.
+LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþ"
+MARKS = ",.!?:;#$%&*"
+LEARNT = 4096  # new words handed to the merges at once
 PLAIN = re.compile(f"[{LETTERS}{LETTERS.upper()}]+").fullmatch
+LOWER = re.compile(f"[{LETTERS}]+").fullmatch
 PIECE = ("start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint")
 
 
+def gathered(flat: np.ndarray, sizes: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``flat`` in the given order, each as often as it is named, and where they end."""
+    wanted = sizes[order]
+    ends = np.cumsum(wanted)
+    spots = np.repeat((np.cumsum(sizes) - sizes)[order] - ends + wanted, wanted)
+    spots += np.arange(len(spots))
+    return flat[spots], ends
+
+
 class Tokens(dict):
     """A tokenizer that remembers the ids of chunks between blanks and line ends, in two bounded generations.
 
     The tokenizer never joins characters across white space, so chunks can be encoded alone. A chunk of
-    plain letters, with a comma or full stop at most, is handed to the tokenizer's merges directly.
+    plain letters is handed to the tokenizer's merges directly, many at once; ``MARKS`` that follow
+    them are looked up apart.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import Split
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
@@ -74,7 +91,6 @@ class Tokens(dict):
         self.code = "H" if self.kind.itemsize == 2 else "I"
         self.end = array(self.code, [END]).tobytes()
         self.old: dict[str, bytes] = {}
-        self.stops = {mark: self._whole(mark) for mark in ",."}
         # How the tokenizer writes the bytes of a letter, as told by itself.
         self.letters = {}
         for letter in LETTERS:
@@ -82,8 +98,15 @@ class Tokens(dict):
             self.letters[ord(letter)] = found[0][0] if len(found) == 1 else letter
         self.same = all(self.letters[ord(c)] == c for c in LETTERS if c.isascii())
         self.tokenize = self.tokenizer.model.tokenize
+        # The merges alone, for words that are in the tokenizer's form; the id at the end of a word tells them apart.
+        self.merges = Tokenizer(self.tokenizer.model)
+        self.merges.pre_tokenizer = Split(" ", "removed")
+        suffix, self.last = getattr(self.tokenizer.model, "end_of_word_suffix", None), np.zeros(self.size, bool)
+        if suffix:
+            self.last[[i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if t.endswith(suffix)]] = True
         probes = [*LETTERS, *LETTERS.upper(), "hello", "WORLD", "Élève", LETTERS]
-        self.direct = all(self._letters(p.lower()) == self._whole(p) for p in probes)
+        self.direct = all(self._letters(p.lower()) == self._whole(p) for p in probes) and all(
+            self._letters("hello") + self._whole(m) == self._whole("hello" + m) for m in [*MARKS, MARKS, ".***"])
 
     def _whole(self, chunk: str) -> bytes:
         return array(self.code, self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
@@ -97,28 +120,87 @@ class Tokens(dict):
     def _ids(self, chunk: str) -> bytes:
         if not self.direct:
             return self._whole(chunk)
-        mark = chunk[-1:] if chunk[-1:] in self.stops else ""
-        word = chunk[:-1] if mark else chunk
+        word = chunk.rstrip(MARKS)
         if not (word.isalpha() if word.isascii() else PLAIN(word)):
             return self._whole(chunk)
-        lower = word.lower()
-        ids = self._letters(lower) if not mark and lower == word else self[lower]
-        return ids + self.stops[mark] if mark else ids
+        lower, marks = word.lower(), chunk[len(word):]
+        ids = self._letters(lower) if not marks and lower == word else self[lower]
+        return ids + self[marks] if marks else ids
 
     def __missing__(self, chunk: str) -> bytes:
         ids = self.old.get(chunk)
         if ids is None:
             ids = self._ids(chunk) if chunk else b""
+        self._keep(chunk, ids)
+        return ids
+
+    def _keep(self, chunk: str, ids: bytes) -> None:
         if len(chunk) <= LONGEST_CACHED:
             if len(self) >= CACHED:
                 self.old = dict(self)
                 self.clear()
             self[chunk] = ids
-        return ids
+
+    def _learn(self, words: list[str]) -> None:
+        """Remember the ids of different new words of lower-case letters."""
+        text = " ".join(words)
+        text = text if self.same and text.isascii() else text.translate(self.letters)
+        ids = np.array(self.merges.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
+        ends = (np.flatnonzero(self.last[ids]) + 1) * self.kind.itemsize
+        if len(ends) == len(words) and ends[-1] == ids.nbytes:
+            raw, at = ids.tobytes(), 0
+            for word, end in zip(words, ends.tolist()):
+                self._keep(word, raw[at:end])
+                at = end
+
+    def _all(self, chunks: list[str]) -> list[bytes]:
+        """Ids of different chunks."""
+        found = list(map(self.get, chunks))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        if self.direct:
+            words = [chunks[i] for i in new if chunks[i] not in self.old and len(chunks[i]) <= LONGEST_CACHED and LOWER(chunks[i])]
+            for some in ([w for w in words if w.isascii()], [w for w in words if not w.isascii()]):
+                for at in range(0, len(some), LEARNT):
+                    self._learn(some[at:at + LEARNT])
+        for i in new:
+            found[i] = self[chunks[i]]
+        return found
+
+    def _parted(self, chunks: pa.Array) -> tuple[pa.Array, np.ndarray, list[bytes]]:
+        """Words of plain letters in lower case without the marks behind them, other chunks as they are;
+        the number of the marks of each, and the ids of these marks, none first."""
+        words, sizes = pc.ascii_rtrim(chunks, MARKS), pc.binary_length(chunks)
+        marks = pc.subtract(sizes, pc.binary_length(words)).to_numpy()
+        plain = pc.ascii_is_alpha(words).to_numpy(zero_copy_only=False)
+        wide = np.flatnonzero(~pc.string_is_ascii(words).to_numpy(zero_copy_only=False))
+        plain[wide] = pc.match_substring_regex(words.take(pa.array(wide)), f"^[{LETTERS}{LETTERS.upper()}]+$").to_numpy(zero_copy_only=False)
+        marked = np.flatnonzero(plain & (marks > 0))
+        tails = [c[-n:] for c, n in zip(chunks.take(pa.array(marked)).to_numpy(zero_copy_only=False).tolist(), marks[marked].tolist())]
+        place = {tail: i for i, tail in enumerate(dict.fromkeys(tails), 1)}
+        which = np.zeros(len(chunks), np.int64)
+        which[marked] = list(map(place.__getitem__, tails))
+        return pc.if_else(pa.array(plain), pc.utf8_lower(words), chunks), which, [b"", *map(self.__getitem__, place)]
 
     def encode(self, text: str) -> bytes:
         """Ids of a text and the end token, as little-endian integers of ``kind``."""
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" "))) + self.end
+        return self.encode_all(pa.array([text], pa.string()))[0].tobytes()
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, each with the end token, and their numbers.
+
+        Arrow cuts the texts and numbers the different chunks, so each is looked up once, however often it occurs.
+        """
+        cut = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        named = cut.flatten().dictionary_encode()
+        words, mark, marks = self._parted(named.dictionary) if self.direct else (named.dictionary, np.zeros(len(named.dictionary), np.int64), [b""])
+        words = words.dictionary_encode()
+        found = marks + self._all(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        flat, sizes = np.frombuffer(b"".join(found), self.kind), np.fromiter(map(len, found), np.int64, len(found)) // self.kind.itemsize
+        both = np.stack([words.indices.to_numpy() + len(marks), mark], 1)
+        flat, _ = gathered(flat, sizes, both.ravel())
+        flat, ends = gathered(flat, sizes[both].sum(1), named.indices.to_numpy())
+        at = np.append(0, ends)[cut.offsets.to_numpy()]
+        return np.insert(flat, at[1:], END), np.diff(at) + 1
 
 
 _tokens: dict[str, Tokens] = {}
@@ -154,6 +236,31 @@ def term_order(idf: np.ndarray, sharpness: float = SHARPNESS) -> np.ndarray:
     return places
 
 
+def stretches(batches: Iterator[pa.RecordBatch], texts: int) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of ``STRETCH`` bytes of text or one row, and ``STRETCH_ROWS`` rows at most."""
+    held, size, rows = [], 0, 0
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column(texts)).to_numpy(), dtype=np.int64)
+        at, done = 0, 0
+        while at < len(ends):
+            end = min(int(np.searchsorted(ends, done + STRETCH - size, "right")), at + STRETCH_ROWS - rows)
+            end = max(end, at if held else at + 1)
+            if end > at:
+                held.append(batch.slice(at, end - at))
+                size, rows, at, done = size + int(ends[end - 1]) - done, rows + end - at, end, int(ends[end - 1])
+            if at < len(ends):
+                yield pa.concat_batches(held)
+                held, size, rows = [], 0, 0
+    if held:
+        yield pa.concat_batches(held)
+
+
+def binaries(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Neighbouring values as one binary a row, without a copy."""
+    offsets = (np.append(0, np.cumsum(sizes)) * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(values)])
+
+
 def tokenised(docs: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
     """``doc_id, place, ids, n_tokens, sketch`` of every row, and per task how many documents hold each id, both read from the shared folder."""
 
@@ -163,27 +270,26 @@ def tokenised(docs: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
         seen = np.zeros(own.size, np.int64)
         drawn = term_order(np.ones(own.size))
         back = np.argsort(drawn).astype(own.kind)
+        # Pairs (document, id) as one number, the document of a stretch in the upper bits.
+        low = (own.size - 1).bit_length()
+        drawn, bare = drawn.astype(np.uint32 if STRETCH_ROWS << low < 1 << 32 else np.int64), (1 << low) - 1
         kind = None
-        for batch in batches:
-            kind = batch.column(0).type
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids = [own.encode(text) for text in part.column(2).to_pylist()]
-                sizes = [len(i) // width for i in ids]
-                # Every (document, id) once, in the random order: sorted together, a document's number in the upper half.
-                both = np.repeat(np.arange(len(ids), dtype=np.int64) << 32, sizes) + drawn[np.frombuffer(b"".join(ids), own.kind)]
-                both.sort()
-                fresh = both[np.append(True, both[1:] != both[:-1])]
-                seen += np.bincount(fresh & 0xFFFFFFFF, minlength=own.size)
-                starts = np.searchsorted(fresh, np.arange(len(ids) + 1) << 32)
-                kept = np.minimum(np.diff(starts), SKETCH)
-                ends = np.cumsum(kept)
-                terms = back[fresh[np.arange(ends[-1]) + np.repeat(starts[:-1] - ends + kept, kept)] & 0xFFFFFFFF]
-                offsets = np.append(0, ends).astype(np.int32) * np.int32(width)
-                sketch = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(offsets), pa.py_buffer(terms)])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(ids, pa.binary()), pa.array(sizes, pa.int64()), sketch,
-                     pa.nulls(len(ids), pa.binary())], ["doc_id", "place", "ids", "n_tokens", "sketch", "seen"])
+        for part in stretches(batches, 2):
+            kind = part.column(0).type
+            ids, sizes = own.encode_all(part.column(2))
+            # Every (document, id) once, in the random order.
+            both = np.repeat(np.arange(len(sizes), dtype=drawn.dtype) << low, sizes)
+            both += drawn[ids]
+            both.sort()
+            fresh = both[np.append(True, both[1:] != both[:-1])]
+            seen += np.bincount(fresh & bare, minlength=own.size)
+            starts = np.searchsorted(fresh, np.arange(len(sizes) + 1, dtype=drawn.dtype) << low)
+            kept = np.minimum(np.diff(starts), SKETCH)
+            ends = np.cumsum(kept)
+            terms = back[fresh[np.arange(ends[-1]) + np.repeat(starts[:-1] - ends + kept, kept)] & bare]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(1), binaries(ids, sizes), pa.array(sizes, pa.int64()), binaries(terms, kept),
+                 pa.nulls(len(sizes), pa.binary())], ["doc_id", "place", "ids", "n_tokens", "sketch", "seen"])
         if kind is not None:
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(1, kind), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),

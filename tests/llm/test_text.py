@@ -297,6 +297,52 @@ def test_chunks_are_encoded_as_whole_texts():
         assert np.frombuffer(own.encode(text), own.kind).tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids + [2]
 
 
+@pytest.mark.parametrize("cached, learnt, direct", [(600_000, 4096, True), (7, 3, True), (7, 3, False)])
+def test_texts_are_encoded_together(monkeypatch, cached, learnt, direct):
+    """Many texts at once give the ids of each alone, with small memories too, and where words cannot go to the merges."""
+    monkeypatch.setattr(lexical_packing, "CACHED", cached)
+    monkeypatch.setattr(lexical_packing, "LEARNT", learnt)
+    own, draw = lexical_packing.Tokens(WORD_BPE), random.Random(8)
+    own.direct = direct
+    bits = ["harbour", "Harbour,", "HARBOUR.***", "straße", "STRASSE", "Straße;", "ẞ", "été:", "ÉTÉ", "E\u0301te\u0301", "h\u0331", "H\u0331", "***", ",", "a,b",
+            "word?!", "don't", "o'll.", "<|endoftext|>", "<|endoftext|>.", "<|ENDOFTEXT|>", "İ.", "K,", "ſ", "12,", "", "\t", "日本,", "\u0301.", "x" * 60, "Y" * 60 + ",",
+            "\x1f", "\x00"]
+    texts = ["", " ", "\n\n", *["".join(draw.choice(bits) + draw.choice([" ", " ", "\n", ""]) for _ in range(draw.randrange(25))) for _ in range(600)]]
+    for at in range(0, len(texts), 150):
+        column = pa.array(texts).slice(at, 150)
+        ids, sizes = own.encode_all(column)
+        plain = [own.tokenizer.encode(t, add_special_tokens=False).ids + [2] for t in column.to_pylist()]
+        assert sizes.tolist() == list(map(len, plain))
+        assert ids.tolist() == [i for p in plain for i in p]
+
+
+def test_new_words_go_to_the_merges_together():
+    own, calls = lexical_packing.Tokens(WORD_BPE), []
+    own.tokenize = own.tokenizer = None  # what would be asked chunk by chunk
+    for mark in lexical_packing.MARKS:
+        own[mark] = b""
+    learn, own._learn = own._learn, lambda words: (calls.append(words), learn(words))
+    ids, sizes = own.encode_all(pa.array(["harbour Harbour, vessel\nVESSEL. sailor", "straße Straße été"]))
+    assert [sorted(c) for c in calls] == [["harbour", "sailor", "vessel"], ["straße", "été"]]
+    whole = lexical_packing.Tokens(WORD_BPE).tokenizer.encode_batch(["harbour harbour vessel vessel sailor", "straße straße été"], add_special_tokens=False)
+    assert ids.tolist() == [*whole[0].ids, 2, *whole[1].ids, 2] and sizes.sum() == len(ids)
+
+
+@pytest.mark.parametrize("sizes", [[], [0, 0, 0], [5, 50, 5, 5], [10] * 7, [0] * 25, [3, 0, 99, 0, 0, 99, 1]])
+def test_stretches_hold_every_row_once(monkeypatch, sizes):
+    monkeypatch.setattr(lexical_packing, "STRETCH", 20)
+    monkeypatch.setattr(lexical_packing, "STRETCH_ROWS", 8)
+    rows = pa.record_batch([pa.array(range(len(sizes)), pa.int64()), pa.array(["x" * n for n in sizes], pa.string())], ["id", "t"])
+    for cut in (1, 3, 100):
+        found = list(lexical_packing.stretches((rows.slice(a, cut) for a in range(0, len(sizes), cut)), 1))
+        assert [i for b in found for i in b.column(0).to_pylist()] == list(range(len(sizes)))
+        for b, after in zip(found, [*found[1:], None]):
+            texts = [len(t) for t in b.column(1).to_pylist()]
+            assert 0 < len(texts) <= 8 and (sum(texts) <= 20 or len(texts) == 1)
+            # Only what does not fit opens the next one.
+            assert after is None or len(texts) == 8 or sum(texts) + len(after.column(1)[0].as_py()) > 20
+
+
 def test_neighbours_share_a_window():
     """Documents of one subject meet in one window."""
     docs = []
