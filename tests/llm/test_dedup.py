@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from logwarden.llm import bwt_dedup, chosen_path, stream_dedup
+from logwarden.llm import bwt_dedup, chosen_path, queries, stream_dedup
 from logwarden.llm.components import components
 from tests.llm.plain import awkward, frame, hexed, links, repeated_bytes
 
@@ -189,6 +189,30 @@ def test_repeats(spark, monkeypatch, heavy, stretch):
     assert bwt_dedup.remove(frame(spark, ROWS).limit(0)).count() == 0
 
 
+def test_planted_passages(spark, tmp_path):
+    """The query's columns on passages of over 50 words: of 400 bytes or more they go, below that and elsewhere nothing does."""
+    draw = random.Random(11)
+
+    def words(n, size):
+        return " ".join(f"{draw.randrange(16**size):0{size}x}" for _ in range(n))
+
+    long, edge, short = words(60, 7), words(57, 6) + " .", words(70, 4)
+    assert len(long) > 400 and len(edge) == 400 and len(short) < 400
+    rows, expect = [], {}
+    for i in range(24):
+        # Different letters beside a passage, so that nothing but the passage repeats.
+        own = [chr(65 + i) + words(n, 8) + " é" + chr(65 + i) for n in (100, 100, 50)]
+        planted = [[long], [edge], [short], [edge[:-1]], [], [long, edge]][i % 6]
+        rows.append((i, "".join(a + b for a, b in zip(own, planted + [""] * 3))))
+        gone = [p for p in planted if p in (long, edge)]
+        kept = "".join(a + ("" if b in gone else b) for a, b in zip(own, planted + [""] * 3))
+        expect[i] = (len(rows[-1][1].encode()), sum(map(len, gone)), len(gone), hexed(kept.encode()), kept)
+    frame(spark, rows).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.op4_bwt_dedup(spark, str(tmp_path)).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, r.kept_text) for r in got} == expect
+    assert len(got) == len(rows)
+
+
 def test_merged_transforms():
     draw = np.random.default_rng(4)
     base = draw.integers(97, 100, 900, dtype=np.uint8).tobytes()
